@@ -31,7 +31,8 @@ def listed(tickers: DataFrame, col: str = "ticker") -> DataFrame:
     """All tickers as one comma-separated, ordered text in one row; NULL when there are none.
 
     The lists of the first characters are sorted and joined in parallel; the
-    last step only strings those few texts together.
+    last step only strings those few texts together. One text cannot hold any
+    number of tickers: :func:`unmatched_tickers` gives them as rows.
     """
     lead = F.substring(col, 1, 3).alias("lead")
     parts = tickers.where(F.col(col).isNotNull()).groupBy(lead).agg(

@@ -34,16 +34,25 @@ from barhouse.operators.quality import (
     flagged_rows,
     report_counts,
 )
-from barhouse.plans.scratch import drop_folder, materialise, new_folder
+from barhouse.plans.scratch import drop_folder, few_rows, materialise, new_folder
 from barhouse.plans.warehouse import ALL, Part, Warehouse, at, now_micros
-from barhouse.schemas import BAR_KEYS, DIM_WIDTHS, FACT_KEYS, RUN_LOG, VALUE_COLS, VERSION_ORDER
+from barhouse.schemas import (
+    ACTIONS,
+    BAR_KEYS,
+    DIM_WIDTHS,
+    FACT_KEYS,
+    RUN_LOG,
+    VALUE_COLS,
+    VERSION_ORDER,
+)
+from barhouse.schemas import LOAD_LOG as CONTROL
 from barhouse.sources.price_files import bars_and_verdicts, list_price_files, read_price_files
 from barhouse.sources.responses import classify_response, company_problem, parse_company
 
 BRONZE, FILES = "bronze.stocks_prices", "bronze.files"
 SILVER, REJECTS = "silver.stocks_prices", "silver.rejects"
 DIM, FACT, UNMATCHED = "gold.dim_ticker", "gold.fact_stock_prices", "gold.unmatched_tickers"
-LOAD_LOG, RUN_LOG_TABLE = "pipeline.load_log", "pipeline.run_log"
+RUN_LOG_TABLE = "pipeline.run_log"
 
 SUCCEEDED, FAILED = "succeeded", "failed"
 
@@ -61,6 +70,7 @@ class LoadResult:
     updated: int = 0
     detail: str | None = None
     missing: DataFrame | None = None
+    n_missing: int = 0
 
 
 @dataclass
@@ -81,7 +91,7 @@ class RunResult:
     load: LoadResult | None = None
     quality: QualityResult | None = None
     error: str | None = None
-    missing_tickers: str | None = None
+    warning: str | None = None
 
 
 @dataclass
@@ -112,27 +122,29 @@ class Run:
 
 
 def _audit_row(run: Run, outcome: str, finished: int, detail: str | None) -> Part:
-    row = run.wh.spark.range(1).select(
-        F.lit(run.run_id).alias("run_id"),
-        F.lit(run.job).alias("job"),
-        at(run.started).alias("started_at"),
-        at(finished).alias("finished_at"),
-        F.lit(outcome).alias("outcome"),
-        F.lit(run.inserted).cast("long").alias("inserted"),
-        F.lit(run.updated).cast("long").alias("updated"),
-        F.lit(detail).cast("string").alias("detail"),
+    row = few_rows(
+        run.wh.spark,
+        [
+            (
+                run.run_id,
+                run.job,
+                at(run.started),
+                at(finished),
+                outcome,
+                run.inserted,
+                run.updated,
+                detail,
+            )
+        ],
+        RUN_LOG,
     )
-    return run.wh.write_small(RUN_LOG_TABLE, run.run_id, row.select(*RUN_LOG.names), run.run_id)
+    return run.wh.write_small(RUN_LOG_TABLE, run.run_id, row, 1, run.run_id)
 
 
 def _control_row(run: Run, finished: int) -> Part:
-    mark = F.lit(None).cast("timestamp") if run.high_mark is None else at(run.high_mark)
-    move = run.wh.spark.range(1).select(
-        F.lit(run.job).alias("procedure_name"),
-        at(finished).alias("last_run"),
-        mark.alias("high_mark"),
-    )
-    return run.wh.write_small(LOAD_LOG, ALL, advance_marks(run.wh.control(), move), run.run_id)
+    mark = None if run.high_mark is None else at(run.high_mark)
+    move = few_rows(run.wh.spark, [(run.job, at(finished), mark)], CONTROL)
+    return run.wh.write_control(advance_marks(run.wh.control(), move), run.run_id)
 
 
 @contextmanager
@@ -155,16 +167,11 @@ def _run(wh: Warehouse, job: str) -> Iterator[Run]:
         run.clean()
 
 
-def _result(run: Run, missing: DataFrame | None = None) -> LoadResult:
-    spark = run.wh.spark
+def _result(run: Run) -> LoadResult:
     counts = [("INSERT", run.inserted), ("UPDATE", run.updated)]
-    actions = spark.createDataFrame(
-        [c for c in counts if c[1]], "action_taken string, row_count bigint"
-    )
+    actions = few_rows(run.wh.spark, [c for c in counts if c[1]], ACTIONS)
     seconds = (now_micros() - run.started) // 1_000_000
-    return LoadResult(
-        run.run_id, actions, seconds, run.inserted, run.updated, run.detail, missing
-    )
+    return LoadResult(run.run_id, actions, seconds, run.inserted, run.updated, run.detail)
 
 
 def _merge_months(
@@ -357,7 +364,8 @@ def load_gold(wh: Warehouse) -> LoadResult:
     """Merge the typed rows stamped since the last run into the fact table.
 
     Rows whose ticker is not in the dimension are left out; their tickers are
-    recorded first. Only months written since the last run are read.
+    recorded first, in ``gold.unmatched_tickers``. ``missing`` lists them in one
+    row, NULL when there are none. Only months written since the last run are read.
     """
     with _run(wh, "load_gold") as run:
         mark = wh.mark(run.job)
@@ -373,7 +381,9 @@ def load_gold(wh: Warehouse) -> LoadResult:
         if fresh:
             run.high_mark = max(p.stamp for p in fresh)
         _merge_fact(run, resolve_ticker(scope, dim))
-    return _result(run, listed(wh.read(UNMATCHED, [unmatched])))
+    result = _result(run)
+    result.missing, result.n_missing = listed(wh.read(UNMATCHED, [unmatched])), unmatched.rows
+    return result
 
 
 def backfill_unmatched(wh: Warehouse) -> LoadResult:
@@ -423,12 +433,12 @@ def run_silver(wh: Warehouse, **options) -> RunResult:
 
 
 def run_gold(wh: Warehouse) -> RunResult:
-    """Load the fact table and name the tickers it had to leave out."""
+    """Load the fact table and warn when tickers had to be left out."""
     try:
         load = load_gold(wh)
     except Exception as e:
         return RunResult(error=f"{type(e).__name__}: {e}")
-    return RunResult(load=load, missing_tickers=load.missing.first()[0])
+    return RunResult(load=load, warning=load.detail if load.n_missing else None)
 
 
 def verify_keys(wh: Warehouse) -> dict[str, DataFrame]:

@@ -8,8 +8,6 @@ all companies. The fact rows the first delivery had to leave out are added last.
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +18,8 @@ from barhouse.plans.warehouse import Warehouse
 from barhouse.schemas import BAR_KEYS, DIM_WIDTHS, FACT_KEYS, PRICE_COLS, VALUE_COLS
 from barhouse.sources.price_files import write_raw
 
+_BUILT: dict[tuple[str, str], str] = {}
+
 FIRST_END, SECOND_START = "2024-01-20", "2024-01-10"
 
 
@@ -38,9 +38,7 @@ def _companies(dim: DataFrame, stamp: str) -> DataFrame:
     return g.company_documents(dim).withColumn("received_at", F.lit(stamp).cast("timestamp"))
 
 
-@functools.cache
-def _build(app_id: str, sf_dir: str) -> str:
-    spark = SparkSession.getActiveSession()
+def _build(spark: SparkSession, sf_dir: str) -> str:
     folder = new_folder(spark)
     landing = f"{folder}/landing"
     wh = Warehouse(spark, f"{folder}/warehouse").create()
@@ -63,8 +61,11 @@ def _build(app_id: str, sf_dir: str) -> str:
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse after both deliveries; built once per session and scale."""
-    return Warehouse(spark, _build(spark.sparkContext.applicationId, sf_dir))
+    """The warehouse after both deliveries; built once per application and scale."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUILT:
+        _BUILT[key] = _build(spark, sf_dir)
+    return Warehouse(spark, _BUILT[key])
 
 
 # -- expected state in SQL --------------------------------------------------

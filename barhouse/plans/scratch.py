@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -35,3 +38,14 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder this library wrote."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def few_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A handful of rows as literals: one task, and no Python worker."""
+    one = spark.range(0, 1 if rows else 0, 1, 1)
+    fields = [(f.name, f.dataType) for f in schema]
+    literals = [
+        F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)])
+        for row in rows or [[None] * len(fields)]
+    ]
+    return one.select(F.inline(F.array(*literals)))

@@ -18,12 +18,16 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barhouse.operators.control import read_marks, reset_marks, seed_marks
-from barhouse.plans.scratch import drop_folder
+from barhouse.plans.scratch import drop_folder, few_rows
 from barhouse.schemas import LOADS, REBUILDABLE, TABLES
 
-_LOG_SCHEMA = "seq bigint, table_name string, part string, path string, stamp bigint, n_rows bigint"
+_LOG_SCHEMA = T.StructType.fromDDL(
+    "seq bigint, table_name string, part string, path string, stamp bigint, n_rows bigint"
+)
+_NAMES = T.StructType.fromDDL("procedure_name string")
 SCHEMAS = ("bronze", "silver", "gold", "pipeline")
 ALL = "all"
 
@@ -67,16 +71,14 @@ class Warehouse:
             self._check_schema(name)
         control = self.table("pipeline.load_log")
         if control.count() < len(LOADS):
-            self.commit([self.write_small("pipeline.load_log", ALL, self._healed(control))])
+            self.commit([self.write_control(self._healed(control))])
         return self
 
     def rebuild(self, name: str) -> None:
         """Empty a table that can be loaded again, and reset its control row with it."""
         load = REBUILDABLE[name]
         control = reset_marks(self._healed(self.table("pipeline.load_log")), self._names(load))
-        self.commit(
-            [self._empty(name), self.write_small("pipeline.load_log", ALL, control)]
-        )
+        self.commit([self._empty(name), self.write_control(control)])
 
     def _empty(self, name: str) -> Part:
         # The row without a part name says: no earlier part counts. It also keeps
@@ -130,8 +132,7 @@ class Warehouse:
         rows = [
             (seq + i, p.table, p.name, p.path, p.stamp, p.rows) for i, p in enumerate(parts)
         ]
-        log = self.spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1)
-        log.write.mode("append").json(self._log_path)
+        few_rows(self.spark, rows, _LOG_SCHEMA).write.mode("append").json(self._log_path)
         self.refresh()
 
     # -- reading ------------------------------------------------------------
@@ -150,7 +151,7 @@ class Warehouse:
         paths = [p.path for p in parts if p.rows]
         schema = TABLES[name]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return few_rows(self.spark, [], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
     def table(self, name: str, months: Iterable[str] | None = None) -> DataFrame:
@@ -164,18 +165,22 @@ class Warehouse:
     def folder(self, name: str, run_id: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}/run={run_id}"
 
-    def write_small(self, name: str, part: str, df: DataFrame, run_id: str | None = None) -> Part:
-        """Write a table part that stays small (control rows, audit rows)."""
+    def write_small(
+        self, name: str, part: str, df: DataFrame, rows: int, run_id: str | None = None
+    ) -> Part:
+        """Write a table part of a few rows (control rows, audit rows)."""
         stamp = now_micros()
         path = self.folder(name, run_id or str(stamp))
-        cols = [f.name for f in TABLES[name]]
-        df.select(*cols).coalesce(1).write.parquet(path)
-        return Part(name, part, path, stamp, self._count(name, path))
+        df.select(*TABLES[name].names).coalesce(1).write.parquet(path)
+        return Part(name, part, path, stamp, rows)
+
+    def write_control(self, control: DataFrame, run_id: str | None = None) -> Part:
+        return self.write_small("pipeline.load_log", ALL, control, len(LOADS), run_id)
 
     def write_part(self, name: str, part: str, df: DataFrame, run_id: str, stamp: int) -> Part:
         """Write a table part of any size."""
         path = self.folder(name, run_id)
-        df.select(*[f.name for f in TABLES[name]]).hint("rebalance").write.parquet(path)
+        df.select(*TABLES[name].names).hint("rebalance").write.parquet(path)
         return Part(name, part, path, stamp, self._count(name, path))
 
     def _count(self, name: str, path: str) -> int:
@@ -192,7 +197,7 @@ class Warehouse:
         path = self.folder(name, run_id)
         month = F.date_format("date", "yyyy-MM").alias("month")
         (
-            df.select(*[f.name for f in TABLES[name]], month)
+            df.select(*TABLES[name].names, month)
             .hint("rebalance", "month")
             .sortWithinPartitions("month", *order)
             .write.partitionBy("month")
@@ -219,7 +224,7 @@ class Warehouse:
     # -- control rows -------------------------------------------------------
 
     def _names(self, *names: str) -> DataFrame:
-        return self.spark.createDataFrame([(n,) for n in names], "procedure_name string")
+        return few_rows(self.spark, [(n,) for n in names], _NAMES)
 
     def _healed(self, control: DataFrame) -> DataFrame:
         return seed_marks(control, self._names(*LOADS))

@@ -113,6 +113,8 @@ RUN_LOG = _struct(
     ("detail", T.StringType()),
 )
 
+ACTIONS = _struct(("action_taken", T.StringType()), ("row_count", T.LongType()))
+
 TABLES = {
     "bronze.stocks_prices": BRONZE,
     "bronze.files": FILES,
