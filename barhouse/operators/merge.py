@@ -28,7 +28,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     outer join could not be broadcast.
     """
     kept = target.join(source.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    return kept.select(*target.columns).unionByName(source.select(*target.columns))
 
 
 def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -18,16 +18,11 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barhouse.operators.control import read_marks, reset_marks, seed_marks
 from barhouse.plans.scratch import drop_folder, few_rows
-from barhouse.schemas import LOADS, REBUILDABLE, TABLES
+from barhouse.schemas import LOAD_NAMES, LOADS, REBUILDABLE, TABLE_LOG, TABLES
 
-_LOG_SCHEMA = T.StructType.fromDDL(
-    "seq bigint, table_name string, part string, path string, stamp bigint, n_rows bigint"
-)
-_NAMES = T.StructType.fromDDL("procedure_name string")
 SCHEMAS = ("bronze", "silver", "gold", "pipeline")
 ALL = "all"
 
@@ -105,7 +100,7 @@ class Warehouse:
             return self._state
         self._last_seq, self._made_with, state = 0, {}, {}
         try:
-            log = self.spark.read.schema(_LOG_SCHEMA).json(self._log_path)
+            log = self.spark.read.schema(TABLE_LOG).json(self._log_path)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -132,7 +127,7 @@ class Warehouse:
         rows = [
             (seq + i, p.table, p.name, p.path, p.stamp, p.rows) for i, p in enumerate(parts)
         ]
-        few_rows(self.spark, rows, _LOG_SCHEMA).write.mode("append").json(self._log_path)
+        few_rows(self.spark, rows, TABLE_LOG).write.mode("append").json(self._log_path)
         self.refresh()
 
     # -- reading ------------------------------------------------------------
@@ -214,7 +209,7 @@ class Warehouse:
         """Delete folders that no table part points to any more. Returns how many."""
         self.refresh()
         live = {p.path for parts in self._snapshot().values() for p in parts}
-        log = self.spark.read.schema(_LOG_SCHEMA).json(self._log_path)
+        log = self.spark.read.schema(TABLE_LOG).json(self._log_path)
         named = log.where("part is not null").select("path").distinct().collect()
         dead = [r.path for r in named if r.path not in live and r.path.startswith(self.root)]
         for path in dead:
@@ -224,7 +219,7 @@ class Warehouse:
     # -- control rows -------------------------------------------------------
 
     def _names(self, *names: str) -> DataFrame:
-        return few_rows(self.spark, [(n,) for n in names], _NAMES)
+        return few_rows(self.spark, [(n,) for n in names], LOAD_NAMES)
 
     def _healed(self, control: DataFrame) -> DataFrame:
         return seed_marks(control, self._names(*LOADS))

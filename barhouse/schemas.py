@@ -113,6 +113,18 @@ RUN_LOG = _struct(
     ("detail", T.StringType()),
 )
 
+# One row per change of a table part; see the warehouse module.
+TABLE_LOG = _struct(
+    ("seq", T.LongType()),
+    ("table_name", T.StringType()),
+    ("part", T.StringType()),
+    ("path", T.StringType()),
+    ("stamp", T.LongType()),
+    ("n_rows", T.LongType()),
+)
+
+LOAD_NAMES = _struct(("procedure_name", T.StringType()))
+
 ACTIONS = _struct(("action_taken", T.StringType()), ("row_count", T.LongType()))
 
 TABLES = {

@@ -1,0 +1,329 @@
+"""The jobs: increments, failures, rebuilds, gold, dimension, audit."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+from decimal import Decimal
+
+import pytest
+from conftest import bar, rows
+from pyspark.sql import functions as F
+
+from barhouse.plans import loads
+from barhouse.plans.loads import (
+    BRONZE,
+    DIM,
+    FACT,
+    REJECTS,
+    RUN_LOG_TABLE,
+    SILVER,
+    UNMATCHED,
+    LoadError,
+    backfill_unmatched,
+    check_data_quality,
+    load_dim,
+    load_gold,
+    load_silver,
+    run_gold,
+    run_silver,
+    verify_keys,
+)
+from barhouse.plans.warehouse import Warehouse, now_micros
+
+SEED = 946_684_800_000_000
+
+
+def prices(wh):
+    return rows(wh.table(SILVER), "ticker", "date", "close_price")
+
+
+def actions(result):
+    return dict(rows(result.actions))
+
+
+def company(ticker, sector="Tech", **more):
+    doc = {
+        "Symbol": ticker, "Name": f"{ticker} Inc", "Sector": sector, "Industry": "I",
+        "Exchange": "NYSE", "Currency": "USD", "Country": "USA", **more,
+    }
+    import json
+
+    return (ticker, json.dumps({k: v for k, v in doc.items() if v != "drop"}))
+
+
+def dims(wh, *companies, at="2024-01-01"):
+    df = wh.spark.createDataFrame(list(companies), "symbol string, body string")
+    return load_dim(wh, df.withColumn("received_at", F.lit(at).cast("timestamp")))
+
+
+def test_increments(wh, add_bronze):
+    """First load, empty load, corrected and unchanged rows, and the marks."""
+    stamp = add_bronze([bar("AAA"), bar(" BBB ", v="x"), bar("AAA", "2024-02-05")])
+    first = load_silver(wh)
+    assert actions(first) == {"INSERT": 3}
+    assert wh.mark("load_silver") == stamp
+    assert rows(wh.table(SILVER), "ticker", "date", "volume") == [
+        ("AAA", dt.date(2024, 1, 2), 100), ("AAA", dt.date(2024, 2, 5), 100),
+        ("BBB", dt.date(2024, 1, 2), None),
+    ]
+    parts = {p.name: p for p in wh.parts(SILVER)}
+    assert sorted(parts) == ["2024-01", "2024-02"]
+    runs = wh.control().where("procedure_name = 'load_silver'").first().last_run
+
+    nothing = load_silver(wh)
+    assert actions(nothing) == {}
+    assert wh.mark("load_silver") == stamp
+    assert {p.name: p for p in wh.parts(SILVER)} == parts
+    # "Ran and found nothing" can be told from "did not run".
+    assert wh.control().where("procedure_name = 'load_silver'").first().last_run > runs
+
+    old = {(r.ticker, r.date): r.loaded_at for r in wh.table(SILVER).collect()}
+    add_bronze([bar("AAA", c="5"), bar("BBB", v="x"), bar("CCC")])
+    assert actions(load_silver(wh)) == {"INSERT": 1, "UPDATE": 2}
+    new = {(r.ticker, r.date): r.loaded_at for r in wh.table(SILVER).collect()}
+    jan, feb = dt.date(2024, 1, 2), dt.date(2024, 2, 5)
+    assert prices(wh)[0] == ("AAA", jan, Decimal(5))
+    # An unchanged row in the increment is stamped again, a row outside is not.
+    assert new["BBB", jan] > old["BBB", jan]
+    assert new["AAA", feb] == old["AAA", feb]
+    assert {p.name: p for p in wh.parts(SILVER)}["2024-02"] == parts["2024-02"]
+    assert all(v.isEmpty() for v in verify_keys(wh).values())
+
+
+def test_rows_stamped_at_the_mark_are_not_read_again(wh, add_bronze):
+    stamp = add_bronze([bar("AAA")])
+    load_silver(wh)
+    add_bronze([bar("LATE")], stamp)
+    add_bronze([bar("NEXT")], stamp + 1)
+    load_silver(wh)
+    assert [p[0] for p in prices(wh)] == ["AAA", "NEXT"]
+
+
+def test_two_versions_in_one_increment_are_no_clash(wh, add_bronze):
+    add_bronze([bar("AAA", c="1")])
+    add_bronze([bar("AAA", c="2")])
+    assert actions(load_silver(wh)) == {"INSERT": 1}
+    assert prices(wh)[0][2] == 2
+
+
+@pytest.mark.parametrize("bad", [bar("BAD", "not-a-date"), bar("BAD", "2024-02-30")])
+def test_bad_date(wh, add_bronze, bad):
+    add_bronze([bar("AAA"), bad])
+    with pytest.raises(LoadError, match="date"):
+        load_silver(wh)
+    assert wh.mark("load_silver") == SEED
+    assert wh.row_count(SILVER) == 0
+    with pytest.raises(LoadError):
+        load_silver(wh)
+    failed = wh.table(RUN_LOG_TABLE).where("outcome = 'failed'")
+    assert failed.count() == 2
+    result = load_silver(wh, on_bad_key="quarantine")
+    assert actions(result) == {"INSERT": 1}
+    assert rows(wh.table(REJECTS), "ticker", "date", "run_id") == [("BAD", bad[1], result.run_id)]
+    assert wh.mark("load_silver") > SEED
+
+
+def test_colliding_keys(wh, add_bronze):
+    add_bronze([bar("AAA", "2024-1-5", c="1")])
+    add_bronze([bar("AAA", "2024-01-05", c="2"), bar("OK")])
+    with pytest.raises(LoadError, match="more than one way"):
+        load_silver(wh)
+    assert wh.row_count(SILVER) == 0
+    assert actions(load_silver(wh, on_duplicate_key="latest")) == {"INSERT": 2}
+    assert prices(wh)[0] == ("AAA", dt.date(2024, 1, 5), 2)
+
+
+def test_failure_while_writing_changes_nothing(wh, add_bronze, monkeypatch):
+    """A load that dies after writing its folders, before the commit."""
+    add_bronze([bar("AAA")])
+    load_silver(wh)
+    state, mark = prices(wh), wh.mark("load_silver")
+    add_bronze([bar("AAA", c="99"), bar("NEW")])
+    with monkeypatch.context() as m:
+        m.setattr(loads, "_control_row", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load_silver(wh)
+    # Another process opens the warehouse afterwards.
+    other = Warehouse(wh.spark, wh.root).create()
+    assert prices(other) == state
+    assert other.mark("load_silver") == mark
+    assert actions(load_silver(other)) == {"INSERT": 1, "UPDATE": 1}
+    assert other.drop_superseded() > 0
+    assert [p[2] for p in prices(other)] == [99, 11]
+
+
+def test_random_batches_equal_one_load(spark, tmp_path):
+    from barhouse.plans.warehouse import at
+
+    rnd = random.Random(7)
+    keys = [(t, f"2024-0{m}-1{d}") for t in "ABC" for m in (1, 2) for d in range(3)]
+    schema = spark.createDataFrame([bar()], ["c"] * 7).schema
+    schema = "ticker string, date string, open_price string, high_price string, " \
+        "low_price string, close_price string, volume string"
+
+    def append(wh, batch):
+        stamp = wh.next_stamp(BRONZE)
+        df = spark.createDataFrame([bar(*k, c=str(c)) for k, c in batch.items()], schema)
+        for name, value in (("file_stamp", ""), ("source_file", ""), ("file_pos", 0)):
+            df = df.withColumn(name, F.lit(value))
+        df = df.withColumn("loaded_at", at(stamp)).coalesce(1)
+        wh.commit([wh.write_part(BRONZE, str(stamp), df, str(stamp), stamp)])
+
+    stepwise = Warehouse(spark, str(tmp_path / "a")).create()
+    at_once = Warehouse(spark, str(tmp_path / "b")).create()
+    expected = {}
+    for _ in range(3):
+        batch = {k: rnd.randint(1, 99) for k in rnd.sample(keys, rnd.randint(3, 12))}
+        expected |= batch
+        append(stepwise, batch)
+        append(at_once, batch)
+        load_silver(stepwise)
+    load_silver(at_once)
+    want = sorted((t, dt.date.fromisoformat(d), Decimal(c)) for (t, d), c in expected.items())
+    assert prices(stepwise) == want
+    assert prices(at_once) == want
+
+
+def test_gold(wh, add_bronze):
+    dims(wh, company("AAA"), company("BBB"))
+    add_bronze([bar("AAA"), bar("BBB", "2024-02-01"), bar("ZZZ"), bar("YYY")])
+    load_silver(wh)
+    run = run_gold(wh)
+    assert actions(run.load) == {"INSERT": 2}
+    assert run.warning == "tickers not in the dimension: 2"
+    assert rows(run.load.missing) == [("YYY,ZZZ",)]
+    assert rows(wh.table(FACT), "ticker_id", "date") == [
+        (1, dt.date(2024, 1, 2)), (2, dt.date(2024, 2, 1)),
+    ]
+    assert wh.table(FACT).columns[-1] == "volume"
+
+    empty = run_gold(wh)
+    assert actions(empty.load) == {} and empty.warning is None
+    assert rows(empty.load.missing) == [(None,)]
+
+    # A ticker that becomes known later is not picked up by itself, only by the backfill.
+    dims(wh, company("ZZZ"))
+    assert actions(load_gold(wh)) == {}
+    assert actions(backfill_unmatched(wh)) == {"INSERT": 1}
+    assert actions(backfill_unmatched(wh)) == {}
+    assert wh.row_count(FACT) == 3
+    assert rows(wh.table(UNMATCHED), "ticker") == [("YYY",), ("ZZZ",)]
+
+    # A rebuilt typed table makes gold see updates only, with the same values.
+    facts = rows(wh.table(FACT))
+    wh.rebuild(SILVER)
+    assert wh.row_count(SILVER) == 0 and wh.mark("load_silver") == SEED
+    assert actions(load_silver(wh)) == {"INSERT": 4}
+    assert actions(load_gold(wh)) == {"UPDATE": 3}
+    assert rows(wh.table(FACT)) == facts
+
+    # A rebuilt fact table is filled again, although nothing is new in silver.
+    wh.rebuild(FACT)
+    assert wh.row_count(FACT) == 0 and wh.mark("load_gold") == SEED
+    assert actions(load_gold(wh)) == {"INSERT": 3}
+    assert rows(wh.table(FACT)) == facts
+    assert all(v.isEmpty() for v in verify_keys(wh).values())
+
+    wh.publish("t_")
+    out = wh.spark.sql(
+        "select ticker, close_price from t_gold.fact_stock_prices join t_gold.dim_ticker "
+        "using (ticker_id) where month = '2024-02'"
+    )
+    assert rows(out) == [("BBB", Decimal(11))]
+    assert wh.spark.sql("select * from t_silver.rejects").count() == 0
+
+
+def test_gold_reads_only_months_written_since_the_mark(wh, add_bronze):
+    dims(wh, company("AAA"))
+    add_bronze([bar("AAA", f"2024-0{m}-01") for m in range(1, 6)])
+    load_silver(wh)
+    load_gold(wh)
+    add_bronze([bar("AAA", "2024-03-01", c="7")])
+    load_silver(wh)
+    assert [p.name for p in wh.parts(SILVER, after=wh.mark("load_gold"))] == ["2024-03"]
+    assert actions(load_gold(wh)) == {"UPDATE": 1}
+
+
+def test_dim(wh):
+    first = dims(wh, company("BBB"), company("AAA"))
+    assert actions(first) == {"INSERT": 2}
+    again = dims(
+        wh,
+        company("CCC"),
+        company("BBB", "Energy"),
+        company("LONG", Exchange="ELEVENCHARS"),
+        company("HALF", Country="drop"),
+        company("NONE", Name=None),
+        ("X", '{"Information": "1 request per second"}'),
+    )
+    assert actions(again) == {"INSERT": 1, "UPDATE": 1}
+    assert again.detail == "responses left out: 4"
+    assert rows(wh.table(DIM), "ticker_id", "ticker", "sector") == [
+        (1, "AAA", "Tech"), (2, "BBB", "Energy"), (3, "CCC", "Tech"),
+    ]
+    # Of two responses in one batch the later wins.
+    df = wh.spark.createDataFrame(
+        [(*company("AAA", "new"), 2), (*company("AAA", "old"), 1)],
+        "symbol string, body string, n int",
+    ).withColumn("received_at", F.timestamp_seconds("n"))
+    load_dim(wh, df.drop("n"))
+    assert rows(wh.table(DIM), "ticker_id", "sector")[0] == (1, "new")
+
+
+def test_rename_leaves_facts_valid(wh, add_bronze):
+    dims(wh, company("OLD"))
+    add_bronze([bar("OLD")])
+    load_silver(wh)
+    load_gold(wh)
+    renamed = wh.table(DIM).withColumn("ticker", F.lit("NEW"))
+    wh.commit([wh.write_part(DIM, "all", renamed, "rename", now_micros())])
+    add_bronze([bar("NEW", "2024-01-03")])
+    load_silver(wh)
+    load_gold(wh)
+    assert rows(wh.table(FACT), "ticker_id") == [(1,), (1,)]
+    assert all(v.isEmpty() for v in verify_keys(wh).values())
+
+
+def test_runner_checks_quality_only_after_a_good_load(wh, add_bronze):
+    add_bronze([bar("AAA", h="1", low="2"), bar("BBB", o="-1", v="0"), bar("CCC", o="x")])
+    run = run_silver(wh)
+    assert run.error is None
+    assert run.quality.counts == {"price_inversion": 1, "negative_value": 1, "zero_value": 1}
+    found = {k: [t for (t,) in rows(v, "ticker")] for k, v in run.quality.rows.items()}
+    assert found == {
+        "price_inversion": ["AAA"], "negative_value": ["BBB"], "zero_value": ["BBB"],
+    }
+    run.quality.release()
+    state = rows(wh.table(SILVER))
+    check_data_quality(wh).release()
+    assert rows(wh.table(SILVER)) == state
+    add_bronze([bar("AAA", "junk")])
+    failed = run_silver(wh)
+    assert failed.load is None and failed.quality is None
+    assert failed.error.startswith("LoadError")
+
+
+def test_create_heals_and_checks(wh, add_bronze):
+    add_bronze([bar("AAA")])
+    load_silver(wh)
+    again = Warehouse(wh.spark, wh.root).create()
+    assert prices(again) == prices(wh)
+    # A control row that got lost counts as the seed.
+    only_gold = wh.control().where("procedure_name = 'load_gold'")
+    wh.commit([wh.write_small("pipeline.load_log", "all", only_gold, 1)])
+    assert wh.mark("load_silver") == SEED
+    assert Warehouse(wh.spark, wh.root).create().table("pipeline.load_log").count() == 2
+    assert actions(load_silver(wh)) == {"UPDATE": 1}
+
+
+def test_audit(wh, add_bronze):
+    add_bronze([bar("AAA")])
+    result = load_silver(wh)
+    load_gold(wh)
+    log = {r.job: r for r in wh.table(RUN_LOG_TABLE).collect()}
+    assert log["load_silver"].run_id == result.run_id
+    assert (log["load_silver"].inserted, log["load_silver"].outcome) == (1, "succeeded")
+    assert log["load_gold"].detail == "tickers not in the dimension: 1"
+    assert all(r.finished_at >= r.started_at for r in log.values())
+    assert result.seconds >= 0
