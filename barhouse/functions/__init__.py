@@ -1,6 +1,7 @@
 """Column-level helpers."""
 
 from barhouse.functions.text import (
+    RUN_STAMP_FORMAT,
     contains_word,
     date_or_null,
     decimal_or_null,
@@ -13,6 +14,7 @@ from barhouse.functions.text import (
 )
 
 __all__ = [
+    "RUN_STAMP_FORMAT",
     "contains_word",
     "date_or_null",
     "decimal_or_null",

@@ -46,8 +46,18 @@ from barhouse.schemas import (
     VERSION_ORDER,
 )
 from barhouse.schemas import LOAD_LOG as CONTROL
-from barhouse.sources.price_files import bars_and_verdicts, list_price_files, read_price_files
-from barhouse.sources.responses import classify_response, company_problem, parse_company
+from barhouse.sources.price_files import (
+    bars_and_verdicts,
+    list_price_files,
+    read_price_files,
+    write_raw,
+)
+from barhouse.sources.responses import (
+    classify_response,
+    company_problem,
+    parse_company,
+    unwrap_daily,
+)
 
 BRONZE, FILES = "bronze.stocks_prices", "bronze.files"
 SILVER, REJECTS = "silver.stocks_prices", "silver.rejects"
@@ -148,7 +158,7 @@ def _control_row(run: Run, finished: int) -> Part:
 
 
 @contextmanager
-def _run(wh: Warehouse, job: str) -> Iterator[Run]:
+def recorded_run(wh: Warehouse, job: str) -> Iterator[Run]:
     """Run a load; commit everything at the end, or only a record of the failure."""
     wh.refresh()
     run = Run(wh, job, f"{job}-{uuid.uuid4().hex}", now_micros())
@@ -194,6 +204,21 @@ def _merge_months(
 # -- bronze -----------------------------------------------------------------
 
 
+def land_prices(wh: Warehouse, responses: DataFrame, landing: str) -> DataFrame:
+    """Land the usable price responses (``symbol, body, run_ts``), one file per symbol and run.
+
+    Returns what became of each response; the retryable ones are worth another
+    request.
+    """
+    judged = classify_response(responses, "prices")
+    with recorded_run(wh, "land_prices") as run:
+        write_raw(unwrap_daily(judged.where("outcome = 'ok'")), landing)
+        # At most one row per outcome of the rule table.
+        counts = judged.groupBy("outcome").count().orderBy("outcome").collect()
+        run.detail = ", ".join(f"{r.outcome}: {r['count']}" for r in counts)
+    return judged.select("symbol", "run_ts", "outcome", "retryable")
+
+
 def _settled_files(wh: Warehouse, max_attempts: int) -> DataFrame:
     """Files not to be read again: loaded, or rejected as often as allowed."""
     tries = wh.table(FILES).groupBy("source_file", "modified_at").agg(
@@ -232,7 +257,7 @@ def load_bronze(
     ``src`` that hold new files are read, so land each fetch in its own folder
     (or use the streaming form) once there are many files.
     """
-    with _run(wh, "load_bronze") as run:
+    with recorded_run(wh, "load_bronze") as run:
         settled = _settled_files(wh, max_attempts)
         keys = ["source_file", "modified_at"]
         new = list_price_files(wh.spark, src, glob).join(settled, keys, "left_anti")
@@ -291,7 +316,7 @@ def load_silver(
     ``on_duplicate_key``: ``fail`` refuses raw keys that become the same typed
     key, ``latest`` keeps the newest.
     """
-    with _run(wh, "load_silver") as run:
+    with recorded_run(wh, "load_silver") as run:
         mark = wh.mark(run.job)
         run.last_run = True
         scope = incremental(wh.read(BRONZE, wh.parts(BRONZE, after=mark)), at(mark))
@@ -367,7 +392,7 @@ def load_gold(wh: Warehouse) -> LoadResult:
     recorded first, in ``gold.unmatched_tickers``. ``missing`` lists them in one
     row, NULL when there are none. Only months written since the last run are read.
     """
-    with _run(wh, "load_gold") as run:
+    with recorded_run(wh, "load_gold") as run:
         mark = wh.mark(run.job)
         run.last_run = True
         fresh = wh.parts(SILVER, after=mark)
@@ -388,7 +413,7 @@ def load_gold(wh: Warehouse) -> LoadResult:
 
 def backfill_unmatched(wh: Warehouse) -> LoadResult:
     """Add the fact rows of tickers that were left out earlier and have a dimension row now."""
-    with _run(wh, "backfill_unmatched") as run:
+    with recorded_run(wh, "backfill_unmatched") as run:
         dim = wh.table(DIM)
         late = dim.join(wh.table(UNMATCHED).select("ticker").distinct(), "ticker", "left_semi")
         _merge_fact(run, missing_facts(wh.table(SILVER), late, wh.table(FACT)))
@@ -402,7 +427,7 @@ def load_dim(wh: Warehouse, responses: DataFrame) -> LoadResult:
     are left out and counted in the audit row; the others load. Of several
     responses for one ticker the last received wins.
     """
-    with _run(wh, "load_dim") as run:
+    with recorded_run(wh, "load_dim") as run:
         judged = company_problem(classify_response(responses, "company"))
         usable = F.col("problem").isNull() & (F.col("outcome") == "ok")
         judged = run.once(judged.withColumn("usable", usable))
@@ -462,11 +487,13 @@ __all__ = [
     "backfill_unmatched",
     "bronze_current",
     "check_data_quality",
+    "land_prices",
     "load_bronze",
     "load_dim",
     "load_gold",
     "load_silver",
     "needs_review",
+    "recorded_run",
     "retry_rejected",
     "run_gold",
     "run_silver",

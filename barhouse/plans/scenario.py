@@ -17,8 +17,9 @@ from barhouse.plans.scratch import new_folder
 from barhouse.plans.warehouse import Warehouse
 from barhouse.schemas import BAR_KEYS, DIM_WIDTHS, FACT_KEYS, PRICE_COLS, VALUE_COLS
 from barhouse.sources.price_files import write_raw
+from barhouse.streaming import stream_bronze
 
-_BUILT: dict[tuple[str, str], str] = {}
+_BUILT: dict[tuple[str, ...], str] = {}
 
 FIRST_END, SECOND_START = "2024-01-20", "2024-01-10"
 
@@ -110,6 +111,21 @@ def bronze_state(spark, sf):
     return loads.bronze_current(warehouse(spark, sf)).select(*BAR_KEYS, *VALUE_COLS)
 
 
+def bronze_stream(spark, sf):
+    """Both deliveries read as a stream into a warehouse of its own.
+
+    They arrive in one batch here, so the run stamps in the file names decide.
+    """
+    key = (spark.sparkContext.applicationId, sf, "stream")
+    if key not in _BUILT:
+        folder = warehouse(spark, sf).root.removesuffix("/warehouse")
+        wh = Warehouse(spark, f"{folder}/stream_warehouse").create()
+        stream_bronze(wh, f"{folder}/landing", f"{folder}/checkpoint", "*.txt").awaitTermination()
+        _BUILT[key] = wh.root
+    current = loads.bronze_current(Warehouse(spark, _BUILT[key]))
+    return current.select(*BAR_KEYS, *VALUE_COLS)
+
+
 def bronze_files(spark, sf):
     """Files per delivery and verdict."""
     files = warehouse(spark, sf).table(loads.FILES)
@@ -232,6 +248,7 @@ from facts join ids using (ticker_id) group by 1, 2, 3"""
 
 QUERIES = {
     "bronze_load": (bronze_state, _oracle(f"select {_BAR} from current")),
+    "bronze_stream": (bronze_stream, _oracle(f"select {_BAR} from current")),
     "bronze_files": (bronze_files, _oracle(_FILES)),
     "silver_load": (silver_state, _oracle(f"select {_BAR} from bars_now")),
     "silver_rejects": (silver_rejects, _oracle(_REJECTED)),

@@ -11,6 +11,7 @@ The newest log row of a part says which folder holds it. One writer at a time.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -18,8 +19,9 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barhouse.operators.control import read_marks, reset_marks, seed_marks
+from barhouse.operators.control import reset_marks, seed_marks
 from barhouse.plans.scratch import drop_folder, few_rows
 from barhouse.schemas import LOAD_NAMES, LOADS, REBUILDABLE, TABLE_LOG, TABLES
 
@@ -58,21 +60,19 @@ class Warehouse:
         """Create what is missing; existing tables and control rows stay as they are."""
         self.refresh()
         self._snapshot()
-        fresh = [self._empty(name) for name in TABLES if name not in self._made_with]
-        if fresh:
-            self.commit(fresh)
-            self._snapshot()
-        for name in TABLES:
+        for name in self._made_with:
             self._check_schema(name)
-        control = self.table("pipeline.load_log")
-        if control.count() < len(LOADS):
-            self.commit([self.write_control(self._healed(control))])
+        parts = [self._empty(name) for name in TABLES if name not in self._made_with]
+        if self.row_count("pipeline.load_log") < len(LOADS):
+            parts.append(self.write_control(self.control()))
+        if parts:
+            self.commit(parts)
         return self
 
     def rebuild(self, name: str) -> None:
         """Empty a table that can be loaded again, and reset its control row with it."""
         load = REBUILDABLE[name]
-        control = reset_marks(self._healed(self.table("pipeline.load_log")), self._names(load))
+        control = reset_marks(self.control(), self._names(load))
         self.commit([self._empty(name), self.write_control(control)])
 
     def _empty(self, name: str) -> Part:
@@ -125,9 +125,12 @@ class Warehouse:
         self._snapshot()
         seq = max(now_micros(), self._last_seq + 1)
         rows = [
-            (seq + i, p.table, p.name, p.path, p.stamp, p.rows) for i, p in enumerate(parts)
+            dict(zip(TABLE_LOG.names, (seq + i, p.table, p.name, p.path, p.stamp, p.rows)))
+            for i, p in enumerate(parts)
         ]
-        few_rows(self.spark, rows, TABLE_LOG).write.mode("append").json(self._log_path)
+        listed = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(TABLE_LOG))
+        one = self.spark.range(0, 1, 1, 1)
+        one.select(F.inline(listed)).write.mode("append").json(self._log_path)
         self.refresh()
 
     # -- reading ------------------------------------------------------------
@@ -221,16 +224,16 @@ class Warehouse:
     def _names(self, *names: str) -> DataFrame:
         return few_rows(self.spark, [(n,) for n in names], LOAD_NAMES)
 
-    def _healed(self, control: DataFrame) -> DataFrame:
-        return seed_marks(control, self._names(*LOADS))
-
     def control(self) -> DataFrame:
         """The control table, with a seed row for any load that lacks one."""
-        return self._healed(self.table("pipeline.load_log"))
+        control = self.table("pipeline.load_log")
+        if self.row_count("pipeline.load_log") >= len(LOADS):
+            return control
+        return seed_marks(control, self._names(*LOADS))
 
     def mark(self, load: str) -> int:
         """How far a load has read, in microseconds."""
-        row = read_marks(self.control(), self._names(load))
+        row = self.control().where(F.col("procedure_name") == load)
         return row.select(F.unix_micros("high_mark")).first()[0]
 
     def next_stamp(self, name: str) -> int:
@@ -239,14 +242,17 @@ class Warehouse:
 
     # -- plain SQL ----------------------------------------------------------
 
+    def create_schemas(self, prefix: str = "") -> None:
+        for schema in SCHEMAS:
+            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {prefix}{schema}")
+
     def publish(self, prefix: str = "") -> None:
         """Put the tables into the session catalog, so that plain SELECTs can use them.
 
         Months and batches become partitions at their own locations; publish
         again after a load.
         """
-        for schema in SCHEMAS:
-            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {prefix}{schema}")
+        self.create_schemas(prefix)
         for name, schema in TABLES.items():
             self._publish_table(name, prefix + name, schema)
 

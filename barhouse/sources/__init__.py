@@ -14,6 +14,7 @@ from barhouse.sources.responses import (
     classify_response,
     company_problem,
     parse_company,
+    read_responses,
     unwrap_daily,
 )
 
@@ -26,6 +27,7 @@ __all__ = [
     "list_price_files",
     "parse_company",
     "read_price_files",
+    "read_responses",
     "split_valid_files",
     "unwrap_daily",
     "with_provenance",

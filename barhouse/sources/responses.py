@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barhouse.functions import contains_word
+from barhouse.functions import RUN_STAMP_FORMAT, contains_word
 from barhouse.operators.keys import too_wide
 from barhouse.schemas import COMPANY_FIELDS, DIM_WIDTHS
+from barhouse.sources.price_files import read_price_files
 
 # The keys that tell responses apart, and the words in their messages.
 ERROR, NOTICE = "Error Message", "Information"
@@ -16,6 +17,19 @@ SUCCESS_KEY = {"prices": SERIES, "company": COMPANY_FIELDS["company_name"]}
 RETRYABLE = ("transport_error", "rate_limited", "unknown")
 
 
+def read_responses(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+    """Saved responses, one per file named ``{symbol}_{stamp}.json``.
+
+    ``run_ts`` is the stamp in the name, ``received_at`` the time of the file.
+    """
+    return read_price_files(spark, path, glob).select(
+        "symbol",
+        F.col("value").alias("body"),
+        F.try_to_timestamp("file_stamp", F.lit(RUN_STAMP_FORMAT)).alias("run_ts"),
+        F.col("modified_at").alias("received_at"),
+    )
+
+
 def classify_response(responses: DataFrame, kind: str | None = None) -> DataFrame:
     """Add ``outcome`` and ``retryable`` to responses (``symbol, kind, body``).
 

@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from barhouse.plans.loads import _run, append_files
+from barhouse.plans.loads import append_files, recorded_run
 from barhouse.plans.warehouse import Warehouse
 from barhouse.sources.price_files import with_provenance
 
@@ -30,6 +30,7 @@ def stream_bronze(
         wh.spark.readStream.format("text")
         .option("wholetext", "true")
         .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
     )
     if archive:
@@ -37,7 +38,7 @@ def stream_bronze(
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def load(files: DataFrame, batch_id: int) -> None:
-        with _run(wh, "stream_bronze") as run:
+        with recorded_run(wh, "stream_bronze") as run:
             append_files(run, files, f"stream-{stream}-{batch_id}")
 
     return (
