@@ -184,18 +184,18 @@ def _result(run: Run) -> LoadResult:
     return LoadResult(run.run_id, actions, seconds, run.inserted, run.updated, run.detail)
 
 
-def _merge_months(
-    run: Run, name: str, source: DataFrame, months: list[str], n_source: int, keys, stamp: int
+def _merge(
+    run: Run, name: str, source: DataFrame, periods: list[str], n_source: int, keys, stamp: int
 ) -> None:
-    """Merge ``source`` into the months it touches and count what happened.
+    """Merge ``source`` into the periods it touches and count what happened.
 
-    The counts need no further join: rows before and after are known per month,
+    The counts need no further join: rows before and after are known per period,
     and every source row ends up in the table exactly once.
     """
     wh = run.wh
-    before = wh.parts(name, months)
+    before = wh.parts(name, periods)
     merged = merge_upsert(wh.read(name, before), source, keys)
-    written = wh.write_months(name, merged, run.run_id, stamp, tuple(keys))
+    written = wh.write_periods(name, merged, run.run_id, stamp, tuple(keys))
     run.inserted = sum(p.rows for p in written) - sum(p.rows for p in before)
     run.updated = n_source - run.inserted
     run.parts += written
@@ -321,17 +321,17 @@ def load_silver(
         run.last_run = True
         scope = incremental(wh.read(BRONZE, wh.parts(BRONZE, after=mark)), at(mark))
         source = run.once(typed_source(scope, VERSION_ORDER))
-        # One row per month of the increment.
-        months = source.groupBy(F.date_format("date", "yyyy-MM").alias("month")).agg(
+        # One row per period of the increment.
+        periods = source.groupBy(wh.period_of()).agg(
             F.count("*").alias("n"),
             F.count_if("collides").alias("n_collide"),
             F.unix_micros(F.max("source_loaded_at")).alias("newest"),
         ).collect()
-        bad = sum(m.n for m in months if m.month is None)
+        bad = sum(p.n for p in periods if p.period is None)
         if bad and on_bad_key == "fail":
             raise LoadError(f"{bad} keys have a date that cannot be read")
-        good = [m for m in months if m.month is not None]
-        collide = sum(m.n_collide for m in good)
+        good = [p for p in periods if p.period is not None]
+        collide = sum(p.n_collide for p in good)
         if collide and on_duplicate_key == "fail":
             raise LoadError(f"{collide} keys are written in more than one way")
         if bad:
@@ -347,15 +347,15 @@ def load_silver(
                 )
             )
             run.detail = f"quarantined: {run.parts[-1].rows}"
-        if months:
-            run.high_mark = max(m.newest for m in months)
+        if periods:
+            run.high_mark = max(p.newest for p in periods)
         if good:
             stamp = wh.next_stamp(SILVER)
             bars = source.where("date is not null").select(
                 *BAR_KEYS, *VALUE_COLS, at(stamp).alias("loaded_at")
             )
-            names = [m.month for m in good]
-            _merge_months(run, SILVER, bars, names, sum(m.n for m in good), BAR_KEYS, stamp)
+            names = [p.period for p in good]
+            _merge(run, SILVER, bars, names, sum(p.n for p in good), BAR_KEYS, stamp)
     return _result(run)
 
 
@@ -379,10 +379,10 @@ def check_data_quality(wh: Warehouse) -> QualityResult:
 def _merge_fact(run: Run, source: DataFrame) -> None:
     wh = run.wh
     resolved = run.once(source)
-    months = resolved.groupBy(F.date_format("date", "yyyy-MM").alias("month")).count().collect()
-    if months:
-        names, n = [m.month for m in months], sum(m["count"] for m in months)
-        _merge_months(run, FACT, resolved, names, n, FACT_KEYS, wh.next_stamp(FACT))
+    periods = resolved.groupBy(wh.period_of()).count().collect()
+    if periods:
+        names, n = [p.period for p in periods], sum(p["count"] for p in periods)
+        _merge(run, FACT, resolved, names, n, FACT_KEYS, wh.next_stamp(FACT))
 
 
 def load_gold(wh: Warehouse) -> LoadResult:
@@ -390,7 +390,7 @@ def load_gold(wh: Warehouse) -> LoadResult:
 
     Rows whose ticker is not in the dimension are left out; their tickers are
     recorded first, in ``gold.unmatched_tickers``. ``missing`` lists them in one
-    row, NULL when there are none. Only months written since the last run are read.
+    row, NULL when there are none. Only periods written since the last run are read.
     """
     with recorded_run(wh, "load_gold") as run:
         mark = wh.mark(run.job)

@@ -5,8 +5,9 @@ small file to ``pipeline/table_log``; that append makes the new data, the
 control row and the audit row visible together, or not at all. A load that dies
 earlier leaves folders nobody reads.
 
-A table is a set of named parts (a month, a batch, or all of a small table).
-The newest log row of a part says which folder holds it. One writer at a time.
+A table is a set of named parts (a period of dates, a batch, or all of a small
+table). The newest log row of a part says which folder holds it. One writer at a
+time.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from barhouse.schemas import LOAD_NAMES, LOADS, REBUILDABLE, TABLE_LOG, TABLES
 
 SCHEMAS = ("bronze", "silver", "gold", "pipeline")
 ALL = "all"
+PERIODS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
 
 
 @dataclass(frozen=True)
@@ -49,9 +51,15 @@ def at(micros: int) -> Column:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """``period`` (``day``, ``month`` or ``year``) is what a load rewrites at least of
+    the typed and the fact table. It is chosen when the warehouse is created: a
+    month by default, a day when single days are large or corrections are few.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, period: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._wanted_period = period
         self._state: dict[str, list[Part]] | None = None
 
     # -- definition ---------------------------------------------------------
@@ -60,8 +68,6 @@ class Warehouse:
         """Create what is missing; existing tables and control rows stay as they are."""
         self.refresh()
         self._snapshot()
-        for name in self._made_with:
-            self._check_schema(name)
         parts = [self._empty(name) for name in TABLES if name not in self._made_with]
         if self.row_count("pipeline.load_log") < len(LOADS):
             parts.append(self.write_control(self.control()))
@@ -77,13 +83,31 @@ class Warehouse:
 
     def _empty(self, name: str) -> Part:
         # The row without a part name says: no earlier part counts. It also keeps
-        # the schema the table was made with.
-        return Part(name, None, TABLES[name].simpleString(), 0, 0)
+        # how the table was made.
+        return Part(name, None, self._definition(name), 0, 0)
+
+    def _definition(self, name: str) -> str:
+        by = f" by {self.period}" if name in REBUILDABLE else ""
+        return TABLES[name].simpleString() + by
 
-    def _check_schema(self, name: str) -> None:
-        made_with = self._made_with[name]
-        if made_with != TABLES[name].simpleString():
-            raise ValueError(f"{name} was created with another schema: {made_with}")
+    def _check_definitions(self) -> None:
+        for name, made_with in self._made_with.items():
+            if made_with != self._definition(name):
+                raise ValueError(f"{name} was created as {made_with}")
+        if self._wanted_period not in (None, self.period):
+            raise ValueError(f"this warehouse is kept by {self.period}")
+
+    @property
+    def period(self) -> str:
+        """What the typed and the fact table are divided by."""
+        self._snapshot()
+        made_with = self._made_with.get(next(iter(REBUILDABLE)))
+        if made_with:
+            return made_with.rpartition(" by ")[2]
+        return self._wanted_period or "month"
+
+    def period_of(self, date: str = "date") -> Column:
+        return F.date_format(date, PERIODS[self.period]).alias("period")
 
     # -- the log ------------------------------------------------------------
 
@@ -107,7 +131,7 @@ class Warehouse:
             self._state = {}
             return self._state
         newest = F.max_by(F.struct("seq", "path", "stamp", "n_rows"), "seq").alias("e")
-        # One row per part: the months and loads of the warehouse, never its bars.
+        # One row per part: the periods and loads of the warehouse, never its bars.
         rows = log.groupBy("table_name", "part").agg(newest).collect()
         emptied = {r.table_name: r.e.seq for r in rows if r.part is None}
         for r in rows:
@@ -118,6 +142,7 @@ class Warehouse:
             elif r.e.seq > emptied.get(r.table_name, 0):
                 live.append(Part(r.table_name, r.part, r.e.path, r.e.stamp, r.e.n_rows))
         self._state = state
+        self._check_definitions()
         return state
 
     def commit(self, parts: Iterable[Part]) -> None:
@@ -152,8 +177,9 @@ class Warehouse:
             return few_rows(self.spark, [], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def table(self, name: str, months: Iterable[str] | None = None) -> DataFrame:
-        return self.read(name, self.parts(name, months))
+    def table(self, name: str, parts: Iterable[str] | None = None) -> DataFrame:
+        """A whole table, or only the named parts (such as months) of it."""
+        return self.read(name, self.parts(name, parts))
 
     def row_count(self, name: str) -> int:
         return sum(p.rows for p in self.parts(name))
@@ -184,28 +210,27 @@ class Warehouse:
     def _count(self, name: str, path: str) -> int:
         return self.spark.read.schema(TABLES[name]).parquet(path).count()
 
-    def write_months(
+    def write_periods(
         self, name: str, df: DataFrame, run_id: str, stamp: int, order: tuple[str, ...]
     ) -> list[Part]:
-        """Write bars by month of ``date``; one part per month.
+        """Write bars by period of ``date``; one part per period.
 
-        ``rebalance`` gives each month files of the advisory size: a big month
-        is split over many tasks, small months share one.
+        ``rebalance`` gives each period files of the advisory size: a big one is
+        split over many tasks, small ones share a task.
         """
-        path = self.folder(name, run_id)
-        month = F.date_format("date", "yyyy-MM").alias("month")
+        path, key = self.folder(name, run_id), self.period
         (
-            df.select(*TABLES[name].names, month)
-            .hint("rebalance", "month")
-            .sortWithinPartitions("month", *order)
-            .write.partitionBy("month")
+            df.select(*TABLES[name].names, self.period_of().alias(key))
+            .hint("rebalance", key)
+            .sortWithinPartitions(key, *order)
+            .write.partitionBy(key)
             .parquet(path)
         )
-        schema = TABLES[name].simpleString()[len("struct<") : -1] + ",month:string"
-        written = self.spark.read.schema(schema.replace(":", " ")).parquet(path)
+        schema = T.StructType([*TABLES[name].fields, T.StructField(key, T.StringType())])
+        written = self.spark.read.schema(schema).parquet(path)
         return [
-            Part(name, r["month"], f"{path}/month={r['month']}", stamp, r["count"])
-            for r in written.groupBy("month").count().collect()
+            Part(name, r[key], f"{path}/{key}={r[key]}", stamp, r["count"])
+            for r in written.groupBy(key).count().collect()
         ]
 
     def drop_superseded(self) -> int:
@@ -249,7 +274,7 @@ class Warehouse:
     def publish(self, prefix: str = "") -> None:
         """Put the tables into the session catalog, so that plain SELECTs can use them.
 
-        Months and batches become partitions at their own locations; publish
+        Periods and batches become partitions at their own locations; publish
         again after a load.
         """
         self.create_schemas(prefix)
@@ -258,7 +283,7 @@ class Warehouse:
 
     def _publish_table(self, name: str, full_name: str, schema) -> None:
         sql = self.spark.sql
-        key = "month" if name in REBUILDABLE else "part"
+        key = self.period if name in REBUILDABLE else "part"
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         sql(f"DROP TABLE IF EXISTS {full_name}")
         live = [p for p in self.parts(name) if p.rows]

@@ -234,6 +234,35 @@ def test_gold(wh, add_bronze):
     assert wh.spark.sql("select * from t_silver.rejects").count() == 0
 
 
+def test_kept_by_day(spark, tmp_path):
+    from barhouse.plans.warehouse import at
+
+    wh = Warehouse(spark, str(tmp_path / "daily"), period="day").create()
+    raw = spark.sql(
+        "select 'A' as ticker, '2024-01-0' || id as date, '1' as open_price, '1' as high_price, "
+        "'1' as low_price, '1' as close_price, '1' as volume, '' as file_stamp, "
+        "'' as source_file, 0 as file_pos from range(1, 4)"
+    )
+
+    def deliver(df, stamp):
+        df = df.withColumn("loaded_at", at(stamp))
+        wh.commit([wh.write_part(BRONZE, str(stamp), df, str(stamp), stamp)])
+        return actions(load_silver(wh))
+
+    assert deliver(raw, 10**15) == {"INSERT": 3}
+    before = {p.name: p.path for p in wh.parts(SILVER)}
+    assert sorted(before) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert deliver(raw.where("date = '2024-01-02'"), 10**15 + 1) == {"UPDATE": 1}
+    after = {p.name: p.path for p in wh.parts(SILVER)}
+    assert [d for d in before if before[d] != after[d]] == ["2024-01-02"]
+    assert wh.table(SILVER, ["2024-01-02"]).count() == 1
+    assert Warehouse(spark, wh.root).period == "day"
+    with pytest.raises(ValueError, match="kept by day"):
+        Warehouse(spark, wh.root, period="month").create()
+    wh.publish("d_")
+    assert spark.sql("select * from d_silver.stocks_prices where day = '2024-01-03'").count() == 1
+
+
 def test_gold_reads_only_months_written_since_the_mark(wh, add_bronze):
     dims(wh, company("AAA"))
     add_bronze([bar("AAA", f"2024-0{m}-01") for m in range(1, 6)])
