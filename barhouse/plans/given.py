@@ -117,21 +117,22 @@ def known_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_documents(text: DataFrame) -> DataFrame:
-    """One JSON document per ticker: ``{ticker: {date: {field: text}}}``.
+    """One JSON document per symbol: ``{ticker: {date: {field: text}}}``.
 
-    A ticker has at most one bar per day, so its document is bounded by the calendar.
+    The symbol is the ticker unless ``text`` has a column of that name. A ticker
+    has at most one bar per day, so a document is bounded by the calendar.
     """
     pairs = [x for c, name in BAR_FIELDS.items() for x in (F.lit(name), F.col(c))]
     fields = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
     dates = F.map_from_entries(F.collect_list(F.struct("date", fields)))
-    return (
-        text.groupBy("ticker")
-        .agg(dates.alias("dates"), F.max("loaded_at").alias("run_ts"))
-        .select(
-            F.col("ticker").alias("symbol"),
-            "run_ts",
-            F.to_json(F.create_map("ticker", "dates")).alias("body"),
-        )
+    by = ["symbol", "ticker"] if "symbol" in text.columns else ["ticker"]
+    docs = text.groupBy(*by).agg(dates.alias("dates"), F.max("loaded_at").alias("run_ts"))
+    if "symbol" not in text.columns:
+        body = F.to_json(F.create_map("ticker", "dates"))
+        return docs.select(F.col("ticker").alias("symbol"), "run_ts", body.alias("body"))
+    tickers = F.map_from_entries(F.collect_list(F.struct("ticker", "dates")))
+    return docs.groupBy("symbol").agg(
+        F.max("run_ts").alias("run_ts"), F.to_json(tickers).alias("body")
     )
 
 

@@ -34,7 +34,7 @@ from barhouse.operators.quality import (
     flagged_rows,
     report_counts,
 )
-from barhouse.plans.scratch import drop_folder, few_rows, materialise, new_folder
+from barhouse.plans.scratch import drop_path, few_rows, materialise, new_folder
 from barhouse.plans.warehouse import ALL, Part, Warehouse, at, now_micros
 from barhouse.schemas import (
     ACTIONS,
@@ -128,7 +128,7 @@ class Run:
 
     def clean(self) -> None:
         for path in self._scratch:
-            drop_folder(self.wh.spark, path)
+            drop_path(self.wh.spark, path)
 
 
 def _audit_row(run: Run, outcome: str, finished: int, detail: str | None) -> Part:

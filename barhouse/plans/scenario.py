@@ -4,6 +4,7 @@ First delivery: the bars of all days before ``FIRST_END``, and the companies
 known by then. Second delivery: the bars from ``SECOND_START`` on with corrected
 closes (so the deliveries overlap), some documents of which lack a field, and
 all companies. The fact rows the first delivery had to leave out are added last.
+A document holds ten neighbouring tickers.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ def _corrected(c: str):
 
 
 def _deliver(wh: Warehouse, landing: str, text: DataFrame, stamp: str) -> None:
-    docs = g.price_documents(text).withColumn("run_ts", F.lit(stamp).cast("timestamp"))
+    tens = text.withColumn("symbol", F.expr("concat('T', cast(substring(ticker, 2) as bigint) div 10)"))
+    docs = g.price_documents(tens).withColumn("run_ts", F.lit(stamp).cast("timestamp"))
     write_raw(docs, landing)
     loads.load_bronze(wh, landing, "*.txt")
     loads.load_silver(wh, on_bad_key="quarantine")
@@ -52,7 +54,7 @@ def _build(spark: SparkSession, sf_dir: str) -> str:
     second = (
         raw.where(F.col("day") >= F.lit(SECOND_START))
         .withColumn("close_price", _corrected("close_price"))
-        .withColumn("high_price", F.when(~g.every(211), F.col("high_price")))
+        .withColumn("high_price", F.when(~g.every(997), F.col("high_price")))
     )
     loads.load_dim(wh, _companies(g.dim(spark, sf_dir), "2024-02-02"))
     _deliver(wh, landing, second, "2024-02-02")
@@ -74,18 +76,20 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 _BAR = ", ".join((*BAR_KEYS, *VALUE_COLS))
 _FACT = ", ".join((*FACT_KEYS, *VALUE_COLS))
 
+_TENS = "'T' || cast(substr(trim(ticker), 2) as bigint) // 10 as symbol"
+
 _SQL = f"""
 first as (
-  select trim(ticker) as ticker, date, {", ".join(VALUE_COLS)}, k
+  select trim(ticker) as ticker, {_TENS}, date, {", ".join(VALUE_COLS)}, k
   from raw_bars where day < date '{FIRST_END}'),
 second_all as (
-  select trim(ticker) as ticker, date, open_price, high_price, low_price,
+  select trim(ticker) as ticker, {_TENS}, date, open_price, high_price, low_price,
     cast(cast(cast(close_price as decimal(11,4)) + 1 as decimal(11,4)) as varchar) as close_price,
     volume, k
   from raw_bars where day >= date '{SECOND_START}'),
 second as (
   select * from second_all
-  where ticker not in (select ticker from second_all where k % 211 = 0)),
+  where symbol not in (select symbol from second_all where k % 997 = 0)),
 current as (
   select {_BAR} from second
   union all
@@ -222,13 +226,13 @@ select 'zero_value', cast(count(*) as bigint) from bars_now
 where high_price = 0 or low_price = 0 or close_price = 0 or open_price = 0 or volume = 0"""
 
 _FILES = """
-select ticker as symbol, '2024-02-01_00-00-00' as file_stamp, 'loaded' as status,
+select symbol, '2024-02-01_00-00-00' as file_stamp, 'loaded' as status,
   cast(null as varchar) as reason, cast(count(*) as int) as bars from first group by 1
 union all
-select ticker, '2024-02-02_00-00-00',
-  case when bool_or(k % 211 = 0) then 'rejected' else 'loaded' end,
-  case when bool_or(k % 211 = 0) then 'missing_field' end,
-  cast(case when bool_or(k % 211 = 0) then 0 else count(*) end as int)
+select symbol, '2024-02-02_00-00-00',
+  case when bool_or(k % 997 = 0) then 'rejected' else 'loaded' end,
+  case when bool_or(k % 997 = 0) then 'missing_field' end,
+  cast(case when bool_or(k % 997 = 0) then 0 else count(*) end as int)
 from second_all group by 1"""
 
 _UNMATCHED = f"""

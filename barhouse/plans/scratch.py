@@ -34,10 +34,23 @@ def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder this library wrote."""
+def _located(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder this library wrote."""
+    files, target = _located(spark, path)
+    files.delete(target, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """The names directly in a folder; none when the folder does not exist."""
+    files, target = _located(spark, path)
+    if not files.exists(target):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(target)]
 
 
 def few_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:

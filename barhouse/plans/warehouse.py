@@ -13,6 +13,7 @@ time.
 from __future__ import annotations
 
 import json
+import re
 import time
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barhouse.operators.control import reset_marks, seed_marks
-from barhouse.plans.scratch import drop_folder, few_rows
+from barhouse.operators.merge import latest
+from barhouse.plans.scratch import drop_path, few_rows, folder_names
 from barhouse.schemas import LOAD_NAMES, LOADS, REBUILDABLE, TABLE_LOG, TABLES
 
 SCHEMAS = ("bronze", "silver", "gold", "pipeline")
@@ -130,17 +132,16 @@ class Warehouse:
                 raise
             self._state = {}
             return self._state
-        newest = F.max_by(F.struct("seq", "path", "stamp", "n_rows"), "seq").alias("e")
         # One row per part: the periods and loads of the warehouse, never its bars.
-        rows = log.groupBy("table_name", "part").agg(newest).collect()
-        emptied = {r.table_name: r.e.seq for r in rows if r.part is None}
+        rows = latest(log, ["table_name", "part"], ["seq"]).collect()
+        emptied = {r.table_name: r.seq for r in rows if r.part is None}
         for r in rows:
-            self._last_seq = max(self._last_seq, r.e.seq)
+            self._last_seq = max(self._last_seq, r.seq)
             live = state.setdefault(r.table_name, [])
             if r.part is None:
-                self._made_with[r.table_name] = r.e.path
-            elif r.e.seq > emptied.get(r.table_name, 0):
-                live.append(Part(r.table_name, r.part, r.e.path, r.e.stamp, r.e.n_rows))
+                self._made_with[r.table_name] = r.path
+            elif r.seq > emptied.get(r.table_name, 0):
+                live.append(Part(r.table_name, r.part, r.path, r.stamp, r.n_rows))
         self._state = state
         self._check_definitions()
         return state
@@ -234,16 +235,40 @@ class Warehouse:
         ]
 
     def drop_superseded(self) -> int:
-        """Delete folders that no table part points to any more. Returns how many."""
+        """Remove what no table part points to any more, and shorten the log.
+
+        Takes replaced parts and the folders of loads that never committed. Run
+        it when no load is running and no reader uses an older state. Returns
+        the number of folders removed.
+        """
         self.refresh()
         live = {p.path for parts in self._snapshot().values() for p in parts}
         log = self.spark.read.schema(TABLE_LOG).json(self._log_path)
         named = log.where("part is not null").select("path").distinct().collect()
-        dead = [r.path for r in named if r.path not in live and r.path.startswith(self.root)]
+        dead = {r.path for r in named} - live
+        # By table and run only, so that it does not matter how the root is spelled.
+        used = {re.search(r"[^/]+/[^/]+/run=[^/]+", path).group() for path in live}
+        for name in TABLES:
+            home = name.replace(".", "/")
+            for run in folder_names(self.spark, f"{self.root}/{home}"):
+                if f"{home}/{run}" not in used:
+                    folder = f"{self.root}/{home}/{run}"
+                    dead = {d for d in dead if not d.startswith(folder + "/")} | {folder}
         for path in dead:
-            drop_folder(self.spark, path)
+            drop_path(self.spark, path)
+        self._shorten(log)
         return len(dead)
 
+    def _shorten(self, log: DataFrame) -> None:
+        # The newest row of each part goes into one file, then the old files go. In
+        # between these rows are there twice, which changes nothing.
+        old = [r[0] for r in log.select("_metadata.file_path").distinct().collect()]
+        newest = latest(log, ["table_name", "part"], ["seq"])
+        newest.coalesce(1).write.mode("append").json(self._log_path)
+        for path in old:
+            drop_path(self.spark, path)
+        self.refresh()
+
     # -- control rows -------------------------------------------------------
 
     def _names(self, *names: str) -> DataFrame:

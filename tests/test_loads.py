@@ -134,7 +134,7 @@ def test_colliding_keys(wh, add_bronze):
     assert prices(wh)[0] == ("AAA", dt.date(2024, 1, 5), 2)
 
 
-def test_failure_while_writing_changes_nothing(wh, add_bronze, monkeypatch):
+def test_failure_while_writing_changes_nothing(wh, add_bronze, monkeypatch, tmp_path):
     """A load that dies after writing its folders, before the commit."""
     add_bronze([bar("AAA")])
     load_silver(wh)
@@ -149,8 +149,16 @@ def test_failure_while_writing_changes_nothing(wh, add_bronze, monkeypatch):
     assert prices(other) == state
     assert other.mark("load_silver") == mark
     assert actions(load_silver(other)) == {"INSERT": 1, "UPDATE": 1}
+    _folders = lambda: len(list((tmp_path / "warehouse/silver/stocks_prices").iterdir()))
+    assert _folders() == 3
     assert other.drop_superseded() > 0
-    assert [p[2] for p in prices(other)] == [99, 11]
+    assert _folders() == 1
+    assert len(list((tmp_path / "warehouse/pipeline/table_log").glob("part-*"))) == 1
+    for reopened in (other, Warehouse(wh.spark, wh.root)):
+        assert [p[2] for p in prices(reopened)] == [99, 11]
+        assert reopened.mark("load_silver") > mark
+    assert other.drop_superseded() == 0
+    assert actions(load_silver(other)) == {}
 
 
 def test_random_batches_equal_one_load(spark, tmp_path):
