@@ -65,11 +65,21 @@ def with_provenance(files: DataFrame) -> DataFrame:
     )
 
 
+def _tickers(doc: Column) -> Column:
+    """The entries of a document. Of a ticker given twice, the last object counts."""
+    entries, names = F.map_entries(doc), F.map_keys(doc)
+    last = F.filter(
+        entries,
+        lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"]),
+    )
+    return F.when(F.size(F.array_distinct(names)) == F.size(names), entries).otherwise(last)
+
+
 def _bars(doc: Column) -> Column:
     """Every bar of a document as (ticker, date, fields), in document order."""
     return F.flatten(
         F.transform(
-            F.map_entries(doc),
+            _tickers(doc),
             lambda t: F.transform(
                 F.map_entries(t["value"]),
                 lambda d: F.struct(

@@ -139,6 +139,13 @@ def test_repeated_date_in_a_document_keeps_the_last(wh, land):
     assert rows(bronze_current(wh), "close_price") == [("2",)]
 
 
+def test_repeated_ticker_in_a_document_keeps_the_last(spark):
+    bars = json.dumps({"d1": GOOD, "d2": GOOD}), json.dumps({"d3": GOOD})
+    text = f'{{"A": {bars[0]}, "B": {bars[0]}, "A": {bars[1]}, "C": {{}}}}'
+    out = flatten_prices(spark.createDataFrame([(text,)], "value string"))
+    assert rows(out, "ticker", "date") == [("A", "d3"), ("B", "d1"), ("B", "d2")]
+
+
 def test_landing_layout_round_trip(spark, wh, tmp_path):
     landing = str(tmp_path / "raw")
     docs = spark.createDataFrame(
