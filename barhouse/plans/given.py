@@ -116,6 +116,12 @@ def known_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim(spark, sf_dir).where(F.col("sector") != NEW_SECTOR)
 
 
+def in_tens(text: DataFrame) -> DataFrame:
+    """Name the document each bar goes to: ten neighbouring tickers share one."""
+    ten = F.expr("cast(substring(ticker, 2) as bigint) div 10")
+    return text.withColumn("symbol", F.concat(F.lit("T"), ten.cast("string")))
+
+
 def price_documents(text: DataFrame) -> DataFrame:
     """One JSON document per symbol: ``{ticker: {date: {field: text}}}``.
 

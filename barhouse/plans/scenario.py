@@ -30,8 +30,7 @@ def _corrected(c: str):
 
 
 def _deliver(wh: Warehouse, landing: str, text: DataFrame, stamp: str) -> None:
-    tens = text.withColumn("symbol", F.expr("concat('T', cast(substring(ticker, 2) as bigint) div 10)"))
-    docs = g.price_documents(tens).withColumn("run_ts", F.lit(stamp).cast("timestamp"))
+    docs = g.price_documents(g.in_tens(text)).withColumn("run_ts", F.lit(stamp).cast("timestamp"))
     write_raw(docs, landing)
     loads.load_bronze(wh, landing, "*.txt")
     loads.load_silver(wh, on_bad_key="quarantine")

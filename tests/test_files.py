@@ -182,6 +182,21 @@ def test_stream_loads_each_file_once(wh, land, tmp_path):
     assert rows(wh.table(FILES), "status") == [("loaded",), ("loaded",), ("rejected",)]
 
 
+def test_stream_batch_repeated_after_a_crash_adds_nothing(wh, land, tmp_path):
+    checkpoint = tmp_path / "stream"
+    src = land("A.json", doc(A={"2024-01-02": GOOD}))
+    stream_bronze(wh, src, str(checkpoint)).awaitTermination(120)
+    wh.refresh()
+    first = wh.table(BRONZE).first()
+    # As if the process had died after the batch, before the stream noted its end.
+    for leftover in (checkpoint / "commits").iterdir():
+        leftover.unlink()
+    stream_bronze(wh, src, str(checkpoint)).awaitTermination(120)
+    wh.refresh()
+    assert wh.row_count(BRONZE) == wh.row_count(FILES) == 1
+    assert wh.table(BRONZE).first().loaded_at > first.loaded_at
+
+
 @pytest.mark.parametrize("pieces", [1, 4])
 def test_one_pass_writes_bars_and_verdicts(wh, land, pieces):
     for i in range(pieces):
