@@ -64,6 +64,9 @@ SILVER, REJECTS = "silver.stocks_prices", "silver.rejects"
 DIM, FACT, UNMATCHED = "gold.dim_ticker", "gold.fact_stock_prices", "gold.unmatched_tickers"
 RUN_LOG_TABLE = "pipeline.run_log"
 
+# A file that is staged again with the same name is another file.
+FILE_KEYS = ["source_file", "modified_at"]
+
 SUCCEEDED, FAILED = "succeeded", "failed"
 
 
@@ -221,7 +224,7 @@ def land_prices(wh: Warehouse, responses: DataFrame, landing: str) -> DataFrame:
 
 def _settled_files(wh: Warehouse, max_attempts: int) -> DataFrame:
     """Files not to be read again: loaded, or rejected as often as allowed."""
-    tries = wh.table(FILES).groupBy("source_file", "modified_at").agg(
+    tries = wh.table(FILES).groupBy(*FILE_KEYS).agg(
         F.count("*").alias("attempts"), F.bool_or(F.col("status") == "loaded").alias("loaded")
     )
     return tries.where(F.col("loaded") | (F.col("attempts") >= max_attempts))
@@ -259,13 +262,23 @@ def load_bronze(
     """
     with recorded_run(wh, "load_bronze") as run:
         settled = _settled_files(wh, max_attempts)
-        keys = ["source_file", "modified_at"]
-        new = list_price_files(wh.spark, src, glob).join(settled, keys, "left_anti")
-        folders = [r.folder for r in new.select("folder").distinct().collect()]
-        if folders:
-            base = src.rstrip("/")
-            paths = [base] if "" in folders else [f"{base}/{f}" for f in folders]
-            files = read_price_files(wh.spark, paths, glob).join(settled, keys, "left_anti")
+        listed_files = list_price_files(wh.spark, src, glob).join(
+            settled.select(*FILE_KEYS, F.lit(True).alias("done")), FILE_KEYS, "left"
+        )
+        # One row per folder directly below src.
+        folders = listed_files.groupBy("folder").agg(
+            F.count_if(F.col("done").isNull()).alias("new"), F.count_if("done").alias("old")
+        ).collect()
+        chosen = [f for f in folders if f.new]
+        base = src.rstrip("/")
+        paths = [f"{base}/{f.folder}" for f in chosen]
+        if any(f.folder == "" for f in chosen):
+            chosen, paths = folders, [base]
+        if chosen:
+            files = read_price_files(wh.spark, paths, glob)
+            # Fresh folders need no join, so their content is not shuffled for it.
+            if any(f.old for f in chosen):
+                files = files.join(settled, FILE_KEYS, "left_anti")
             append_files(run, files, run.run_id)
     return _result(run)
 
@@ -278,12 +291,8 @@ def retry_rejected(
     Returns the files that need a person.
     """
     for _ in range(max_attempts):
-        status = latest(wh.table(FILES), ["source_file", "modified_at"], ["loaded_at"])
-        settled = _settled_files(wh, max_attempts).select("source_file", "modified_at")
-        open_files = status.where("status = 'rejected'").join(
-            settled, ["source_file", "modified_at"], "left_anti"
-        )
-        if open_files.isEmpty():
+        rejected = wh.table(FILES).where("status = 'rejected'")
+        if rejected.join(_settled_files(wh, max_attempts), FILE_KEYS, "left_anti").isEmpty():
             break
         load_bronze(wh, src, glob, max_attempts)
     return needs_review(wh, max_attempts)
@@ -291,11 +300,9 @@ def retry_rejected(
 
 def needs_review(wh: Warehouse, max_attempts: int = 5) -> DataFrame:
     """Rejected files that will not be tried again, with the last reason."""
-    settled = _settled_files(wh, max_attempts).where("not loaded")
-    keys = ["source_file", "modified_at"]
-    return latest(wh.table(FILES), keys, ["loaded_at"]).join(
-        settled.select(*keys, "attempts"), keys
-    ).select("source_file", "reason", "attempts")
+    used_up = _settled_files(wh, max_attempts).where("not loaded")
+    last = latest(wh.table(FILES), FILE_KEYS, ["loaded_at"])
+    return last.join(used_up, FILE_KEYS).select("source_file", "reason", "attempts")
 
 
 def bronze_current(wh: Warehouse) -> DataFrame:
@@ -454,7 +461,10 @@ def run_silver(wh: Warehouse, **options) -> RunResult:
         load = load_silver(wh, **options)
     except Exception as e:
         return RunResult(error=f"{type(e).__name__}: {e}")
-    return RunResult(load=load, quality=check_data_quality(wh))
+    try:
+        return RunResult(load=load, quality=check_data_quality(wh))
+    except Exception as e:
+        return RunResult(load=load, error=f"{type(e).__name__}: {e}")
 
 
 def run_gold(wh: Warehouse) -> RunResult:
