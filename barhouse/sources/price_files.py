@@ -65,25 +65,35 @@ def with_provenance(files: DataFrame) -> DataFrame:
     )
 
 
-def _tickers(doc: Column) -> Column:
-    """The entries of a document. Of a ticker given twice, the last object counts."""
-    entries, names = F.map_entries(doc), F.map_keys(doc)
+def _repeats(m: Column) -> Column:
+    return F.size(F.array_distinct(F.map_keys(m))) != F.size(m)
+
+
+def _last_entries(m: Column) -> Column:
+    """The entries of a JSON object. Of a name given twice, the last value counts."""
+    entries, names = F.map_entries(m), F.map_keys(m)
     last = F.filter(
         entries,
         lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"]),
     )
-    return F.when(F.size(F.array_distinct(names)) == F.size(names), entries).otherwise(last)
+    return F.when(_repeats(m), last).otherwise(entries)
+
+
+def _fields(m: Column) -> Column:
+    return F.when(_repeats(m), F.map_from_entries(_last_entries(m))).otherwise(m)
 
 
 def _bars(doc: Column) -> Column:
     """Every bar of a document as (ticker, date, fields), in document order."""
     return F.flatten(
         F.transform(
-            _tickers(doc),
+            _last_entries(doc),
             lambda t: F.transform(
-                F.map_entries(t["value"]),
+                _last_entries(t["value"]),
                 lambda d: F.struct(
-                    t["key"].alias("ticker"), d["key"].alias("date"), d["value"].alias("fields")
+                    t["key"].alias("ticker"),
+                    d["key"].alias("date"),
+                    _fields(d["value"]).alias("fields"),
                 ),
             ),
         )

@@ -146,6 +146,13 @@ def test_repeated_ticker_in_a_document_keeps_the_last(spark):
     assert rows(out, "ticker", "date") == [("A", "d3"), ("B", "d1"), ("B", "d2")]
 
 
+def test_repeated_names_inside_a_ticker_keep_the_last(spark):
+    twice = json.dumps(GOOD)[:-1] + ', "1. open": "7"}'
+    text = f'{{"A": {{"d1": {json.dumps(GOOD)}, "d2": {json.dumps(GOOD)}, "d1": {twice}}}}}'
+    out = flatten_prices(spark.createDataFrame([(text,)], "value string"))
+    assert rows(out, "date", "open_price", "close_price") == [("d1", "7", "1.50"), ("d2", "1.0", "1.50")]
+
+
 def test_landing_layout_round_trip(spark, wh, tmp_path):
     landing = str(tmp_path / "raw")
     docs = spark.createDataFrame(
