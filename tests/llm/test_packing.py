@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from barhouse.llm import packing
+from tests.llm import small
+
+PATH = public_tokenizers.path(packing.TOKENIZER)
+TOKENIZER = Tokenizer.from_file(PATH)
+
+
+def pieces_of(doc_id, text, length):
+    ids = [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, 0]
+    for k, at in enumerate(range(0, len(ids), length)):
+        part = ids[at : at + length]
+        yield doc_id, k, at, len(part), zlib.crc32(np.array(part, dtype="<u4").tobytes())
+
+
+def check(found, data, length):
+    want = sorted((p for r in data for p in pieces_of(r[0], r[1], length)), key=repr)
+    assert sorted((tuple(r)[:5] for r in found), key=repr) == want
+    bins = {}
+    for r in found:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for held in bins.values():
+        end = 0
+        for offset, n in sorted(held):
+            assert offset == end
+            end += n
+        assert end <= length
+    return len(bins)
+
+
+@pytest.mark.parametrize("length", [16, 2048])
+def test_awkward_rows(spark, length):
+    df = small.crowded(small.docs(spark)).repartition(3)
+    check(packing.pack(df, length, nearly_full=0).collect(), small.AWKWARD, length)
+
+
+def test_empty_table(spark):
+    assert packing.pack(small.docs(spark, [])).collect() == []
+
+
+def test_rounds_fill_the_bins(spark):
+    data = [(i, "the " * (1 + i * 7 % 23), "en", "a", 0) for i in range(3000)]
+    df = small.docs(spark, data).repartition(12, "doc_id")
+    found = packing.pack(df, 32, nearly_full=0, round_items=40).collect()
+    used = check(found, data, 32)
+    assert used <= 1.01 * -(-sum(r.length for r in found) // 32) + 1
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.text(
+        st.one_of(
+            st.characters(codec="utf-8"),
+            st.sampled_from(" \t\n'sstrevm0123<|endoftext|>́İ  　\x1c\x85é"),
+        ),
+        max_size=60,
+    )
+)
+def test_ids_of_words_are_the_ids_of_the_text(text):
+    words = packing.WordTokenizer(PATH)
+    assert words.encode(text).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+    assert words.encode(text).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+def test_best_fit_takes_the_tightest_bin():
+    bins, offsets, used = packing.best_fit(np.array([6, 5, 4, 4, 1]), 10)
+    assert used.tolist() == [10, 10]
+    assert bins[0] == bins[2] and offsets[2] == 6
