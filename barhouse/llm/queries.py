@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barhouse.llm import exact_dedup, mixing, packing, pii, quality, simhash, suffix_dedup, topk
+from barhouse.llm import (
+    exact_dedup,
+    html_text,
+    line_dedup,
+    mixing,
+    packing,
+    pii,
+    quality,
+    simhash,
+    suffix_dedup,
+    topk,
+)
 from barhouse.llm.common import table
 
 
@@ -16,12 +27,22 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
     counts = [f"n_{k}" for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -50,7 +71,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup,
+        op2_html_text,
         op3_pii_spans,
+        op4_line_dedup,
         op5_best_fit_packing,
         op6_simhash_dedup,
         op7_quality_resampling,
