@@ -25,11 +25,14 @@ MATCH = 50
 PREFIX = 24
 #: The table is added to the index family in this many batches.
 BATCHES = 4
-#: A block of documents is a row with this much text, or one longer document; chunks are worked through one by one.
-BLOCK_BYTES = 16 << 20
-CHUNK_BYTES = 2 << 20
-#: A part of the tables is meant to hold this much text at most.
-PART_BYTES = 32 << 20
+#: A block of documents is a row with this much text, or one longer document.
+BLOCK_BYTES = 2 << 20
+#: 2 ** HOME_BITS successive blocks of a task share a home, which is what tables of blocks are bucketed and joined by.
+HOME_BITS = 3
+#: A part of the tables is meant to stand for this much text at most.
+PART_BYTES = 8 << 20
+#: Keys that a task gathers before it sends them off.
+FLUSH_KEYS = 1 << 20
 _NO_ID = np.iinfo(np.int64).max
 _KNOWN = np.int64(-1)
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD)
@@ -66,8 +69,9 @@ def _row_batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 
 # Blocks of documents and their anchors.
 
+_BLOCK_SQL = "home long, block long, batch int, ids binary, ends binary, body binary"
 _BLOCK = pa.schema(
-    [("block", pa.int64()), ("batch", pa.int32()), ("ids", pa.binary()), ("ends", pa.binary()), ("body", pa.binary())]
+    [("home", pa.int64()), ("block", pa.int64()), ("batch", pa.int32()), *[(c, pa.binary()) for c in ("ids", "ends", "body")]]
 )
 
 
@@ -86,9 +90,9 @@ def _to_blocks(n_batches: int):
                 body = b"" if data is None else data[int(offsets[start]) : int(offsets[stop])].to_pybytes()
                 ends = (offsets[start + 1 : stop + 1] - offsets[start]).astype(np.int64)
                 block = part << 24 | made
-                yield _row_batch(
-                    _BLOCK, [(block, (part + made) % n_batches, ids[start:stop].tobytes(), ends.tobytes(), body)]
-                )
+                home = block >> HOME_BITS
+                batch_no = home % n_batches
+                yield _row_batch(_BLOCK, [(home, block, batch_no, ids[start:stop].tobytes(), ends.tobytes(), body)])
                 start, made = stop, made + 1
 
     return run
@@ -149,16 +153,8 @@ class Block:
 
     def keys(self, match: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Position, key and document number of every anchor."""
-        places, keys, a = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)], 0
-        while a < len(self.ends):
-            start = self.starts[a]
-            b = max(a + 1, int(np.searchsorted(self.ends, start + CHUNK_BYTES, "right")))
-            at, key = anchors(self.body[start : self.ends[b - 1]], self.ends[a:b] - start, match)
-            places.append(at + start)
-            keys.append(key)
-            a = b
-        at = np.concatenate(places)
-        return at, np.concatenate(keys) >> np.uint64(64 - bits), np.searchsorted(self.ends, at, "right")
+        at, key = anchors(self.body, self.ends, match)
+        return at, key >> np.uint64(64 - bits), np.searchsorted(self.ends, at, "right")
 
     def entries(self, repeated: np.ndarray, match: int, bits: int) -> Entries:
         """The surroundings of the anchors whose key is ``repeated`` (sorted)."""
@@ -240,8 +236,20 @@ def _ranges(n_parts: int, bits: int) -> np.ndarray:
 def _send_keys(n_parts: int, match: int, bits: int):
     """Per task: each key once per block that holds it (marked where several documents of it do)."""
 
+    def sorted_out(keys: list[np.ndarray], owners: list[np.ndarray]) -> pa.RecordBatch:
+        key, owner = np.concatenate(keys), np.concatenate(owners)
+        order = np.argsort(key, kind="stable")
+        key, owner = key[order], owner[order]
+        cuts = np.append(np.searchsorted(key, _ranges(n_parts, bits)), len(key))
+        rows = [
+            (k, _packed(key[a:b], True), _packed(owner[a:b]))
+            for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+            if b > a
+        ]
+        return _row_batch(_SENT, rows)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, owners = [], []
+        keys, owners, held = [], [], 0
         for batch in batches:
             for block, *rest in zip(*batch.columns):
                 _, key, doc = Block(*[c.as_py() for c in rest]).keys(match, bits)
@@ -251,18 +259,12 @@ def _send_keys(n_parts: int, match: int, bits: int):
                 last = first + sizes - 1
                 keys.append(key[first])
                 owners.append((np.int64(block.as_py()) << 1) | (doc[first] != doc[last]))
-        if not keys:
-            return
-        key, owner = np.concatenate(keys), np.concatenate(owners)
-        order = np.argsort(key, kind="stable")
-        key, owner = key[order], owner[order]
-        cuts = np.append(np.searchsorted(key, _ranges(n_parts, bits)), len(key))
-        rows = [
-            (k, _packed(key[a:b], True), _packed(owner[a:b]))
-            for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
-            if b > a
-        ]
-        yield _row_batch(_SENT, rows)
+                held += len(first)
+                if held >= FLUSH_KEYS:
+                    yield sorted_out(keys, owners)
+                    keys, owners, held = [], [], 0
+        if keys:
+            yield sorted_out(keys, owners)
 
     return run
 
@@ -377,38 +379,29 @@ class IndexFamily:
             self.tables.drop(name)
 
 
-def _by_block(n: int):
-    """Hits as one row per block and task."""
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hits as one row per block and batch of rows."""
     schema = pa.schema([("block", pa.int64()), ("found", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key = [_unpacked(b.as_py()) for b in batch.column(0)]
-            block = [_unpacked(b.as_py()).view(np.int64) for b in batch.column(1)]
-            if not key:
-                continue
-            key, block = np.concatenate(key), np.concatenate(block)
-            order = np.lexsort((key, block))
-            key, block = key[order], block[order]
-            yield _row_batch(
-                schema,
-                [(int(block[a]), _packed(np.unique(key[a : a + n]), True)) for a, n in zip(*map(np.ndarray.tolist, _runs(block)))],
-            )
-
-    return run
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.concatenate([_unpacked(b.as_py()) for b in batch.column(0)])
+        block = np.concatenate([_unpacked(b.as_py()).view(np.int64) for b in batch.column(1)])
+        order = np.lexsort((key, block))
+        key, block = key[order], block[order]
+        runs = zip(*[x.tolist() for x in _runs(block)])
+        yield _row_batch(schema, [(int(block[a]), _packed(np.unique(key[a : a + n]), True)) for a, n in runs])
 
 
 # Exact comparison of the surroundings of repeated anchors.
 
-_ENTRY = pa.schema(
-    [(c, pa.binary()) for c in ("keys", "ids", "rows", "lanes")]
-)
+_ENTRY = [(c, pa.binary()) for c in ("keys", "ids", "rows", "lanes")]
 
 
-def _repeated(found: list[bytes] | None) -> np.ndarray:
-    if not found:
-        return np.zeros(0, dtype=np.uint64)
-    return np.unique(np.concatenate([_unpacked(f, True) for f in found]))
+def _repeated(block: int, found: list[dict] | None) -> np.ndarray:
+    """The keys reported to a block, from what is reported to its home."""
+    own = [_unpacked(f["found"], True) for f in found or () if f["block"] == block]
+    return np.unique(np.concatenate(own)) if own else np.zeros(0, dtype=np.uint64)
 
 
 def _send_entries(n_parts: int, match: int, bits: int):
@@ -418,7 +411,10 @@ def _send_entries(n_parts: int, match: int, bits: int):
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for block, ids, ends, body, found in zip(*batch.columns):
-                held = Block(ids.as_py(), ends.as_py(), body.as_py()).entries(_repeated(found.as_py()), match, bits)
+                told = _repeated(block.as_py(), found.as_py())
+                if not len(told):
+                    continue
+                held = Block(ids.as_py(), ends.as_py(), body.as_py()).entries(told, match, bits)
                 lead = held.lead[np.argsort(held.key[held.lead], kind="stable")]
                 key = held.key[lead]
                 cuts = np.append(np.searchsorted(key, _ranges(n_parts, bits)), len(key)).tolist()
@@ -433,20 +429,18 @@ def _send_entries(n_parts: int, match: int, bits: int):
     return run
 
 
-def first_holders(lanes: np.ndarray, ids: np.ndarray, match: int) -> np.ndarray:
-    """Per row and start j: the smallest id of a row with the same string of ``match`` bytes there.
+def first_holders(lanes: np.ndarray, ids: np.ndarray, match: int) -> Iterator[np.ndarray]:
+    """For every start j in turn: per row the smallest id of a row with the same string of ``match`` bytes.
 
     Strings are told apart by a hash and then by their bytes.
     """
     reach = match - PREFIX
     raw = np.ascontiguousarray(lanes).view(np.uint8)
-    usable = raw[:, -4:].copy().view("<u4").ravel()
-    out = np.repeat(ids[:, None], reach + 1, axis=1)
+    usable = _usable(lanes)
     width = 8 * -(-match // 8)
     for j in range(reach + 1):
+        out = ids.copy()
         rows = np.flatnonzero(usable >> np.uint32(j) & np.uint32(1))
-        if not len(rows):
-            continue
         string = np.zeros((len(rows), width), dtype=np.uint8)
         string[:, :match] = raw[rows, reach - j : reach - j + match]
         string = string.view("<u8")
@@ -459,10 +453,15 @@ def first_holders(lanes: np.ndarray, ids: np.ndarray, match: int) -> np.ndarray:
             again = np.argsort(kind.ravel(), kind="stable")
             order, kind = order[again], kind.ravel()[again]
             same = kind[1:] == kind[:-1]
-        first = np.flatnonzero(np.append(True, ~same))
-        least = np.minimum.reduceat(ids[rows[order]], first)
-        out[rows[order], j] = np.repeat(least, np.diff(np.append(first, len(rows))))
-    return out
+        if len(rows):
+            first = np.flatnonzero(np.append(True, ~same))
+            least = np.minimum.reduceat(ids[rows[order]], first)
+            out[rows[order]] = np.repeat(least, np.diff(np.append(first, len(rows))))
+        yield out
+
+
+def _usable(lanes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(lanes[:, -1] >> np.uint64(32)).astype(np.uint32)
 
 
 _MASKS = pa.schema([("block", pa.int64()), ("rows", pa.binary()), ("masks", pa.binary())])
@@ -489,10 +488,12 @@ def _compare(match: int):
         own_key = key[lead]
         _, kind, sizes = np.unique(own_key, return_inverse=True, return_counts=True)
         mixed = np.flatnonzero(sizes[kind] > 1)
-        least = np.repeat(id_[lead][:, None], match - PREFIX + 1, axis=1)
-        least[mixed] = first_holders(lane[lead[mixed]], id_[lead[mixed]], match)
-        usable = np.ascontiguousarray(lane).view(np.uint8)[:, -4:].copy().view("<u4").ravel()
-        mask = _as_bits(least[group] < id_[:, None]) & usable
+        least, mask = id_[lead], np.zeros(len(id_), dtype=np.uint32)
+        for j, found in enumerate(first_holders(lane[lead[mixed]], least[mixed], match)):
+            least_j = least.copy()
+            least_j[mixed] = found
+            mask |= (least_j[group] < id_).astype(np.uint32) << np.uint32(j)
+        mask &= _usable(lane)
         order = np.argsort(block, kind="stable")
         order = order[mask[order] > 0]
         out = []
@@ -512,15 +513,16 @@ _RESULT = pa.schema(
 def _cut(match: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, ends, body, found, rows, masks in zip(*batch.columns):
+            for number, ids, ends, body, found, answers in zip(*batch.columns):
                 block = Block(ids.as_py(), ends.as_py(), body.as_py())
                 removed = np.zeros(len(block.body), dtype=bool)
-                if found.as_py():
-                    held = block.entries(_repeated(found.as_py()), match, bits)
+                told = _repeated(number.as_py(), found.as_py())
+                if len(told):
+                    held = block.entries(told, match, bits)
                     mask = np.zeros(len(held.at), dtype=np.uint32)
-                    if rows.as_py():
-                        at = np.concatenate([_unpacked(r) for r in rows.as_py()]).astype(np.int64)
-                        mask[at] = np.concatenate([_unpacked(m) for m in masks.as_py()]).astype(np.uint32)
+                    for answer in answers.as_py() or ():
+                        if answer["block"] == number.as_py():
+                            mask[_unpacked(answer["rows"]).astype(np.int64)] = _unpacked(answer["masks"])
                     lead = held.lead[held.group]
                     later = held.ids > held.ids[lead]  # equal surroundings in a smaller id of this block
                     mask = np.where(later, held.usable, mask[lead])
@@ -560,8 +562,8 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, n_batches: int = BATCHES
     A byte goes if a string of ``match`` bytes around it also starts in a document with a
     smaller id; ``kept`` holds the other bytes. Strings are judged on the whole input.
 
-    1. Documents are written as blocks, bucketed, so that later joins by block
-       move no text.
+    1. Documents are written as blocks, bucketed, so that later joins move no
+       text.
     2. Batch by batch the anchors' keys go to their part, once per block, and become a suffix
        array; it is merge-scanned against every level of the family, and equal-sized levels
        merge. A key that several documents hold is reported to the blocks that have it. In the
@@ -582,36 +584,35 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, n_batches: int = BATCHES
     # Of n keys one in 2 ** 20 meets another by chance; what meets is compared in full.
     bits = min(64, max(1, size).bit_length() + 20)
     tables = Tables(scratch, parts)
+
+    def by_home(rows: DataFrame, *columns: str) -> DataFrame:
+        home = F.shiftright("block", HOME_BITS).alias("home")
+        return rows.groupBy(home).agg(F.collect_list(F.struct("block", *columns)).alias("of_home"))
+
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    made = rows.mapInArrow(_to_blocks(n_batches), "block long, batch int, ids binary, ends binary, body binary")
-    blocks = spark.table(tables.save(made, "block", ["batch"]))
+    made = rows.mapInArrow(_to_blocks(n_batches), _BLOCK_SQL)
+    blocks = spark.table(tables.save(made, "home", ["batch"]))
     family = IndexFamily(tables, match, bits)
     for k in sorted(r.batch for r in blocks.select("batch").distinct().collect()):
         family.add(blocks.where(F.col("batch") == k))
     hits = spark.createDataFrame([], "hit_keys binary, hit_blocks binary")
     for more in family.hits:
         hits = hits.union(more)
-    told = scratch.keep(
-        hits.mapInArrow(_by_block(parts), "block long, found binary")
-        .groupBy("block")
-        .agg(F.collect_list("found").alias("found"))
-    )
+    told = scratch.keep(by_home(hits.mapInArrow(_by_block, "block long, found binary"), "found"))
+    told = told.withColumnRenamed("of_home", "found")
     family.drop()
     sent = (
-        blocks.join(told, "block")
+        blocks.join(told, "home")
         .select("block", "ids", "ends", "body", "found")
         .mapInArrow(_send_entries(parts, match, bits), "part int, block long, keys binary, ids binary, rows binary, lanes binary")
     )
-    masks = (
-        sent.repartitionById(parts, F.col("part"))
-        .mapInArrow(_compare(match), "block long, rows binary, masks binary")
-        .groupBy("block")
-        .agg(F.collect_list("rows").alias("rows"), F.collect_list("masks").alias("masks"))
+    answers = sent.repartitionById(parts, F.col("part")).mapInArrow(
+        _compare(match), "block long, rows binary, masks binary"
     )
-    masks = scratch.keep(masks)
+    answers = scratch.keep(by_home(answers, "rows", "masks")).withColumnRenamed("of_home", "answers")
     return (
-        blocks.join(told, "block", "left")
-        .join(masks, "block", "left")
-        .select("ids", "ends", "body", "found", "rows", "masks")
+        blocks.join(told, "home", "left")
+        .join(answers, "home", "left")
+        .select("block", "ids", "ends", "body", "found", "answers")
         .mapInArrow(_cut(match, bits), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
     )

@@ -68,7 +68,7 @@ def passages(seed, n=260):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_equals_brute_force(spark, monkeypatch, seed):
     monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 6000)
-    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", 2500)
+    monkeypatch.setattr(suffix_dedup, "HOME_BITS", 1)
     data = passages(seed)
     assert found(small.docs(spark, data).repartition(3), n_batches=5) == brute(data)
 
