@@ -10,7 +10,7 @@ from barhouse.plans.loads import (
     load_dim,
     load_gold,
     load_silver,
-    needs_review,
+    failed_files,
     retry_rejected,
     run_gold,
     run_silver,
@@ -30,7 +30,7 @@ __all__ = [
     "load_dim",
     "load_gold",
     "load_silver",
-    "needs_review",
+    "failed_files",
     "retry_rejected",
     "run_gold",
     "run_silver",

@@ -16,9 +16,6 @@ from barhouse.streaming import stream_bronze
 
 log = logging.getLogger("barhouse")
 
-# How many offending rows the quality report prints; all of them are in its frames.
-SHOWN = 100
-
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="barhouse")
@@ -32,6 +29,14 @@ def _parser() -> argparse.ArgumentParser:
     bronze.add_argument("src")
     bronze.add_argument("--glob", default="*.json")
     bronze.add_argument("--stream", metavar="CHECKPOINT", help="load as a stream")
+    bronze.add_argument("--archive", metavar="FOLDER", help="with --stream: move files that were read")
+    bronze.add_argument("--retries", type=int, default=3, help="passes over rejected files")
+    jobs.add_parser("failed", help="name the files that are not loaded")
+    jobs.add_parser("verify", help="name the key rules that the tables break")
+    jobs.add_parser("compact", help="merge small parts and drop old versions of bars")
+    jobs.add_parser("clean", help="remove folders that nothing points to; no load may be running")
+    publish = jobs.add_parser("publish", help="put the tables into the session catalog")
+    publish.add_argument("--prefix", default="")
     silver = jobs.add_parser("silver", help="load the typed table, then check its quality")
     silver.add_argument("--on-bad-key", choices=["fail", "quarantine"], default="fail")
     silver.add_argument("--on-duplicate-key", choices=["fail", "latest"], default="fail")
@@ -55,11 +60,16 @@ def _report_load(load: loads.LoadResult) -> None:
 
 def _report_quality(quality: loads.QualityResult) -> None:
     for name, count in quality.counts.items():
-        log.info("%s: %s", name, count)
-        if count:
-            for row in quality.rows[name].take(SHOWN):
-                log.info("  %s", row.asDict())
-    quality.release()
+        log.info("%s: %s, all rows in %s/report=%s", name, count, quality.path, name)
+
+
+def _report_failed(wh: Warehouse) -> int:
+    """Name every file that is not loaded."""
+    failed = 0
+    for row in loads.failed_files(wh).toLocalIterator():
+        failed += 1
+        log.warning("not loaded: %s (%s, tried %s times)", row.source_file, row.reason, row.attempts)
+    return failed
 
 
 def _report_run(run: loads.RunResult) -> int:
@@ -69,6 +79,8 @@ def _report_run(run: loads.RunResult) -> int:
     _report_load(run.load)
     if run.warning:
         log.warning("%s", run.warning)
+        for row in run.load.missing_rows.toLocalIterator():
+            log.warning("not in the dimension: %s", row.ticker)
     if run.quality:
         _report_quality(run.quality)
     return 0
@@ -87,9 +99,26 @@ def run(spark: SparkSession, argv: list[str]) -> int:
         for r in outcomes.groupBy("outcome", "retryable").count().collect():
             log.info("%s: %s%s", r.outcome, r["count"], " (retry)" if r.retryable else "")
     elif args.job == "bronze" and args.stream:
-        stream_bronze(wh, args.src, args.stream, args.glob).awaitTermination()
+        stream_bronze(wh, args.src, args.stream, args.glob, archive=args.archive).awaitTermination()
+        wh.refresh()
+        loads.retry_rejected(wh, args.src, args.glob, args.retries)
+        _report_failed(wh)
     elif args.job == "bronze":
         _report_load(loads.load_bronze(wh, args.src, args.glob))
+        loads.retry_rejected(wh, args.src, args.glob, args.retries)
+        _report_failed(wh)
+    elif args.job == "failed":
+        _report_failed(wh)
+    elif args.job == "verify":
+        broken = [name for name, rows in loads.verify_keys(wh).items() if not rows.isEmpty()]
+        log.info("broken rules: %s", ", ".join(broken) or "none")
+        return int(bool(broken))
+    elif args.job == "compact":
+        _report_load(loads.compact_bronze(wh))
+    elif args.job == "clean":
+        log.info("folders removed: %s", wh.drop_superseded())
+    elif args.job == "publish":
+        wh.publish(args.prefix)
     elif args.job == "dim":
         _report_load(loads.load_dim(wh, read_responses(spark, args.src)))
     elif args.job == "backfill":
@@ -102,7 +131,7 @@ def run(spark: SparkSession, argv: list[str]) -> int:
 
 
 def main() -> None:
-    logging.basicConfig(format="%(asctime)s - %(levelname)s - %(name)s - %(message)s")
+    logging.basicConfig(format="%(levelname)s %(asctime)s %(message)s")
     log.setLevel(logging.INFO)
     spark = SparkSession.builder.appName("barhouse").getOrCreate()
     try:

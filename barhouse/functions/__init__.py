@@ -10,6 +10,7 @@ from barhouse.functions.text import (
     folder_value,
     int_or_null,
     run_stamp,
+    url_decoded,
     whole_seconds,
 )
 
@@ -23,5 +24,6 @@ __all__ = [
     "folder_value",
     "int_or_null",
     "run_stamp",
+    "url_decoded",
     "whole_seconds",
 ]

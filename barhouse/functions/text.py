@@ -56,6 +56,11 @@ def file_stamp(name: Column | str) -> Column:
     return F.nullif(F.regexp_extract(_col(name), FILE_NAME, 2), F.lit(""))
 
 
+def url_decoded(c: Column | str) -> Column:
+    """Text of a file's address. A plus sign stands for itself there."""
+    return F.url_decode(F.replace(_col(c), F.lit("+"), F.lit("%2B")))
+
+
 def whole_seconds(start: Column | str, end: Column | str) -> Column:
     return F.timestamp_diff("SECOND", _col(start), _col(end))
 

@@ -24,8 +24,7 @@ from barhouse.operators.keys import (
 from barhouse.operators.merge import count_actions, latest, merge_actions, merge_upsert
 from barhouse.operators.quality import (
     cast_failures,
-    count_rows,
-    flagged_rows,
+    quality_details,
     negative_values,
     price_inversions,
     report_counts,
@@ -42,10 +41,9 @@ __all__ = [
     "check_unique",
     "check_widths",
     "count_actions",
-    "count_rows",
     "day_over_day",
     "dim_upsert",
-    "flagged_rows",
+    "quality_details",
     "has_missing",
     "incremental",
     "latest",

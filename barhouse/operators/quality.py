@@ -49,13 +49,10 @@ def zero_values(silver: DataFrame) -> DataFrame:
     return silver.where(is_zero()).select(*DETAIL)
 
 
-def count_rows(df: DataFrame, name: str) -> DataFrame:
-    return df.agg(F.count("*").alias(name))
-
-
-def flagged_rows(silver: DataFrame) -> DataFrame:
-    """Rows in at least one report, so that one scan can serve all of them."""
-    return silver.where(is_inverted() | is_negative() | is_zero()).select(*DETAIL)
+def quality_details(silver: DataFrame) -> DataFrame:
+    """Every report's rows, with the report's name, from one scan."""
+    reports = F.array(*[F.when(test(), F.lit(name)) for name, test in CHECKS.items()])
+    return silver.select(F.explode(F.array_compact(reports)).alias("report"), *DETAIL)
 
 
 def report_counts(silver: DataFrame) -> DataFrame:

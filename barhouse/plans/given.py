@@ -93,9 +93,13 @@ def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers in credit as companies; the others are the tickers nobody knows."""
+    return companies(spark, sf_dir).where("c_acctbal >= 0").drop("c_acctbal")
+
+
+def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers as companies."""
     joined = (
         given(spark, sf_dir, "customer")
-        .where("c_acctbal >= 0")
         .join(given(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(given(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
@@ -108,6 +112,7 @@ def dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring("r_name", 1, 10).alias("exchange"),
         F.lit("USD").alias("currency"),
         F.col("n_name").alias("country"),
+        "c_acctbal",
     )
 
 
@@ -142,6 +147,33 @@ def price_documents(text: DataFrame) -> DataFrame:
     )
 
 
+#: Characters of real symbols that file names and addresses treat in their own ways.
+ODD = ("^", " ", "%", "/", ":", "+", "#", "%41")
+
+
+def odd_tickers(text: DataFrame) -> DataFrame:
+    """Tickers with a character between the letter and the number, by the number."""
+    number = F.substring("ticker", 2, 12)
+    mark = F.array(*[F.lit(x) for x in ODD])[(number.cast("bigint") % len(ODD)).cast("int")]
+    return text.withColumn("ticker", F.concat(F.lit("U"), mark, number))
+
+
+ODD_SQL = "'U' || [{}][cast(substr(ticker, 2) as bigint) % {} + 1] || substr(ticker, 2)".format(
+    ", ".join(f"'{x}'" for x in ODD), len(ODD)
+)
+
+
+def daily_responses(text: DataFrame) -> DataFrame:
+    """What the price service answers: one envelope per ticker (``symbol, run_ts, body``)."""
+    pairs = [x for c, name in BAR_FIELDS.items() for x in (F.lit(name), F.col(c))]
+    dates = F.map_from_entries(F.collect_list(F.struct("date", F.create_map(*pairs))))
+    found = text.groupBy(F.col("ticker").alias("symbol")).agg(
+        dates.alias("dates"), F.max("loaded_at").alias("run_ts")
+    )
+    body = F.to_json(F.struct(F.col("dates").alias("Time Series (Daily)")))
+    return found.select("symbol", "run_ts", body.alias("body"))
+
+
 def company_documents(companies: DataFrame) -> DataFrame:
     doc = F.struct(
         F.col("ticker").alias("Symbol"),
@@ -212,13 +244,13 @@ SQL = {
         select ticker, date, {_PRICES}, volume, loaded_at
         from bars where date < date '{TARGET_END}'""",
     "source": "select * from silver where date is not null",
-    "dim": """
+    "companies": """
         select cast(c_custkey + 1 as int) as ticker_id, 'U' || c_custkey as ticker,
           c_name as company_name, c_mktsegment as sector, n_name as industry,
-          substr(r_name, 1, 10) as exchange, 'USD' as currency, n_name as country
+          substr(r_name, 1, 10) as exchange, 'USD' as currency, n_name as country, c_acctbal
         from customer join nation on c_nationkey = n_nationkey
-          join region on n_regionkey = r_regionkey
-        where c_acctbal >= 0""",
+          join region on n_regionkey = r_regionkey""",
+    "dim": "select * exclude (c_acctbal) from companies where c_acctbal >= 0",
     "known_dim": f"select * from dim where sector <> '{NEW_SECTOR}'",
     "control": f"""
         select 'load_U' || user_id as procedure_name, max(ts) as last_run, min(ts) as high_mark
@@ -233,6 +265,7 @@ _NEEDS = {
     "silver": ["typed"],
     "target": ["bars"],
     "source": ["silver"],
+    "dim": ["companies"],
     "known_dim": ["dim"],
 }
 

@@ -21,7 +21,6 @@ from barhouse.operators.dimension import (
     listed,
     missing_facts,
     resolve_ticker,
-    unmatched_tickers,
 )
 from barhouse.operators.incremental import incremental, typed_source
 from barhouse.operators.keys import check_not_null, check_unique
@@ -31,10 +30,10 @@ from barhouse.operators.quality import (
     DETAIL,
     INVERSION,
     INVERSION_DETAIL,
-    flagged_rows,
+    quality_details,
     report_counts,
 )
-from barhouse.plans.scratch import drop_path, few_rows, materialise, new_folder
+from barhouse.plans.scratch import drop_path, few_rows, materialise
 from barhouse.plans.warehouse import ALL, Part, Warehouse, at, now_micros
 from barhouse.schemas import (
     ACTIONS,
@@ -48,8 +47,9 @@ from barhouse.schemas import (
 from barhouse.schemas import LOAD_LOG as CONTROL
 from barhouse.sources.price_files import (
     bars_and_verdicts,
+    file_of,
     list_price_files,
-    read_price_files,
+    read_named_files,
     write_raw,
 )
 from barhouse.sources.responses import (
@@ -84,19 +84,17 @@ class LoadResult:
     detail: str | None = None
     missing: DataFrame | None = None
     n_missing: int = 0
+    missing_rows: DataFrame | None = None
+    rejected: DataFrame | None = None
 
 
 @dataclass
 class QualityResult:
-    """The six result sets: a count and the offending rows per check."""
+    """The six result sets: a count and the offending rows per check, and where all of these are kept."""
 
     counts: dict[str, int]
     rows: dict[str, DataFrame]
-    flagged: DataFrame
-
-    def release(self) -> None:
-        """Free the flagged rows kept for the lists."""
-        self.flagged.unpersist()
+    path: str
 
 
 @dataclass
@@ -125,7 +123,7 @@ class Run:
 
     def once(self, df: DataFrame) -> DataFrame:
         """Write an intermediate result down for the time of the run."""
-        path = new_folder(self.wh.spark, f"{self.wh.root}/_scratch")
+        path = f"{self.wh.root}/_scratch/{uuid.uuid4().hex}"
         self._scratch.append(path)
         return materialise(df, path)
 
@@ -174,7 +172,11 @@ def recorded_run(wh: Warehouse, job: str) -> Iterator[Run]:
         wh.commit(run.parts)
     except Exception as e:
         run.inserted = run.updated = 0
-        wh.commit([_audit_row(run, FAILED, now_micros(), f"{type(e).__name__}: {e}"[:2000])])
+        wh.refresh()
+        try:
+            wh.commit([_audit_row(run, FAILED, now_micros(), f"{type(e).__name__}: {e}")])
+        except Exception as e2:
+            e.add_note(f"The failure could not be recorded: {type(e2).__name__}: {e2}")
         raise
     finally:
         run.clean()
@@ -187,6 +189,14 @@ def _result(run: Run) -> LoadResult:
     return LoadResult(run.run_id, actions, seconds, run.inserted, run.updated, run.detail)
 
 
+def _hold(name: str, keys, source: DataFrame) -> None:
+    """Refuse rows that break the key rules of a table, before they are merged into it."""
+    for rule, broken in (("NULL in", check_not_null(source, keys)), ("repeated", check_unique(source, keys))):
+        found = broken.first()
+        if found is not None:
+            raise LoadError(f"{name}: {rule} key, such as {found.asDict()}")
+
+
 def _merge(
     run: Run, name: str, source: DataFrame, periods: list[str], n_source: int, keys, stamp: int
 ) -> None:
@@ -196,6 +206,7 @@ def _merge(
     and every source row ends up in the table exactly once.
     """
     wh = run.wh
+    _hold(name, keys, source)
     before = wh.parts(name, periods)
     merged = merge_upsert(wh.read(name, before), source, keys)
     written = wh.write_periods(name, merged, run.run_id, stamp, tuple(keys))
@@ -208,7 +219,7 @@ def _merge(
 
 
 def land_prices(wh: Warehouse, responses: DataFrame, landing: str) -> DataFrame:
-    """Land the usable price responses (``symbol, body, run_ts``), one file per symbol and run.
+    """Land the usable price responses (``symbol, body, run_ts``), one document per symbol and run.
 
     Returns what became of each response; the retryable ones are worth another
     request.
@@ -222,21 +233,39 @@ def land_prices(wh: Warehouse, responses: DataFrame, landing: str) -> DataFrame:
     return judged.select("symbol", "run_ts", "outcome", "retryable")
 
 
-def _settled_files(wh: Warehouse, max_attempts: int) -> DataFrame:
-    """Files not to be read again: loaded, or rejected as often as allowed."""
-    tries = wh.table(FILES).groupBy(*FILE_KEYS).agg(
-        F.count("*").alias("attempts"), F.bool_or(F.col("status") == "loaded").alias("loaded")
+def loaded_documents(wh: Warehouse) -> DataFrame:
+    return wh.table(FILES).where("status = 'loaded'").select(*FILE_KEYS).distinct()
+
+
+def _open_files(wh: Warehouse, src: str, glob: str) -> DataFrame:
+    """Staged files with a document that is not loaded, by name only: nothing is opened.
+
+    A file is known by its address and time. ``begun`` marks those of which other
+    documents are loaded.
+    """
+    documents = wh.table(FILES).groupBy(*FILE_KEYS).agg(
+        F.bool_or(F.col("status") == "loaded").alias("loaded")
+    )
+    known = documents.groupBy(file_of("source_file").alias("file"), "modified_at").agg(
+        F.bool_and("loaded").alias("done"), F.bool_or("loaded").alias("begun")
+    )
+    staged = list_price_files(wh.spark, src, glob).join(known, ["file", "modified_at"], "left")
+    return staged.where(~F.coalesce("done", F.lit(False))).select(
+        "path", F.coalesce("begun", F.lit(False)).alias("begun")
     )
-    return tries.where(F.col("loaded") | (F.col("attempts") >= max_attempts))
 
 
 def append_files(run: Run, files: DataFrame, part: str) -> None:
-    """Parse ``files`` and add their bars and verdicts as one new batch, in one pass."""
+    """Parse ``files`` and add their bars and verdicts as one new batch, in one pass.
+
+    The input splits decide the size of the written files; :func:`compact_bronze`
+    merges them later.
+    """
     wh = run.wh
     stamp = wh.next_stamp(BRONZE)
     path = wh.folder(BRONZE, run.run_id)
     rows = bars_and_verdicts(files).withColumn("loaded_at", at(stamp))
-    rows.hint("rebalance").write.partitionBy("kind").parquet(path)
+    rows.write.partitionBy("kind").parquet(path)
     written = wh.spark.read.schema("status string, kind string").parquet(path)
     counts = {
         (r.kind, r.status): r["count"] for r in written.groupBy("kind", "status").count().collect()
@@ -250,59 +279,82 @@ def append_files(run: Run, files: DataFrame, part: str) -> None:
         run.parts.append(Part(FILES, part, f"{path}/kind=file", stamp, good + bad))
 
 
-def load_bronze(
-    wh: Warehouse, src: str, glob: str = "*.json", max_attempts: int = 5
-) -> LoadResult:
-    """Load the staged files that are not loaded yet.
+def load_bronze(wh: Warehouse, src: str, glob: str = "*.json") -> LoadResult:
+    """Load the staged documents that are not loaded yet.
 
-    A bad file is rejected whole and tried again by later runs, at most
-    ``max_attempts`` times; the others load. Only folders directly below
-    ``src`` that hold new files are read, so land each fetch in its own folder
-    (or use the streaming form) once there are many files.
+    A bad file is rejected whole; the others load. Every run tries every staged
+    file that is not loaded, however often it was rejected; ``rejected`` of the
+    result names those of this run. The names of staged files are compared with
+    the ledger, and only files that are to be read are opened. The driver holds
+    their names, as Spark's own listing does.
     """
     with recorded_run(wh, "load_bronze") as run:
-        settled = _settled_files(wh, max_attempts)
-        listed_files = list_price_files(wh.spark, src, glob).join(
-            settled.select(*FILE_KEYS, F.lit(True).alias("done")), FILE_KEYS, "left"
-        )
-        # One row per folder directly below src.
-        folders = listed_files.groupBy("folder").agg(
-            F.count_if(F.col("done").isNull()).alias("new"), F.count_if("done").alias("old")
-        ).collect()
-        chosen = [f for f in folders if f.new]
-        base = src.rstrip("/")
-        paths = [f"{base}/{f.folder}" for f in chosen]
-        if any(f.folder == "" for f in chosen):
-            chosen, paths = folders, [base]
+        chosen = _open_files(wh, src, glob).collect()
         if chosen:
-            files = read_price_files(wh.spark, paths, glob)
-            # Fresh folders need no join, so their content is not shuffled for it.
-            if any(f.old for f in chosen):
-                files = files.join(settled, FILE_KEYS, "left_anti")
+            files = read_named_files(wh.spark, [f.path for f in chosen])
+            # Fresh files need no join, so their content is not shuffled for it.
+            if any(f.begun for f in chosen):
+                files = files.join(loaded_documents(wh), FILE_KEYS, "left_anti")
             append_files(run, files, run.run_id)
-    return _result(run)
-
+    result = _result(run)
+    verdicts = wh.read(FILES, [p for p in run.parts if p.table == FILES])
+    result.rejected = verdicts.where("status = 'rejected'").select("source_file", "reason")
+    return result
 
-def retry_rejected(
-    wh: Warehouse, src: str, glob: str = "*.json", max_attempts: int = 5
-) -> DataFrame:
-    """Try the rejected files again until they load or have used up their attempts.
 
-    Returns the files that need a person.
-    """
-    for _ in range(max_attempts):
-        rejected = wh.table(FILES).where("status = 'rejected'")
-        if rejected.join(_settled_files(wh, max_attempts), FILE_KEYS, "left_anti").isEmpty():
+def retry_rejected(wh: Warehouse, src: str, glob: str = "*.json", passes: int = 3) -> DataFrame:
+    """Try what is not loaded again, up to ``passes`` times, and return what is still rejected."""
+    for _ in range(passes):
+        if failed_files(wh).isEmpty():
             break
-        load_bronze(wh, src, glob, max_attempts)
-    return needs_review(wh, max_attempts)
+        load_bronze(wh, src, glob)
+    return failed_files(wh)
+
+
+def failed_files(wh: Warehouse) -> DataFrame:
+    """Documents whose newest state is rejected, with the last reason and the number of tries."""
+    last = latest(wh.table(FILES), FILE_KEYS, ["loaded_at"]).where("status = 'rejected'")
+    newest = latest(last, ["source_file"], ["modified_at"])
+    loaded = wh.table(FILES).where("status = 'loaded'")
+    # A run that was landed again has new files for the same symbols.
+    landed_again = loaded.select("symbol", "file_stamp").distinct()
+    mended = loaded.select("source_file").distinct()
+    tries = wh.table(FILES).groupBy("source_file").agg(F.count("*").alias("attempts"))
+    return (
+        newest.join(mended, "source_file", "left_anti")
+        .join(landed_again, ["symbol", "file_stamp"], "left_anti")
+        .join(tries, "source_file")
+        .select("source_file", "reason", "attempts")
+    )
+
 
+def _merged_into(parts: list[Part], one: Part) -> list[Part]:
+    """Log rows by which ``one`` takes the place of ``parts``."""
+    return [one, *[Part(p.table, p.name, one.path, p.stamp, 0) for p in parts]]
 
-def needs_review(wh: Warehouse, max_attempts: int = 5) -> DataFrame:
-    """Rejected files that will not be tried again, with the last reason."""
-    used_up = _settled_files(wh, max_attempts).where("not loaded")
-    last = latest(wh.table(FILES), FILE_KEYS, ["loaded_at"])
-    return last.join(used_up, FILE_KEYS).select("source_file", "reason", "attempts")
+
+def compact_bronze(wh: Warehouse) -> LoadResult:
+    """Merge the parts of Bronze, its ledger and the audit log that are one per run.
+
+    Of Bronze only parts that the typed table has read are taken, and of them the
+    newest version of each key: older ones can never count again. The other two
+    keep all rows.
+    """
+    with recorded_run(wh, "compact_bronze") as run:
+        closed = [p for p in wh.parts(BRONZE) if p.rows and p.stamp <= wh.mark("load_silver")]
+        if len(closed) > 1:
+            stamp = max(p.stamp for p in closed)
+            newest = latest(wh.read(BRONZE, closed), BAR_KEYS, VERSION_ORDER)
+            one = wh.write_part(BRONZE, run.run_id, newest, run.run_id, stamp)
+            run.parts += _merged_into(closed, one)
+            run.detail = f"versions dropped: {sum(p.rows for p in closed) - one.rows}"
+        for name in (FILES, RUN_LOG_TABLE):
+            small = [p for p in wh.parts(name) if p.rows]
+            if len(small) > 1:
+                merged = f"{run.run_id}-merged"
+                one = wh.write_part(name, merged, wh.read(name, small), merged, max(p.stamp for p in small))
+                run.parts += _merged_into(small, one)
+    return _result(run)
 
 
 def bronze_current(wh: Warehouse) -> DataFrame:
@@ -336,7 +388,8 @@ def load_silver(
         ).collect()
         bad = sum(p.n for p in periods if p.period is None)
         if bad and on_bad_key == "fail":
-            raise LoadError(f"{bad} keys have a date that cannot be read")
+            unread = latest(scope.where(F.col("date").try_cast("date").isNull()), BAR_KEYS, VERSION_ORDER)
+            raise LoadError(f"{unread.count()} keys have a date that cannot be read")
         good = [p for p in periods if p.period is not None]
         collide = sum(p.n_collide for p in good)
         if collide and on_duplicate_key == "fail":
@@ -367,17 +420,23 @@ def load_silver(
 
 
 def check_data_quality(wh: Warehouse) -> QualityResult:
-    """Count and list suspicious rows of the typed table. Changes nothing.
+    """Count and list suspicious rows of the typed table. Changes nothing in it.
 
-    The table is scanned once; counts and lists come from the flagged rows.
+    The table is scanned once. All offending rows are written below
+    ``reports/quality``, a folder per run and report; counts and lists come from there.
     """
-    flagged = flagged_rows(wh.table(SILVER)).persist()
-    counts = {r.report: r.row_count for r in report_counts(flagged).collect()}
+    path = f"{wh.root}/reports/quality/{uuid.uuid4().hex}"
+    flagged = quality_details(wh.table(SILVER))
+    flagged.write.partitionBy("report").parquet(path)
+    written = wh.spark.read.schema(flagged.schema).parquet(path)
+    found = {r.report: r["count"] for r in written.groupBy("report").count().collect()}
     rows = {
-        name: flagged.where(test()).select(*(INVERSION_DETAIL if name == INVERSION else DETAIL))
-        for name, test in CHECKS.items()
+        name: written.where(F.col("report") == name).select(
+            *(INVERSION_DETAIL if name == INVERSION else DETAIL)
+        )
+        for name in CHECKS
     }
-    return QualityResult(counts, rows, flagged)
+    return QualityResult({name: found.get(name, 0) for name in CHECKS}, rows, path)
 
 
 # -- gold -------------------------------------------------------------------
@@ -405,25 +464,39 @@ def load_gold(wh: Warehouse) -> LoadResult:
         fresh = wh.parts(SILVER, after=mark)
         scope = incremental(wh.read(SILVER, fresh), at(mark))
         dim = wh.table(DIM)
-        missing = unmatched_tickers(scope, dim).withColumn("run_id", F.lit(run.run_id))
-        unmatched = wh.write_part(UNMATCHED, run.run_id, missing, run.run_id, now_micros())
+        left_out = scope.select("ticker", wh.period_of()).distinct().join(dim.select("ticker"), "ticker", "left_anti")
+        left_out = left_out.withColumn("run_id", F.lit(run.run_id))
+        unmatched = wh.write_part(UNMATCHED, run.run_id, left_out, run.run_id, now_micros())
+        tickers = wh.read(UNMATCHED, [unmatched]).select("ticker").distinct()
+        n_missing = tickers.count() if unmatched.rows else 0
         if unmatched.rows:
             run.parts.append(unmatched)
-            run.detail = f"tickers not in the dimension: {unmatched.rows}"
+            run.detail = f"tickers not in the dimension: {n_missing}"
         if fresh:
             run.high_mark = max(p.stamp for p in fresh)
         _merge_fact(run, resolve_ticker(scope, dim))
     result = _result(run)
-    result.missing, result.n_missing = listed(wh.read(UNMATCHED, [unmatched])), unmatched.rows
+    result.missing, result.n_missing, result.missing_rows = listed(tickers), n_missing, tickers
     return result
 
 
 def backfill_unmatched(wh: Warehouse) -> LoadResult:
-    """Add the fact rows of tickers that were left out earlier and have a dimension row now."""
+    """Add the fact rows of tickers that were left out earlier and have a dimension row now.
+
+    Only the periods recorded for these tickers are read. What is resolved leaves
+    the record in the same commit; when nothing is, nothing is read.
+    """
     with recorded_run(wh, "backfill_unmatched") as run:
-        dim = wh.table(DIM)
-        late = dim.join(wh.table(UNMATCHED).select("ticker").distinct(), "ticker", "left_semi")
-        _merge_fact(run, missing_facts(wh.table(SILVER), late, wh.table(FACT)))
+        dim, record = wh.table(DIM), wh.parts(UNMATCHED)
+        open_ = wh.read(UNMATCHED, record).select("ticker", "period").distinct()
+        late = run.once(open_.join(dim.select("ticker"), "ticker", "left_semi"))
+        periods = [r.period for r in late.select("period").distinct().collect()]
+        if periods:
+            known = dim.join(late.select("ticker").distinct(), "ticker", "left_semi")
+            _merge_fact(run, missing_facts(wh.table(SILVER, periods), known, wh.table(FACT, periods)))
+            left = open_.join(late, ["ticker", "period"], "left_anti").withColumn("run_id", F.lit(run.run_id))
+            one = wh.write_part(UNMATCHED, run.run_id, left, run.run_id, now_micros())
+            run.parts += _merged_into(record, one)
     return _result(run)
 
 
@@ -497,12 +570,13 @@ __all__ = [
     "backfill_unmatched",
     "bronze_current",
     "check_data_quality",
+    "compact_bronze",
+    "failed_files",
     "land_prices",
     "load_bronze",
     "load_dim",
     "load_gold",
     "load_silver",
-    "needs_review",
     "recorded_run",
     "retry_rejected",
     "run_gold",

@@ -61,9 +61,9 @@ def target(spark, sf):
 # -- cast, filter, quality --------------------------------------------------
 
 
-@query("silver_cast", g.sql("select * from silver", "silver"))
+@query("silver_cast", g.sql("select * from typed", "typed"))
 def silver_cast(spark, sf):
-    return silver(spark, sf)
+    return typed(spark, sf)
 
 
 @query(
@@ -269,13 +269,13 @@ def newest_typed(spark, sf):
 @query(
     "gold_resolve",
     g.sql(
-        f"select d.ticker_id, s.date, {_VALUES} from source s join dim d on s.ticker = d.ticker",
-        "source",
+        f"select d.ticker_id, s.date, {_VALUES} from typed s join dim d on s.ticker = d.ticker",
+        "typed",
         "dim",
     ),
 )
 def gold_resolve(spark, sf):
-    return op.resolve_ticker(source(spark, sf), g.dim(spark, sf))
+    return op.resolve_ticker(typed(spark, sf), g.dim(spark, sf))
 
 
 _UNMATCHED = """
@@ -339,17 +339,17 @@ def gold_upsert(spark, sf):
     "gold_backfill",
     g.sql(
         f"""
-select * from ({_RESOLVED.format("source", "dim")}) s
+select * from ({_RESOLVED.format("typed", "dim")}) s
 where not exists (
-  select 1 from ({_RESOLVED.format("source", "known_dim")}) f
+  select 1 from ({_RESOLVED.format("typed", "known_dim")}) f
   where f.ticker_id = s.ticker_id and f.date = s.date)""",
-        "source",
+        "typed",
         "dim",
         "known_dim",
     ),
 )
 def gold_backfill(spark, sf):
-    bars = source(spark, sf)
+    bars = typed(spark, sf)
     fact = op.resolve_ticker(bars, g.known_dim(spark, sf))
     return op.missing_facts(bars, g.dim(spark, sf), fact)
 
@@ -420,14 +420,14 @@ def pk_violations(spark, sf):
 @query(
     "fk_violations",
     g.sql(
-        "select distinct ticker from target t "
+        "select distinct ticker from bars t "
         "where not exists (select 1 from dim d where d.ticker = t.ticker)",
-        "target",
+        "bars",
         "dim",
     ),
 )
 def fk_violations(spark, sf):
-    return op.check_fk(target(spark, sf), g.dim(spark, sf), "ticker")
+    return op.check_fk(g.bars(spark, sf), g.dim(spark, sf), "ticker")
 
 
 @query(
@@ -545,16 +545,16 @@ def watermark_reset(spark, sf):
 
 @query(
     "run_seconds",
-    g.sql(
-        "select procedure_name, cast(date_sub('second', high_mark, last_run) as bigint) as seconds "
-        "from control",
-        "control",
-    ),
+    """
+select 'load_U' || user_id as procedure_name,
+  cast(date_sub('second', min(ts), max(ts)) as bigint) as seconds
+from events group by 1""",
 )
 def run_seconds(spark, sf):
-    return g.control_rows(spark, sf).select(
-        "procedure_name", whole_seconds("high_mark", "last_run").alias("seconds")
+    runs = g.events(spark, sf).groupBy(g.load_name("user_id")).agg(
+        F.min("ts").alias("started_at"), F.max("ts").alias("finished_at")
     )
+    return runs.select("procedure_name", whole_seconds("started_at", "finished_at").alias("seconds"))
 
 
 # -- documents and responses ------------------------------------------------
@@ -633,44 +633,87 @@ def unwrap_daily(spark, sf):
     return src.flatten_prices(unwrapped, "body").select(*BAR_KEYS, *VALUE_COLS)
 
 
-@query("parse_company", g.sql(f"select {', '.join(DIM_WIDTHS)} from dim", "dim"))
+@query("parse_company", g.sql(f"select {', '.join(DIM_WIDTHS)} from companies", "companies"))
 def parse_company(spark, sf):
-    return src.parse_company(g.company_documents(g.dim(spark, sf))).select(*DIM_WIDTHS)
-
-
-# The kinds of response, by event_id modulo their number, with their outcome.
-_RESPONSES = [
-    ("<html>busy</html>", "transport_error", True),
-    ('{"Error Message": "the API key is invalid"}', "invalid_key", False),
-    ('{"Error Message": "unknown Symbol"}', "invalid_symbol", False),
-    ('{"Error Message": "the api key or symbol is wrong"}', "invalid_key", False),
-    ('{"Error Message": "other"}', "unrecognized_error", False),
-    ('{"Information": "Upgrade to REMOVE the daily limit"}', "daily_quota", False),
-    ('{"Information": "at most 1 request per second"}', "rate_limited", True),
-    ('{"Information": "other"}', "unrecognized_info", False),
-    ('{"Time Series (Daily)": {"2024-01-02": {"1. open": "1"}}}', "ok", False),
-    ('{"Name": "for a price request"}', "unknown", True),
-    ("{}", "unknown", True),
-    ("[1]", "unknown", True),
+    return src.parse_company(g.company_documents(g.companies(spark, sf))).select(*DIM_WIDTHS)
+
+
+# Bodies by a number of the row: templates over its own columns, valid SQL for both engines.
+_PRICE_BODIES = [
+    "props",
+    "'{\"Error Message\": \"the API key for ' || event_type || ' is invalid\"}'",
+    "'{\"Error Message\": \"unknown Symbol U' || user_id || '\"}'",
+    "'{\"Error Message\": \"' || event_type || '\", \"Information\": \"remove\"}'",
+    "'{\"Information\": \"Upgrade ' || event_type || ' to REMOVE the daily limit\"}'",
+    "'{\"Information\": \"at most 1 request per second, U' || user_id || '\"}'",
+    "'{\"Information\": \"' || event_type || '\"}'",
+    "'{\"Time Series (Daily)\": ' || props || '}'",
+    "'{\"Time Series (Daily)\": ' || props || '}<html>'",
+    "substr(props, 1, length(props) - 1)",
+    "'[' || props || ']'",
+    "cast(null as string)",
+    "'{\"Name\": \"' || event_type || '\"}'",
+    "'  {\"Time Series (Daily)\": {}}  '",
 ]
+_COMPANY_BODIES = [
+    "'{\"Name\": \"' || c_name || '\", \"Sector\": \"' || c_mktsegment || '\"}'",
+    "'{\"Time Series (Daily)\": {}}'",
+    "'{\"Name\": \"' || c_name || '\"} {}'",
+    "'{\"Error Message\": \"' || c_mktsegment || ' api KEY symbol\"}'",
+]
+
+
+def _body(number: str, bodies: list[str]) -> str:
+    cases = " ".join(f"when {i} then {b}" for i, b in enumerate(bodies))
+    return f"case {number} % {len(bodies)} {cases} end"
+
+
+_RESPONSES = f"""
+select 'E' || event_id as symbol, 'prices' as kind, {_body("event_id", _PRICE_BODIES)} as body from events
+union all
+select 'C' || c_custkey, 'company', {_body("c_custkey", _COMPANY_BODIES)} from customer"""
 
 
 @query(
     "classify_response",
-    "select event_id, case event_id % {n} {outcome} end as outcome, "
-    "case event_id % {n} {retry} end as retryable from events".format(
-        n=len(_RESPONSES),
-        outcome=" ".join(f"when {i} then '{o}'" for i, (_, o, _) in enumerate(_RESPONSES)),
-        retry=" ".join(
-            f"when {i} then {'true' if r else 'false'}" for i, (_, _, r) in enumerate(_RESPONSES)
-        ),
-    ),
+    f"""
+with responses as ({_RESPONSES}), parsed as (
+  select symbol, kind, coalesce(json_valid(body), false) as valid,
+    case when json_valid(body) and json_type(body) = 'OBJECT' then body end as doc
+  from responses
+), texts as (
+  select symbol, kind, valid, doc is not null as is_object,
+    json_exists(doc, '$."Error Message"') as has_error,
+    lower(json_extract_string(doc, '$."Error Message"')) as error,
+    json_exists(doc, '$."Information"') as has_notice,
+    lower(json_extract_string(doc, '$."Information"')) as notice,
+    json_exists(doc, case kind when 'prices' then '$."Time Series (Daily)"' else '$."Name"' end) as succeeded
+  from parsed
+), judged as (
+  select symbol, case
+    when not valid then 'transport_error'
+    when not is_object then 'unknown'
+    when has_error and error like '%api key%' then 'invalid_key'
+    when has_error and error like '%symbol%' then 'invalid_symbol'
+    when has_error then 'unrecognized_error'
+    when has_notice and notice like '%remove%' then 'daily_quota'
+    when has_notice and notice like '%1 request%' then 'rate_limited'
+    when has_notice then 'unrecognized_info'
+    when succeeded then 'ok'
+    else 'unknown' end as outcome
+  from texts
+)
+select symbol, outcome, outcome in ('transport_error', 'rate_limited', 'unknown') as retryable from judged""",
 )
 def classify_response(spark, sf):
-    bodies = F.array(*[F.lit(body) for body, _, _ in _RESPONSES])
-    kind_no = (F.col("event_id") % len(_RESPONSES)).cast("int")
-    responses = g.given(spark, sf, "events").select("event_id", bodies[kind_no].alias("body"))
-    return src.classify_response(responses, "prices").drop("body")
+    """Answers of both kinds, made of all events and customers; some are cut off or go on too long."""
+    events = g.given(spark, sf, "events").selectExpr(
+        "'E' || event_id as symbol", "'prices' as kind", f"{_body('event_id', _PRICE_BODIES)} as body"
+    )
+    customers = g.given(spark, sf, "customer").selectExpr(
+        "'C' || c_custkey as symbol", "'company' as kind", f"{_body('c_custkey', _COMPANY_BODIES)} as body"
+    )
+    return src.classify_response(events.union(customers)).select("symbol", "outcome", "retryable")
 
 
 # -- figures at query time --------------------------------------------------

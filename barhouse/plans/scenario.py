@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barhouse.operators import quality_details as operators_quality
 from barhouse.plans import given as g
 from barhouse.plans import loads
-from barhouse.plans.scratch import new_folder
+from barhouse.plans.scratch import drop_path, new_folder
 from barhouse.plans.warehouse import Warehouse
 from barhouse.schemas import BAR_KEYS, DIM_WIDTHS, FACT_KEYS, PRICE_COLS, VALUE_COLS
 from barhouse.sources.price_files import write_raw
@@ -23,6 +24,7 @@ from barhouse.streaming import stream_bronze
 _BUILT: dict[tuple[str, ...], str] = {}
 
 FIRST_END, SECOND_START = "2024-01-20", "2024-01-10"
+FIRST_RUN = "run_stamp=2024-02-01_00-00-00"
 
 
 def _corrected(c: str):
@@ -32,7 +34,7 @@ def _corrected(c: str):
 def _deliver(wh: Warehouse, landing: str, text: DataFrame, stamp: str) -> None:
     docs = g.price_documents(g.in_tens(text)).withColumn("run_ts", F.lit(stamp).cast("timestamp"))
     write_raw(docs, landing)
-    loads.load_bronze(wh, landing, "*.txt")
+    loads.load_bronze(wh, landing)
     loads.load_silver(wh, on_bad_key="quarantine")
 
 
@@ -114,21 +116,119 @@ def bronze_state(spark, sf):
     return loads.bronze_current(warehouse(spark, sf)).select(*BAR_KEYS, *VALUE_COLS)
 
 
-def bronze_stream(spark, sf):
-    """Both deliveries read as a stream into a warehouse of its own.
-
-    They arrive in one batch here, so the run stamps in the file names decide.
-    """
-    key = (spark.sparkContext.applicationId, sf, "stream")
+def _other(spark, sf, name: str, build) -> Warehouse:
+    """Another warehouse over the same landing folder, built once."""
+    key = (spark.sparkContext.applicationId, sf, name)
     if key not in _BUILT:
         folder = warehouse(spark, sf).root.removesuffix("/warehouse")
-        wh = Warehouse(spark, f"{folder}/stream_warehouse").create()
-        stream_bronze(wh, f"{folder}/landing", f"{folder}/checkpoint", "*.txt").awaitTermination()
+        wh = Warehouse(spark, f"{folder}/{name}").create()
+        build(wh, folder, f"{folder}/landing")
         _BUILT[key] = wh.root
-    current = loads.bronze_current(Warehouse(spark, _BUILT[key]))
+    return Warehouse(spark, _BUILT[key])
+
+
+def bronze_stream(spark, sf):
+    """Both deliveries read by streams, the second after the checkpoint was lost and made anew."""
+
+    def build(wh, folder, landing):
+        checkpoint = f"{folder}/checkpoint"
+        stream_bronze(wh, f"{landing}/{FIRST_RUN}", checkpoint).awaitTermination()
+        drop_path(spark, checkpoint)
+        stream_bronze(wh, landing, checkpoint).awaitTermination()
+
+    current = loads.bronze_current(_other(spark, sf, "stream_warehouse", build))
     return current.select(*BAR_KEYS, *VALUE_COLS)
 
 
+def _second_life(spark, sf) -> Warehouse:
+    """The same deliveries with failing runs, created twice, compacted, rebuilt and loaded again."""
+
+    def build(wh, folder, landing):
+        Warehouse(spark, wh.root).create()
+        loads.load_dim(wh, _companies(g.known_dim(spark, sf), "2024-02-01"))
+        loads.load_bronze(wh, f"{landing}/{FIRST_RUN}")
+        loads.run_silver(wh)  # refused: some dates cannot be read
+        loads.run_silver(wh, on_bad_key="quarantine")
+        loads.run_gold(wh)
+        loads.load_dim(wh, _companies(g.dim(spark, sf), "2024-02-02"))
+        loads.load_bronze(wh, landing)
+        loads.run_silver(wh, on_bad_key="quarantine")
+        loads.run_gold(wh)
+        loads.compact_bronze(wh)
+        wh.rebuild(loads.SILVER)
+        wh.rebuild(loads.FACT)
+        loads.run_silver(wh, on_bad_key="quarantine")
+        loads.run_gold(wh)
+
+    return _other(spark, sf, "second_life", build)
+
+
+def bronze_compacted(spark, sf):
+    """What is stored after a compaction: one version of each key, without looking for the newest."""
+    return _second_life(spark, sf).table(loads.BRONZE).select(*BAR_KEYS, *VALUE_COLS)
+
+
+def reloaded_facts(spark, sf):
+    return _second_life(spark, sf).table(loads.FACT).select(*FACT_KEYS, *VALUE_COLS)
+
+
+def load_stamps(spark, sf):
+    """A load stamps all its rows alike, and none is without a stamp."""
+    rows = _second_life(spark, sf).table(loads.SILVER)
+    return rows.agg(
+        F.count("*").alias("bars"),
+        F.count("loaded_at").alias("stamped"),
+        F.count_distinct("loaded_at").alias("stamps"),
+    )
+
+
+def runner_audit(spark, sf):
+    """What the runners' loads recorded, a refused one among them."""
+    runs = _second_life(spark, sf).table(loads.RUN_LOG_TABLE)
+    order = Window.partitionBy("job").orderBy("started_at")
+    return runs.where("job in ('load_silver', 'load_gold')").select(
+        "job", F.row_number().over(order).alias("run_no"), "outcome", "detail"
+    )
+
+
+def quality_details(spark, sf):
+    """All rows of the three reports, as the job writes them."""
+    found = loads.check_data_quality(warehouse(spark, sf))
+    schema = operators_quality(warehouse(spark, sf).table(loads.SILVER)).schema
+    return spark.read.schema(schema).parquet(found.path)
+
+
+def land_then_load(spark, sf):
+    """Answers for odd symbols, landed twice and loaded with the defaults: every stored row."""
+
+    def build(wh, folder, landing):
+        responses = g.daily_responses(g.odd_tickers(g.text_bars(spark, sf)))
+        for _ in range(2):
+            loads.land_prices(wh, responses, f"{folder}/odd_landing")
+        loads.load_bronze(wh, f"{folder}/odd_landing")
+
+    return _other(spark, sf, "odd_warehouse", build).table(loads.BRONZE).select(*BAR_KEYS, *VALUE_COLS)
+
+
+def bronze_retry(spark, sf):
+    """Documents rejected by many runs, then repaired: the bars in force, and no file left over."""
+
+    def build(wh, folder, landing):
+        text = g.in_tens(g.text_bars(spark, sf))
+        stamp = F.lit("2024-03-01").cast("timestamp")
+        faulty = text.withColumn("high_price", F.when(~g.every(31), F.col("high_price")))
+        write_raw(g.price_documents(faulty).withColumn("run_ts", stamp), f"{folder}/mended")
+        for _ in range(2):
+            loads.load_bronze(wh, f"{folder}/mended")
+        loads.retry_rejected(wh, f"{folder}/mended", passes=4)
+        write_raw(g.price_documents(text).withColumn("run_ts", stamp), f"{folder}/mended")
+        loads.load_bronze(wh, f"{folder}/mended")
+
+    wh = _other(spark, sf, "retry_warehouse", build)
+    left = F.lit(loads.failed_files(wh).count()).cast("long").alias("files_left")
+    return loads.bronze_current(wh).select(*BAR_KEYS, *VALUE_COLS, left)
+
+
 def bronze_files(spark, sf):
     """Files per delivery and verdict."""
     files = warehouse(spark, sf).table(loads.FILES)
@@ -235,7 +335,7 @@ select symbol, '2024-02-02_00-00-00',
 from second_all group by 1"""
 
 _UNMATCHED = f"""
-select distinct ticker from first where {_GOOD} and ticker not in (select ticker from known_dim)
+select distinct ticker from first where {_GOOD} and ticker not in (select ticker from dim)
 union
 select distinct ticker from second where {_GOOD} and ticker not in (select ticker from dim)"""
 
@@ -243,6 +343,40 @@ _REJECTED = f"""
 select {_BAR} from first where not {_GOOD}
 union all select {_BAR} from second where not {_GOOD}"""
 
+_DETAILS = "ticker, date, high_price, low_price, close_price, open_price, volume"
+_ALL_DETAILS = f"""
+select 'price_inversion' as report, {_DETAILS} from bars_now where high_price < low_price
+union all
+select 'negative_value', {_DETAILS} from bars_now
+where high_price < 0 or low_price < 0 or close_price < 0 or open_price < 0 or volume < 0
+union all
+select 'zero_value', {_DETAILS} from bars_now
+where high_price = 0 or low_price = 0 or close_price = 0 or open_price = 0 or volume = 0"""
+
+
+def _counted(text: str, rows: str) -> str:
+    return f"(select case when count(*) > 0 then '{text}' || count(*) end from ({rows}))"
+
+
+def _unknown(rows: str, known: str) -> str:
+    found = f"select distinct ticker from {rows} where {_GOOD} and ticker not in (select ticker from {known})"
+    return _counted("tickers not in the dimension: ", found)
+
+
+def _bad(rows: str) -> str:
+    return f"select 1 from {rows} where not {_GOOD}"
+
+
+_RUNNERS = f"""
+select 'load_silver' as job, cast(1 as int) as run_no, 'failed' as outcome,
+  (select 'LoadError: ' || count(*) || ' keys have a date that cannot be read' from ({_bad("first")})) as detail
+union all select 'load_silver', 2, 'succeeded', {_counted("quarantined: ", _bad("first"))}
+union all select 'load_silver', 3, 'succeeded', {_counted("quarantined: ", _bad("second"))}
+union all select 'load_silver', 4, 'succeeded', {_counted("quarantined: ", _bad("current"))}
+union all select 'load_gold', 1, 'succeeded', {_unknown("first", "known_dim")}
+union all select 'load_gold', 2, 'succeeded', {_unknown("second", "dim")}
+union all select 'load_gold', 3, 'succeeded', {_unknown("current", "dim")}"""
+
 _STAR = """
 select sector, exchange, date, cast(count(*) as bigint) as bars,
   max(close_price) as highest_close, cast(sum(volume) as bigint) as total_volume
@@ -261,4 +395,20 @@ QUERIES = {
     "quality_report": (quality_report, _oracle(_COUNTS)),
     "run_audit": (run_audit, _oracle(_AUDIT)),
     "star_select": (star_select, _oracle(_STAR)),
+    "bronze_compacted": (bronze_compacted, _oracle(f"select {_BAR} from current")),
+    "reloaded_facts": (reloaded_facts, _oracle(f"select {_FACT} from facts")),
+    "load_stamps": (
+        load_stamps,
+        _oracle("select count(*) as bars, count(*) as stamped, cast(1 as bigint) as stamps from bars_now"),
+    ),
+    "runner_audit": (runner_audit, _oracle(_RUNNERS)),
+    "quality_details": (quality_details, _oracle(_ALL_DETAILS)),
+    "land_then_load": (
+        land_then_load,
+        g.sql(f"select {g.ODD_SQL} as ticker, date, {', '.join(VALUE_COLS)} from text_bars", "text_bars"),
+    ),
+    "bronze_retry": (
+        bronze_retry,
+        g.sql(f"select {_BAR}, cast(0 as bigint) as files_left from text_bars", "text_bars"),
+    ),
 }

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +28,26 @@ def new_folder(spark: SparkSession, fallback: str | None = None) -> str:
     return f"{scratch_root(spark, fallback)}/barhouse-{uuid.uuid4().hex}"
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole, or not at all: False when there is one of that name."""
+    files, target = _located(spark, path)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs
+    draft = hadoop.Path(f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}")
+    out = files.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    never = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
+    try:
+        hadoop.FileContext.getFileContext(target.toUri(), conf).rename(draft, target, never)
+    except Py4JJavaError:
+        files.delete(draft, False)
+        if files.exists(target):
+            return False
+        raise
+    return True
+
+
 def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` as parquet and read it back. Survives the loss of any executor."""
     path = path or new_folder(df.sparkSession)

@@ -6,8 +6,8 @@ control row and the audit row visible together, or not at all. A load that dies
 earlier leaves folders nobody reads.
 
 A table is a set of named parts (a period of dates, a batch, or all of a small
-table). The newest log row of a part says which folder holds it. One writer at a
-time.
+table). The newest log row of a part says which folder holds it. A commit is
+refused when another load has moved a part it replaces.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from barhouse.operators.control import reset_marks, seed_marks
 from barhouse.operators.merge import latest
-from barhouse.plans.scratch import drop_path, few_rows, folder_names
+from barhouse.plans.scratch import create_file, drop_path, few_rows, folder_names
 from barhouse.schemas import LOAD_NAMES, LOADS, REBUILDABLE, TABLE_LOG, TABLES
 
 SCHEMAS = ("bronze", "silver", "gold", "pipeline")
@@ -33,6 +33,10 @@ ALL = "all"
 PERIODS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
 
 
+class ConcurrentLoad(Exception):
+    """Another load has changed what this one was based on; nothing was committed."""
+
+
 @dataclass(frozen=True)
 class Part:
     """One folder of a table. ``stamp`` is its newest load stamp in microseconds."""
@@ -146,17 +150,34 @@ class Warehouse:
         self._check_definitions()
         return state
 
+    def _version(self, p: Part) -> object:
+        """What a part replaces, as far as this object knows the log."""
+        live = {q.name: q.path for q in self._snapshot().get(p.table, [])}
+        return live if p.name is None else live.get(p.name)
+
     def commit(self, parts: Iterable[Part]) -> None:
-        """Make the parts current, all at once: the log grows by a single file."""
-        self._snapshot()
-        seq = max(now_micros(), self._last_seq + 1)
-        rows = [
-            dict(zip(TABLE_LOG.names, (seq + i, p.table, p.name, p.path, p.stamp, p.rows)))
-            for i, p in enumerate(parts)
-        ]
-        listed = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(TABLE_LOG))
-        one = self.spark.range(0, 1, 1, 1)
-        one.select(F.inline(listed)).write.mode("append").json(self._log_path)
+        """Make the parts current, all at once: the log grows by a single file.
+
+        The file is named by the position in the log that it follows and never
+        replaces another, so of two commits on one state the second has to look
+        again. It is refused if a part it replaces is not the one that was there
+        when this object last read the log, which a load does at its start.
+        """
+        parts = list(parts)
+        based_on = [self._version(p) for p in parts]
+        while True:
+            self.refresh()
+            for p, seen in zip(parts, based_on):
+                if self._version(p) != seen:
+                    raise ConcurrentLoad(f"{p.table}, part {p.name}")
+            seq = max(now_micros(), self._last_seq + 1)
+            rows = [
+                dict(zip(TABLE_LOG.names, (seq + i, p.table, p.name, p.path, p.stamp, p.rows)))
+                for i, p in enumerate(parts)
+            ]
+            text = "".join(json.dumps(row) + "\n" for row in rows)
+            if create_file(self.spark, f"{self._log_path}/after-{self._last_seq:020d}.json", text):
+                break
         self.refresh()
 
     # -- reading ------------------------------------------------------------
@@ -254,7 +275,7 @@ class Warehouse:
                 if f"{home}/{run}" not in used:
                     folder = f"{self.root}/{home}/{run}"
                     dead = {d for d in dead if not d.startswith(folder + "/")} | {folder}
-        for path in dead:
+        for path in [*dead, f"{self.root}/_scratch"]:
             drop_path(self.spark, path)
         self._shorten(log)
         return len(dead)
@@ -264,6 +285,8 @@ class Warehouse:
         # between these rows are there twice, which changes nothing.
         old = [r[0] for r in log.select("_metadata.file_path").distinct().collect()]
         newest = latest(log, ["table_name", "part"], ["seq"])
+        # A part that was merged into another one holds nothing.
+        newest = newest.where("part is null or n_rows > 0")
         newest.coalesce(1).write.mode("append").json(self._log_path)
         for path in old:
             drop_path(self.spark, path)

@@ -94,7 +94,9 @@ FACT = _struct(
     ("volume", T.IntegerType()),
 )
 
-UNMATCHED = _struct(("ticker", T.StringType()), ("run_id", T.StringType()))
+UNMATCHED = _struct(
+    ("ticker", T.StringType()), ("period", T.StringType()), ("run_id", T.StringType())
+)
 
 LOAD_LOG = _struct(
     ("procedure_name", T.StringType()),

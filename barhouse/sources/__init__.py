@@ -4,7 +4,9 @@ from barhouse.sources.price_files import (
     bars_and_verdicts,
     flatten_prices,
     judge_files,
+    file_of,
     list_price_files,
+    read_named_files,
     read_price_files,
     split_valid_files,
     with_provenance,
@@ -24,7 +26,9 @@ __all__ = [
     "company_problem",
     "flatten_prices",
     "judge_files",
+    "file_of",
     "list_price_files",
+    "read_named_files",
     "parse_company",
     "read_price_files",
     "read_responses",

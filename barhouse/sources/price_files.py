@@ -6,15 +6,20 @@ verdict is an expression on that row; no grouping or join is needed.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barhouse.functions import file_stamp, file_symbol, folder_value, run_stamp
+from barhouse.functions import file_stamp, file_symbol, folder_value, run_stamp, url_decoded
 from barhouse.schemas import BAR_FIELDS, BRONZE_WIDTHS
 
 # The document is parsed as the only element of an array, so that text after
 # the closing brace makes it invalid instead of being ignored.
 _DOCUMENT = "array<map<string,map<string,map<string,string>>>>"
+_LANDED = "symbol string, document string"
+# A file is read as one text, so this bounds it.
+DOCUMENTS_PER_FILE = 1000
 _STRICT_JSON = {"allowSingleQuotes": "false"}
 
 NOT_JSON, BAD_SHAPE, MISSING_FIELD, TOO_LONG = (
@@ -26,42 +31,68 @@ NOT_JSON, BAD_SHAPE, MISSING_FIELD, TOO_LONG = (
 
 
 def list_price_files(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    """Staged files by name and time; their content is not opened.
-
-    ``folder`` is the first folder below ``path`` that holds the file, or an
-    empty text for a file directly in ``path``.
-    """
-    below = "\\Q" + path.rstrip("/") + "\\E/([^/]+)/"
+    """Staged files by address, path and time; their content is not opened."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .load(path)
         .select(
-            F.col("_metadata.file_path").alias("source_file"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("path"),
             F.col("_metadata.file_modification_time").alias("modified_at"),
-            F.regexp_extract("path", below, 1).alias("folder"),
         )
     )
 
 
+def file_of(source_file: Column | str) -> Column:
+    """The file that a document came from. An address never holds a bare number sign."""
+    return F.substring_index(source_file, "#", 1)
+
+
 def read_price_files(spark: SparkSession, path: str | list[str], glob: str = "*.json") -> DataFrame:
-    """Staged files, one row each: content and where it came from."""
+    """Staged documents, one row each: content and where it came from."""
     files = spark.read.option("recursiveFileLookup", "true").text(
         path, wholetext=True, pathGlobFilter=glob
     )
     return with_provenance(files)
 
 
+def read_named_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The documents of these files, whatever characters their names hold."""
+    return read_price_files(spark, [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths], "*")
+
+
 def with_provenance(files: DataFrame) -> DataFrame:
-    """Symbol and run stamp come from the file name, or from the folders of :func:`write_raw`."""
+    """One row per document, with its symbol and run stamp.
+
+    A file is a document named ``{symbol}_{stamp}``, unless it lies in a folder of
+    :func:`write_raw`: there each line is a document with its symbol.
+    """
     name, path = F.col("_metadata.file_name"), F.col("_metadata.file_path")
+    lines = F.filter(F.split("value", "\n"), lambda x: x != "")
+    landed = F.transform(
+        lines,
+        lambda x, i: F.struct(
+            F.from_json(x, _LANDED).alias("doc"), F.concat(path, F.lit("#"), i.cast("string")).alias("id")
+        ),
+    )
+    alone = F.struct(
+        F.struct(file_symbol(url_decoded(name)).alias("symbol"), F.col("value").alias("document")).alias("doc"),
+        path.alias("id"),
+    )
+    stamp = folder_value(path, "run_stamp")
+    found = F.when(stamp.isNotNull(), landed).otherwise(F.array(alone))
     return files.select(
-        "value",
-        path.alias("source_file"),
         F.col("_metadata.file_modification_time").alias("modified_at"),
-        F.coalesce(file_symbol(name), folder_value(path, "symbol")).alias("symbol"),
-        F.coalesce(file_stamp(name), folder_value(path, "run_stamp")).alias("file_stamp"),
+        F.coalesce(stamp, file_stamp(url_decoded(name))).alias("file_stamp"),
+        F.inline(found),
+    ).select(
+        F.col("doc.document").alias("value"),
+        F.col("id").alias("source_file"),
+        "modified_at",
+        F.col("doc.symbol").alias("symbol"),
+        "file_stamp",
     )
 
 
@@ -204,12 +235,16 @@ _ROWS = (
 
 
 def write_raw(docs: DataFrame, path: str) -> None:
-    """Land raw documents, one file per symbol and run.
+    """Land raw documents: a folder per run, a line per document.
 
-    ``docs`` has ``symbol``, ``run_ts`` and the document text ``body``. The run
-    stamp and the symbol are folders, ``run_stamp=.../symbol=...``, so a later
-    read can be limited to the runs it needs.
+    ``docs`` has ``symbol``, ``run_ts`` and the document text ``body``. A run that
+    is landed again replaces what it had landed.
     """
-    docs.select(
-        F.col("body").alias("value"), run_stamp("run_ts").alias("run_stamp"), "symbol"
-    ).write.mode("append").partitionBy("run_stamp", "symbol").text(path)
+    landed = docs.select("symbol", F.col("body").alias("document"), run_stamp("run_ts").alias("run_stamp"))
+    (
+        landed.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", DOCUMENTS_PER_FILE)
+        .partitionBy("run_stamp")
+        .json(path)
+    )

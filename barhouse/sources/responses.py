@@ -30,13 +30,20 @@ def read_responses(spark: SparkSession, path: str, glob: str = "*.json") -> Data
     )
 
 
+def _document(kind: str = "map<string,string>") -> Column:
+    """``body`` as JSON; NULL when it is something else, or when text follows the document."""
+    wrapped = F.concat(F.lit("["), F.col("body"), F.lit("]"))
+    docs = F.from_json(wrapped, f"array<{kind}>", {"allowSingleQuotes": "false"})
+    return F.when(F.size(docs) == 1, docs[0])
+
+
 def classify_response(responses: DataFrame, kind: str | None = None) -> DataFrame:
     """Add ``outcome`` and ``retryable`` to responses (``symbol, kind, body``).
 
     The first matching rule decides. ``kind`` (``prices`` or ``company``) is
     read from the row unless given.
     """
-    top = F.from_json("body", "map<string,string>", {"allowSingleQuotes": "false"})
+    top = _document()
     kind_col = F.lit(kind) if kind else F.col("kind")
     keys = F.col("top")
 
@@ -49,7 +56,7 @@ def classify_response(responses: DataFrame, kind: str | None = None) -> DataFram
     error, notice = keys[ERROR], keys[NOTICE]
     outcome = (
         # A list is valid JSON, only none of the known shapes.
-        F.when(keys.isNull() & F.json_array_length("body").isNotNull(), "unknown")
+        F.when(keys.isNull() & _document("array<string>").isNotNull(), "unknown")
         .when(keys.isNull(), "transport_error")
         .when(has(ERROR) & contains_word(error, "api key"), "invalid_key")
         .when(has(ERROR) & contains_word(error, "symbol"), "invalid_symbol")
@@ -84,7 +91,7 @@ def unwrap_daily(responses: DataFrame) -> DataFrame:
 
 def parse_company(responses: DataFrame) -> DataFrame:
     """The seven company columns of every response that names a company."""
-    doc = F.from_json("body", "map<string,string>", {"allowSingleQuotes": "false"})
+    doc = _document()
     keep = [c for c in responses.columns if c not in ("symbol", "kind", "body")]
     fields = [F.col("doc")[key].alias(col) for col, key in COMPANY_FIELDS.items()]
     return (
@@ -96,7 +103,7 @@ def parse_company(responses: DataFrame) -> DataFrame:
 
 def company_problem(responses: DataFrame) -> DataFrame:
     """Add ``problem`` to company responses: NULL when the row may enter the dimension."""
-    doc = F.from_json("body", "map<string,string>", {"allowSingleQuotes": "false"})
+    doc = _document()
     complete = F.lit(True)
     for key in COMPANY_FIELDS.values():
         complete = complete & F.map_contains_key("doc", key)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
+import json
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from barhouse.plans.loads import append_files, recorded_run
+from barhouse.plans.loads import FILE_KEYS, FILES, append_files, loaded_documents, recorded_run
 from barhouse.plans.warehouse import Warehouse
 from barhouse.sources.price_files import with_provenance
 
@@ -22,9 +22,14 @@ def stream_bronze(
 ) -> StreamingQuery:
     """Load everything that is staged in ``src``, then stop; run it again for new files.
 
-    A batch that is repeated after a crash replaces the part it had written, so
-    no row is added twice. With ``archive`` the source moves files away once a
-    later batch has started.
+    A batch's part is named by the id that the checkpoint gave the query, so a new
+    checkpoint at the same path never meets older parts. A batch that is repeated
+    after a crash is left out if its part is there, and documents that any job has
+    loaded are left out by the ledger: no row is lost or added twice. With
+    ``archive`` the source moves files away once a later batch has started.
+
+    The checkpoint counts a rejected file as read; :func:`retry_rejected` tries it
+    again.
     """
     reader = (
         wh.spark.readStream.format("text")
@@ -35,11 +40,13 @@ def stream_bronze(
     )
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def load(files: DataFrame, batch_id: int) -> None:
         with recorded_run(wh, "stream_bronze") as run:
-            append_files(run, files, f"stream-{stream}-{batch_id}")
+            stream = json.loads(wh.spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+            part = f"stream-{stream}-{batch_id}"
+            if not wh.parts(FILES, [part]):
+                append_files(run, files.join(loaded_documents(wh), FILE_KEYS, "left_anti"), part)
 
     return (
         with_provenance(reader.load(src))

@@ -30,7 +30,7 @@ def test_all_jobs(spark, tmp_path, caplog):
 
     assert run(spark, [root, "create"]) == 0
     assert run(spark, [root, "land", raw, landing]) == 0
-    assert run(spark, [root, "bronze", landing, "--glob", "*.txt"]) == 0
+    assert run(spark, [root, "bronze", landing]) == 0
     assert run(spark, [root, "silver"]) == 0
     assert run(spark, [root, "dim", info]) == 0
     assert run(spark, [root, "gold"]) == 0

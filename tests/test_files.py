@@ -4,21 +4,31 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 from collections import Counter
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from barhouse.plans import loads
 from barhouse.plans.loads import (
     BRONZE,
     FILES,
     bronze_current,
+    compact_bronze,
     load_bronze,
-    needs_review,
+    load_silver,
     retry_rejected,
 )
-from barhouse.sources import flatten_prices, judge_files, split_valid_files, write_raw
+from barhouse.sources import (
+    flatten_prices,
+    judge_files,
+    read_responses,
+    split_valid_files,
+    unwrap_daily,
+    write_raw,
+)
 from barhouse.streaming import stream_bronze
 
 GOOD = {"1. open": "1.0", "2. high": "2", "3. low": "0.5", "4. close": "1.50", "5. volume": "9"}
@@ -94,20 +104,69 @@ def test_load_rejects_bad_files_only(wh, land):
         ("B", stamp, "rejected", "missing_field", 0),
         ("C", stamp, "rejected", "not_json", 0),
     ]
-    # Nothing is loaded twice; bad files are tried until their attempts are used up.
-    assert load_bronze(wh, src).inserted == 0
+    # Nothing is loaded twice; bad files are tried by every run and named by it.
+    for _ in range(6):
+        again = load_bronze(wh, src)
+        assert again.inserted == 0
+        assert rows(again.rejected.select(_name("source_file"), "reason")) == [
+            ("B_2024-01-02_00-00-00.json", "missing_field"),
+            ("C_2024-01-02_00-00-00.json", "not_json"),
+        ]
     land("C_2024-01-02_00-00-00.json", doc(C={"2024-01-02": GOOD}))
     os.utime(os.path.join(src, "C_2024-01-02_00-00-00.json"), (2e9, 2e9))
-    review = retry_rejected(wh, src, max_attempts=3)
+    left = retry_rejected(wh, src, passes=2)
     assert rows(wh.table(BRONZE), "ticker").count(("C",)) == 1
-    # The broken text of C was seen twice; its repaired file is another one.
-    assert rows(review.select(F.regexp_extract("source_file", r"([^/]*)$", 1), "reason", "attempts")) == [
-        ("B_2024-01-02_00-00-00.json", "missing_field", 3)
+    assert rows(left.select(_name("source_file"), "reason", "attempts")) == [
+        ("B_2024-01-02_00-00-00.json", "missing_field", 9)
     ]
-    before = wh.row_count(FILES)
-    load_bronze(wh, src, max_attempts=3)
-    assert wh.row_count(FILES) == before
-    assert needs_review(wh, 99).isEmpty()
+
+
+def _name(c):
+    return F.regexp_extract(c, r"([^/]*)$", 1)
+
+
+def test_only_new_files_of_a_flat_folder_are_opened(wh, land, monkeypatch):
+    for i in range(4):
+        src = land(f"F{i}_2024-01-02_00-00-00.json", doc(**{f"T{i}": {"2024-01-02": GOOD}}))
+    load_bronze(wh, src)
+    opened = []
+    real = loads.read_named_files
+    monkeypatch.setattr(loads, "read_named_files", lambda s, paths: opened.extend(paths) or real(s, paths))
+    land("F9_2024-01-02_00-00-00.json", doc(T9={"2024-01-02": GOOD}))
+    assert load_bronze(wh, src).inserted == 1
+    assert [p.rpartition("/")[2] for p in opened] == ["F9_2024-01-02_00-00-00.json"]
+    assert load_bronze(wh, src).inserted == 0 and len(opened) == 1
+
+
+@pytest.mark.parametrize("symbol", ["^GSPC", "BRK B", "A%41", "A+B", "X[1]", "{Y}*"])
+def test_symbols_in_file_names(wh, land, symbol):
+    src = land(f"{symbol}_2024-01-02_00-00-00.json", doc(**{symbol: {"2024-01-02": GOOD}}))
+    assert load_bronze(wh, src).inserted == 1
+    assert rows(wh.table(FILES), "symbol") == [(symbol,)]
+    response = unwrap_daily(read_responses(wh.spark, src).withColumn("body", F.lit('{"Time Series (Daily)": {}}')))
+    assert rows(response, "symbol", "body") == [(symbol, f'{{"{symbol}":{{}}}}')]
+    assert load_bronze(wh, src).inserted == 0
+
+
+def test_compaction_keeps_what_is_in_force(wh, land):
+    for day, close in (("03", "3"), ("04", "4"), ("05", "5")):
+        src = land(f"A_2024-01-{day}_00-00-00.json", doc(A={"2024-01-02": {**GOOD, "4. close": close}, f"2024-02-{day}": GOOD}))
+        load_bronze(wh, src)
+        if day == "04":
+            load_silver(wh)
+    before = rows(bronze_current(wh))
+    compact_bronze(wh)
+    # The version that the typed table has not read yet stays as it is.
+    assert wh.row_count(BRONZE) == 5 and sum(p.rows > 0 for p in wh.parts(BRONZE)) == 2
+    assert rows(bronze_current(wh)) == before
+    assert load_silver(wh).updated == 1
+    compact_bronze(wh)
+    assert wh.row_count(BRONZE) == 4 and rows(bronze_current(wh)) == before
+    assert wh.row_count(FILES) == 3
+    assert wh.drop_superseded() > 0
+    assert sum(p.rows for p in wh.parts(BRONZE)) == 4 and len(wh.parts(BRONZE)) == 1
+    assert load_bronze(wh, src).inserted == 0
+    assert load_silver(wh).inserted == 0
 
 
 def test_same_content_again_moves_the_stamp_only(wh, land):
@@ -160,13 +219,15 @@ def test_landing_layout_round_trip(spark, wh, tmp_path):
         "symbol string, body string",
     ).withColumn("run_ts", F.lit("2024-01-05 01:02:03").cast("timestamp"))
     write_raw(docs, landing)
-    load_bronze(wh, landing, "*.txt")
+    write_raw(docs, landing)
+    load_bronze(wh, landing)
+    assert rows(wh.table(FILES), "symbol") == [("A",), ("B/C",)]
     assert rows(wh.table(BRONZE), "ticker", "file_stamp") == [
         ("A", "2024-01-05_01-02-03"), ("B", "2024-01-05_01-02-03"),
     ]
     later = docs.where("symbol = 'A'").withColumn("run_ts", F.lit("2024-01-06").cast("timestamp"))
     write_raw(later, landing)
-    assert load_bronze(wh, landing, "*.txt").inserted == 1
+    assert load_bronze(wh, landing).inserted == 1
 
 
 def test_stream_loads_each_file_once(wh, land, tmp_path):
@@ -201,7 +262,20 @@ def test_stream_batch_repeated_after_a_crash_adds_nothing(wh, land, tmp_path):
     stream_bronze(wh, src, str(checkpoint)).awaitTermination(120)
     wh.refresh()
     assert wh.row_count(BRONZE) == wh.row_count(FILES) == 1
-    assert wh.table(BRONZE).first().loaded_at > first.loaded_at
+    assert wh.table(BRONZE).first() == first
+
+
+def test_stream_with_a_new_checkpoint_loses_and_repeats_nothing(wh, land, tmp_path):
+    checkpoint, kept = tmp_path / "stream", tmp_path / "kept"
+    src = land("A.json", doc(A={"2024-01-02": GOOD}))
+    for name in ("B", "C"):
+        stream_bronze(wh, src, str(checkpoint), archive=str(kept)).awaitTermination(120)
+        shutil.rmtree(checkpoint)
+        land(f"{name}.json", doc(**{name: {"2024-01-02": GOOD}}))
+    stream_bronze(wh, src, str(checkpoint), archive=str(kept)).awaitTermination(120)
+    wh.refresh()
+    assert rows(wh.table(BRONZE), "ticker") == [("A",), ("B",), ("C",)]
+    assert wh.row_count(FILES) == 3
 
 
 @pytest.mark.parametrize("pieces", [1, 4])

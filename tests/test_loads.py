@@ -29,7 +29,7 @@ from barhouse.plans.loads import (
     run_silver,
     verify_keys,
 )
-from barhouse.plans.warehouse import Warehouse, now_micros
+from barhouse.plans.warehouse import ConcurrentLoad, Warehouse, now_micros
 
 SEED = 946_684_800_000_000
 
@@ -216,7 +216,7 @@ def test_gold(wh, add_bronze):
     assert actions(backfill_unmatched(wh)) == {"INSERT": 1}
     assert actions(backfill_unmatched(wh)) == {}
     assert wh.row_count(FACT) == 3
-    assert rows(wh.table(UNMATCHED), "ticker") == [("YYY",), ("ZZZ",)]
+    assert rows(wh.table(UNMATCHED), "ticker", "period") == [("YYY", "2024-01")]
 
     # A rebuilt typed table makes gold see updates only, with the same values.
     facts = rows(wh.table(FACT))
@@ -331,9 +331,8 @@ def test_runner_checks_quality_only_after_a_good_load(wh, add_bronze):
     assert found == {
         "price_inversion": ["AAA"], "negative_value": ["BBB"], "zero_value": ["BBB"],
     }
-    run.quality.release()
     state = rows(wh.table(SILVER))
-    check_data_quality(wh).release()
+    assert check_data_quality(wh).counts == run.quality.counts
     assert rows(wh.table(SILVER)) == state
     add_bronze([bar("AAA", "junk")])
     failed = run_silver(wh)
@@ -364,3 +363,68 @@ def test_audit(wh, add_bronze):
     assert log["load_gold"].detail == "tickers not in the dimension: 1"
     assert all(r.finished_at >= r.started_at for r in log.values())
     assert result.seconds >= 0
+
+
+def test_two_writers_on_one_state(wh, add_bronze):
+    add_bronze([bar("AAA")])
+    load_silver(wh)
+    other = Warehouse(wh.spark, wh.root)
+    other.parts(SILVER)  # has read the log
+    mine = wh.parts(SILVER)
+    new = wh.table(SILVER).withColumn("ticker", F.lit("MINE"))
+    wh.commit([wh.write_part(SILVER, mine[0].name, new, "mine", now_micros())])
+    late = other.table(SILVER).withColumn("ticker", F.lit("LATE"))
+    with pytest.raises(ConcurrentLoad):
+        other.commit([other.write_part(SILVER, mine[0].name, late, "late", now_micros())])
+    assert [p[0] for p in prices(other)] == ["MINE"]
+    # Parts of their own do not meet.
+    wh.parts(BRONZE)
+    add = wh.table(BRONZE)
+    other.commit([other.write_part(BRONZE, "x", add, "x", now_micros())])
+    wh.commit([wh.write_part(BRONZE, "y", add, "y", now_micros())])
+    assert {"x", "y"} <= {p.name for p in wh.parts(BRONZE)}
+
+
+def test_rows_that_break_a_key_rule_are_refused(wh):
+    from barhouse.plans.loads import _hold
+
+    rows_ = wh.spark.sql("select 1 as ticker_id, date'2024-01-02' as date union all select 1, date'2024-01-02'")
+    with pytest.raises(LoadError, match="repeated key"):
+        _hold(FACT, ["ticker_id", "date"], rows_)
+    with pytest.raises(LoadError, match="NULL in key"):
+        _hold(FACT, ["ticker_id", "date"], rows_.limit(1).withColumn("date", F.lit(None)))
+
+
+def test_unreadable_dates_are_counted_as_keys(wh, add_bronze):
+    add_bronze([bar("AAA", f"bad-{i}") for i in range(10)])
+    with pytest.raises(LoadError, match="10 keys"):
+        load_silver(wh)
+
+
+def test_failure_text_is_kept_whole_and_not_hidden(wh, monkeypatch):
+    with pytest.raises(ValueError):
+        with loads.recorded_run(wh, "load_silver"):
+            raise ValueError("x" * 5000)
+    assert len(wh.table(RUN_LOG_TABLE).first().detail) > 5000
+    monkeypatch.setattr(loads, "_audit_row", lambda *a: 1 / 0)
+    with pytest.raises(ValueError, match="first") as found:
+        with loads.recorded_run(wh, "load_silver"):
+            raise ValueError("first")
+    assert "ZeroDivisionError" in found.value.__notes__[0]
+
+
+def test_backfill_reads_only_periods_of_late_tickers(wh, add_bronze, monkeypatch):
+    dims(wh, company("AAA"))
+    add_bronze([bar("AAA", f"2024-0{m}-01") for m in range(1, 5)] + [bar("NEW", "2024-03-05"), bar("GONE", "2024-04-01")])
+    load_silver(wh)
+    load_gold(wh)
+    asked = []
+    real = Warehouse.table
+    monkeypatch.setattr(Warehouse, "table", lambda self, n, parts=None: asked.append((n, parts)) or real(self, n, parts))
+    assert actions(backfill_unmatched(wh)) == {}
+    assert not [n for n, _ in asked if n in (SILVER, FACT)]
+    dims(wh, company("NEW"))
+    asked.clear()
+    assert actions(backfill_unmatched(wh)) == {"INSERT": 1}
+    assert [p for n, p in asked if n in (SILVER, FACT)] == [["2024-03"]] * 2
+    assert rows(wh.table(UNMATCHED), "ticker") == [("GONE",)]

@@ -15,7 +15,7 @@ def plan_of(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", contract.QUERIES)
 def test_no_all_pairs_and_no_python(spark, name):
     plan = plan_of(spark, name)
     for word in ("NestedLoop", "Cartesian", "Python", "Pandas", "Rdd", "ExistingRDD"):

@@ -9,7 +9,6 @@ from conftest import rows
 
 from barhouse.operators import (
     cast_failures,
-    count_rows,
     day_over_day,
     flagged_rows,
     moving_average,
@@ -61,7 +60,7 @@ def test_each_report(spark):
     assert negative_values(silver).columns == [
         "ticker", "date", "high_price", "low_price", "close_price", "open_price", "volume",
     ]
-    assert rows(count_rows(price_inversions(silver), "n")) == [(2,)]
+    assert price_inversions(silver).count() == 2
 
 
 def test_counts_are_zero_on_an_empty_table(spark):
