@@ -70,10 +70,12 @@ def dim_upsert(
 ) -> DataFrame:
     """Dimension after an upsert by ticker: known tickers keep their id.
 
-    ``source`` holds each ticker once.
+    ``source`` holds each ticker once. It meets the dimension in a single join,
+    which is written down; what found no id there gets a new one.
     """
     columns = list(columns or dim.columns)
-    known = source.join(dim.select("ticker", "ticker_id"), "ticker")
-    added = assign_keys(new_tickers(source, dim), dim.agg(F.max("ticker_id")), materialise)
-    changed = known.select(*columns).unionByName(added.select(*columns))
+    met = materialise(source.join(dim.select("ticker", "ticker_id"), "ticker", "left"))
+    new = met.where("ticker_id is null").drop("ticker_id")
+    added = assign_keys(new, dim.agg(F.max("ticker_id")), materialise)
+    changed = met.where("ticker_id is not null").select(*columns).unionByName(added.select(*columns))
     return merge_upsert(dim.select(*columns), changed, ["ticker"])

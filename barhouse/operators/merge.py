@@ -23,7 +23,8 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target after the merge: every source row, plus target rows with no source row.
 
-    ``source`` must hold each key once. An anti join leaves Spark free to
+    ``source`` must hold each key once. It is used twice, so hand in one that is
+    written down unless it is cheap to compute, as the loads do. An anti join leaves Spark free to
     broadcast a small source, in which case the target is never shuffled; a full
     outer join could not be broadcast.
     """
