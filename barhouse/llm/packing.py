@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,52 +26,84 @@ NEARLY_FULL = 16
 ROUND_ITEMS = 100_000
 #: Words whose ids a Python worker remembers.
 CACHE_WORDS = 400_000
+#: Texts that the tokenizer looks at together.
+TEXTS = 200
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+_BEYOND_LATIN = re.compile("[^\x21-\x7e\xa1-\u024f]")
+#: Fixed value: the vocabulary's own pattern.
+_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
 class WordTokenizer:
     """Token ids of whole texts by way of the ids of their words, which are remembered.
 
-    The vocabulary splits at white space first and joins nothing across it, so a
-    text's ids are those of its words one after another.
+    The vocabulary cuts a text at white space, and then into letters, single digits and runs of
+    other signs, and joins nothing across a cut, so a text's ids are those of its words one after
+    another. New Latin words are cut and lower-cased here and go straight to the tokenizer's
+    model; for others the tokenizer does it all.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        bytes_of = ByteLevel(add_prefix_space=False, use_regex=False)
+        latin = [chr(c) for c in range(0x21, 0x250)]
+        self.alphabet = {ord(c): "".join(p for p, _ in bytes_of.pre_tokenize_str(c)) for c in latin}
+        self.alphabet[0x307] = "".join(p for p, _ in bytes_of.pre_tokenize_str("\u0307"))  # of a lower-cased \u0130
         self.known: dict[str, int] = {}
+        self.parts: dict[str, list[int]] = {}
         self.clear()
 
     def clear(self) -> None:
         self.known.clear()
+        self.parts.clear()
         self.ids = np.zeros(1 << 16, dtype="<u4")
         self.starts = np.zeros(1 << 14, dtype=np.int64)
         self.n_words = self.n_ids = 0
 
+    def _ids_of_new(self, words: list[str]) -> list[list[int]]:
+        if _BEYOND_LATIN.search("".join(words)) or any("<|" in w for w in words):
+            return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        cut = [_PARTS.findall(w.lower()) for w in words]
+        tokenize = self.tokenizer.model.tokenize
+        for part in set().union(*cut).difference(self.parts):
+            self.parts[part] = [t.id for t in tokenize(part.translate(self.alphabet))]
+        ids_of = self.parts.__getitem__
+        return [list(chain.from_iterable(map(ids_of, c))) for c in cut]
+
     def learn(self, words: list[str]) -> None:
-        for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            ids = found.ids
-            while self.n_ids + len(ids) > len(self.ids):
-                self.ids = np.append(self.ids, np.zeros_like(self.ids))
-            if self.n_words + 2 > len(self.starts):
-                self.starts = np.append(self.starts, np.zeros_like(self.starts))
-            self.ids[self.n_ids : self.n_ids + len(ids)] = ids
-            self.n_ids += len(ids)
-            self.known[word] = self.n_words
-            self.n_words += 1
-            self.starts[self.n_words] = self.n_ids
-
-    def encode(self, text: str) -> np.ndarray:
-        # Python's white space holds four separators more than the vocabulary's.
-        words = re.split("[ \t\n\r]+", text) if _SEPARATORS.search(text) else text.split()
+        plain = [w for w in words if not _BEYOND_LATIN.search(w)]
+        rest = [w for w in words if _BEYOND_LATIN.search(w)]
+        words = plain + rest
+        found = [ids for some in (plain, rest) if some for ids in self._ids_of_new(some)]
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        total = int(sizes.sum())
+        while self.n_ids + total > len(self.ids):
+            self.ids = np.append(self.ids, np.zeros_like(self.ids))
+        while self.n_words + len(words) + 1 > len(self.starts):
+            self.starts = np.append(self.starts, np.zeros_like(self.starts))
+        flat = np.fromiter(chain.from_iterable(found), dtype="<u4", count=total)
+        self.ids[self.n_ids : self.n_ids + total] = flat
+        self.starts[self.n_words + 1 : self.n_words + 1 + len(words)] = self.n_ids + np.cumsum(sizes)
+        self.known.update(zip(words, range(self.n_words, self.n_words + len(words))))
+        self.n_ids += total
+        self.n_words += len(words)
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         if self.n_words > CACHE_WORDS:
             self.clear()
-        try:
-            at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
-        except KeyError:
-            self.learn(list({w for w in words if w not in self.known}))
-            at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+        # Python's white space holds four separators more than the vocabulary's.
+        cut = [re.split("[ \t\n\r]+", t) if _SEPARATORS.search(t) else t.split() for t in texts]
+        new = set().union(*cut).difference(self.known)
+        if new:
+            self.learn(list(new))
+        return [self._ids_of(words) for words in cut]
+
+    def _ids_of(self, words: list[str]) -> np.ndarray:
+        at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
         starts = self.starts[at]
         sizes = self.starts[at + 1] - starts
         ends = np.cumsum(sizes)
@@ -109,13 +144,20 @@ def best_fit(lengths: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray, np
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, used long"
 
 
+def _encoded(batch: pa.RecordBatch, tokenizer: WordTokenizer) -> Iterator[tuple[int, np.ndarray]]:
+    for a in range(0, batch.num_rows, TEXTS):
+        some = batch.slice(a, TEXTS)
+        texts = [t or "" for t in some.column(1).to_pylist()]
+        yield from zip(some.column(0).to_pylist(), tokenizer.encode_all(texts))
+
+
 def _pack_locally(path_of: Callable[[], str], length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer(path_of())
         docs, pieces, starts, lengths, sums = [], [], [], [], []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(tokenizer.encode(text.as_py() or ""), np.uint32(END_ID)).astype("<u4")
+            for doc_id, found in _encoded(batch, tokenizer):
+                ids = np.append(found, np.uint32(END_ID)).astype("<u4")
                 for k, at in enumerate(range(0, len(ids), length)):
                     part = ids[at : at + length]
                     docs.append(doc_id)
