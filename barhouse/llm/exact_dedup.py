@@ -48,16 +48,21 @@ def exact_groups(
             F.sum("group_size").alias("group_size"),
         )
     )
-    found = rows.join(hashes.where("texts = 1").drop("texts"), "h")
+    # Rows meet their hash without their text.
+    digests = rows.select("doc_id", "h", F.sha2("body", 256).alias("text_sha256"))
+    found = digests.join(hashes.where("texts = 1").drop("texts"), "h")
     mixed = hashes.where("texts > 1").select("h")
     if not mixed.isEmpty():
-        found = found.unionByName(rows.join(mixed, "h").join(texts, ["h", "body"]))
+        told_apart = rows.join(mixed, "h").join(texts, ["h", "body"])
+        found = found.unionByName(
+            told_apart.select("h", "doc_id", F.sha2("body", 256).alias("text_sha256"), "keep_id", "group_size")
+        )
     return found.select(
         "doc_id",
         "keep_id",
         F.col("group_size").cast("long").alias("group_size"),
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        F.sha2("body", 256).alias("text_sha256"),
+        "text_sha256",
     )
 
 
