@@ -142,7 +142,9 @@ def anchors(body: np.ndarray, ends: np.ndarray, match: int) -> tuple[np.ndarray,
     edge = np.zeros(width - 1, dtype=np.uint32)
     high = _extreme(np.concatenate([edge, low, edge]), width, np.maximum)
     found = np.flatnonzero((order == high) & (order != 0xFFFFFFFF) & (high != 0))
-    return found, h[found]
+    # Anchors have low hashes; mixed once more, their keys fill the parts evenly.
+    key = (h[found] ^ (h[found] >> np.uint64(29))) * _B
+    return found, key ^ (key >> np.uint64(32))
 
 
 class Block:
