@@ -25,7 +25,7 @@ NEARLY_FULL = 16
 #: Underfull bins that one task of a later round packs.
 ROUND_ITEMS = 100_000
 #: Words whose ids a Python worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 #: Texts that the tokenizer looks at together.
 TEXTS = 200
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -64,8 +64,8 @@ class WordTokenizer:
         self.starts = np.zeros(1 << 14, dtype=np.int64)
         self.n_words = self.n_ids = 0
 
-    def _ids_of_new(self, words: list[str]) -> list[list[int]]:
-        if _BEYOND_LATIN.search("".join(words)) or any("<|" in w for w in words):
+    def _ids_of_new(self, words: list[str], latin: bool) -> list[list[int]]:
+        if not latin or "<|" in " ".join(words):
             return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         cut = [_PARTS.findall(w.lower()) for w in words]
         tokenize = self.tokenizer.model.tokenize
@@ -75,10 +75,12 @@ class WordTokenizer:
         return [list(chain.from_iterable(map(ids_of, c))) for c in cut]
 
     def learn(self, words: list[str]) -> None:
-        plain = [w for w in words if not _BEYOND_LATIN.search(w)]
-        rest = [w for w in words if _BEYOND_LATIN.search(w)]
+        plain, rest = words, []
+        if _BEYOND_LATIN.search("".join(words)):
+            plain = [w for w in words if not _BEYOND_LATIN.search(w)]
+            rest = [w for w in words if _BEYOND_LATIN.search(w)]
         words = plain + rest
-        found = [ids for some in (plain, rest) if some for ids in self._ids_of_new(some)]
+        found = self._ids_of_new(plain, True) + self._ids_of_new(rest, False)
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         total = int(sizes.sum())
         while self.n_ids + total > len(self.ids):
