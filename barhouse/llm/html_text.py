@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 #: Pages with the same content count once.
 MIN_PAGES = 5
 MIN_SHARE = 0.5
+#: Articles (or else the main part) stand for the page if they hold this share of its text; the rest is left out.
+MAIN_SHARE = 0.9
 #: Ways that the pages of one host are dealt out for the removal.
 SALTS = 16
 
@@ -37,7 +39,7 @@ _FENCES = frozenset("table ul ol dl td th body html div section article select".
 
 # What counts as boilerplate by its element, role or names.
 _DROPPED = frozenset(
-    "head script style noscript template nav footer aside form button select textarea input label iframe svg "
+    "head script style noscript template nav footer aside button select textarea input label iframe svg "
     "canvas object audio video dialog menu search title xmp noembed noframes datalist map".split()
 )
 _ROLES = frozenset(
@@ -51,6 +53,8 @@ _NAMES = re.compile(
     r"respond|reply|replies|related|recommended|recommendations|widgets?|pagination|pager|toolbar|hidden|masthead|"
     r"topbar|alert|toc|paywall)"
 )
+#: Names that begin so tell of a layout or a topic, not what the element is.
+_STATES = frozenset("has with without no not category cat tag tagged topic type format".split())
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 _MARKUP = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*'|["'])*?)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<>]*\Z""",
@@ -60,43 +64,80 @@ _WORD_EDGES = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z0-9])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "children", "boiler", "inside")
+    __slots__ = ("tag", "children", "parent", "inside", "sure", "named", "size", "holds_main", "boiler")
 
-    def __init__(self, tag: str, boiler: bool, inside: bool):
-        self.tag, self.children, self.boiler, self.inside = tag, [], boiler, inside
+    def __init__(self, tag: str, parent: Node | None, sure: bool = False, named: int = 0):
+        self.tag, self.children, self.parent, self.sure, self.named = tag, [], parent, sure, named
+        self.inside = parent is not None and parent.inside or tag in ("article", "main")
+        self.size, self.holds_main, self.boiler = 0, tag == "main", False
 
 
-def _boilerplate(tag: str, attributes: str, inside: bool) -> bool:
-    """By what an element says of itself. Headers, and names like them, count outside of articles only."""
+def _named(name: str, inside: bool) -> int:
+    """A class or an id: 2 if all its words are names of boilerplate, 1 if its first or last word is one, else 0."""
+    words = [w.lower() for w in _WORD_EDGES.split(name) if w]
+    if not words or words[0] in _STATES:
+        return 0
+    hits = [bool(_NAMES.fullmatch(w)) or w == "header" and not inside for w in words]
+    return 2 if all(hits) else int(hits[0] or hits[-1])
+
+
+def _boilerplate(tag: str, attributes: str, inside: bool) -> tuple[bool, int]:
+    """By what an element says of itself: whether it surely is boilerplate, and how far its names say so.
+
+    Headers, and names like them, count outside of articles only. No name drops an article. A
+    form counts as a name: some pages stand in one as a whole.
+    """
     if tag in _DROPPED or tag == "header" and not inside:
-        return True
+        return True, 0
+    named = int(tag == "form")
     if not attributes.strip() or tag in ("html", "body", "main"):
-        return False
-    names: list[str] = []
+        return False, named
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = next((v for v in values if v), "")
         name = name.lower()
         if name in ("class", "id"):
-            names += [n.lower() for n in _WORD_EDGES.split(value)]
+            if tag != "article":
+                named = max([named, *[_named(n, inside) for n in value.split()]])
         elif name == "role" and value.strip().lower() in _ROLES:
-            return True
+            return True, 0
         elif name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
-            return True
+            return True, 0
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return any(_NAMES.fullmatch(n) or n == "header" and not inside for n in names)
+            return True, 0
+    return False, named
+
+
+def _judge(order: list[Node]) -> None:
+    """Which elements, given in order, are boilerplate.
+
+    A name alone does not drop an element that holds the main part or half of the page's text. If
+    all words of the name say so and the page has an article or main part elsewhere, it takes
+    ``MAIN_SHARE`` of the text.
+    """
+    for node in reversed(order[1:]):
+        if not node.sure:
+            node.parent.size += node.size
+            node.parent.holds_main |= node.holds_main
+    total = order[0].size
+    parts = any(n.tag in ("article", "main") and not n.sure for n in order)
+    for node in order[1:]:
+        share = MAIN_SHARE if node.named == 2 and parts and not node.parent.inside else 0.5
+        spared = node.holds_main or node.size >= share * total
+        node.boiler = node.parent.boiler or node.sure or node.named > 0 and not spared
 
 
 def parse(page: str) -> Node:
     """A forgiving tree: unknown end tags are skipped, open elements end with their parents."""
-    root = Node("#root", False, False)
-    stack = [root]
+    root = Node("#root", None)
+    stack, order = [root], [root]
     at, n = 0, len(page)
     while at < n:
         m = _MARKUP.search(page, at)
         text = page[at : m.start() if m else n]
         if text:
-            stack[-1].children.append(html.unescape(text))
+            text = html.unescape(text)
+            stack[-1].children.append(text)
+            stack[-1].size += len("".join(text.split()))
         if not m:
             break
         at = m.end()
@@ -105,7 +146,8 @@ def parse(page: str) -> Node:
         tag = m[2].lower()
         if m[1]:
             if tag == "p" and all(x.tag != "p" for x in stack):
-                stack[-1].children.append(Node("p", False, stack[-1].inside))
+                order.append(Node("p", stack[-1]))
+                stack[-1].children.append(order[-1])
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
                     del stack[k:]
@@ -120,8 +162,9 @@ def parse(page: str) -> Node:
                 if stack[k].tag in _FENCES and stack[k].tag not in ended:
                     break
         above = stack[-1]
-        node = Node(tag, above.boiler or _boilerplate(tag, m[3], above.inside), above.inside or tag in ("article", "main"))
+        node = Node(tag, above, *_boilerplate(tag, m[3], above.inside))
         above.children.append(node)
+        order.append(node)
         if tag in _VOID or m[3].endswith("/") and tag not in _BLOCKS:
             continue
         if tag in _RAW:
@@ -129,6 +172,7 @@ def parse(page: str) -> Node:
             at = end.end() if end else n
             continue
         stack.append(node)
+    _judge(order)
     return root
 
 
@@ -158,27 +202,43 @@ def _hashes(root: Node) -> dict[int, int]:
     return out
 
 
+def _main_part(root: Node) -> str | None:
+    """The element, article or main, that holds ``MAIN_SHARE`` of the text that is no boilerplate."""
+    held = {"article": 0, "main": 0}
+    depth = {"article": 0, "main": 0}
+    total = 0
+    for node, opens in _walk(root):
+        if node.tag in depth:
+            depth[node.tag] += 1 if opens else -1
+        if opens:
+            own = sum(len("".join(c.split())) for c in node.children if not isinstance(c, Node))
+            total += own
+            for tag in held:
+                held[tag] += own if depth[tag] else 0
+    return next((tag for tag, size in held.items() if size and size >= MAIN_SHARE * total), None)
+
+
 def blocks(page: str) -> list[tuple[str, list[int]]]:
     """The text blocks of a page that are not boilerplate by themselves, in order, each with the
     hashes of the block elements it stands in.
 
-    Where a page has an article (or else a main part), only what is inside counts; where it has
-    neither, lists and paragraphs of nothing but links are left out as menus.
+    Where articles (or else the main part) hold ``MAIN_SHARE`` of the text, only what is inside
+    counts. Elsewhere all blocks count but lists and paragraphs of nothing but links outside of
+    them, which are left out as menus.
     """
     root = parse(page)
     hashes = _hashes(root)
-    tags = {n.tag for n, opens in _walk(root) if opens}
-    wanted = "article" if "article" in tags else "main" if "main" in tags else None
+    wanted = _main_part(root)
     out: list[tuple[str, list[int]]] = []
     path: list[int] = []
     run: list[str] = []
-    depth = links = linked = 0
+    depth = inside = links = linked = 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(run).split())
         if text and (wanted is None or depth):
-            if wanted or linked < 0.8 * len(text.replace(" ", "")):
+            if inside or linked < 0.8 * len(text.replace(" ", "")):
                 out.append((text, list(path)))
         run.clear()
         linked = 0
@@ -202,6 +262,7 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
                 flush()
                 path.append(hashes[id(node)])
             depth += node.tag == wanted
+            inside += node.tag in ("article", "main")
             links += node.tag == "a"
             stack.append(("close", node))
             for c in reversed(node.children):
@@ -216,6 +277,7 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
                 flush()
                 path.pop()
             depth -= node.tag == wanted
+            inside -= node.tag in ("article", "main")
             links -= node.tag == "a"
     flush()
     return out

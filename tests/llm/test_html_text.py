@@ -35,6 +35,29 @@ def test_blocks(page, text):
     assert text_of(page) == text
 
 
+BODY = "A long paragraph of the page, with more than one sentence. It goes on and on."
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div><p>{BODY}</p><p>{BODY}</p></div><article><h3>Teaser</h3></article>", f"{BODY}\n{BODY}\nTeaser"),
+        (f"<main><p>Short.</p></main><div><p>{BODY}</p></div>", f"Short.\n{BODY}"),
+        (f"<article class='post category-social'><p>{BODY}</p></article><p>x</p>", BODY),
+        (f"<article class='hentry tag-menus'><p>{BODY}</p></article>", BODY),
+        (f"<article class=social><p>{BODY}</p></article>", BODY),
+        (f"<div class='content has-sidebar'><p>{BODY}</p></div><div class=sidebar>s</div>", BODY),
+        (f"<div class='content-widget'><p>{BODY}</p></div><main>m</main>", f"{BODY}\nm"),
+        (f"<div class='social'><p>{BODY}</p></div><div class='site-nav'>n</div>", BODY),
+        (f"<form id=aspnetForm><div><p>{BODY}</p></div><div class=nav>n</div></form>", BODY),
+        (f"<div class=overlay><main><p>m</p></main></div><div><p>{BODY}</p></div>", f"m\n{BODY}"),
+        (f"<div><p>{BODY}</p></div><ul><li><a href=1>One</a></ul><article><a href=2>Two</a></article>", f"{BODY}\nTwo"),
+    ],
+)
+def test_main_text_is_kept(page, text):
+    assert text_of(page) == text
+
+
 def test_deep_and_long_pages():
     assert text_of("<div>" * 20_000 + "deep" + "</div>" * 20_000) == "deep"
     assert text_of("<p>" + "word " * 100_000) == " ".join(["word"] * 100_000)
