@@ -1,4 +1,4 @@
-"""Main text of web pages: parts that a page marks as boilerplate go, and so do a site's templates."""
+"""Main text of web pages: a site's templates go, and so do parts that a page marks as boilerplate."""
 
 from __future__ import annotations
 
@@ -13,10 +13,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barhouse.llm.common import Scratch
+
 #: A subtree is a template if it recurs on so many pages of a host and on this share of them.
 #: Pages with the same content count once.
 MIN_PAGES = 5
 MIN_SHARE = 0.5
+#: Or on so many pages and this share of them. On the given tables sentences of articles recur on up to 12 % of
+#: a host's pages (21 % on 5 pages of 24).
+MANY_PAGES = 10
+MANY_SHARE = 0.15
 #: Articles (or else the main part) stand for the page if they hold this share of its text; the rest is left out.
 MAIN_SHARE = 0.9
 #: Ways that the pages of one host are dealt out for the removal.
@@ -64,12 +70,12 @@ _WORD_EDGES = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z0-9])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "children", "parent", "inside", "sure", "named", "size", "holds_main", "boiler")
+    __slots__ = ("tag", "children", "parent", "inside", "sure", "named", "own", "size", "holds_main", "boiler")
 
     def __init__(self, tag: str, parent: Node | None, sure: bool = False, named: int = 0):
         self.tag, self.children, self.parent, self.sure, self.named = tag, [], parent, sure, named
         self.inside = parent is not None and parent.inside or tag in ("article", "main")
-        self.size, self.holds_main, self.boiler = 0, tag == "main", False
+        self.own, self.size, self.holds_main, self.boiler = 0, 0, tag == "main", False
 
 
 def _named(name: str, inside: bool) -> int:
@@ -114,8 +120,9 @@ def _judge(order: list[Node]) -> None:
     all words of the name say so and the page has an article or main part elsewhere, it takes
     ``MAIN_SHARE`` of the text.
     """
-    for node in reversed(order[1:]):
-        if not node.sure:
+    for node in reversed(order):
+        node.size += node.own
+        if node.parent and not node.sure:
             node.parent.size += node.size
             node.parent.holds_main |= node.holds_main
     total = order[0].size
@@ -137,7 +144,7 @@ def parse(page: str) -> Node:
         if text:
             text = html.unescape(text)
             stack[-1].children.append(text)
-            stack[-1].size += len("".join(text.split()))
+            stack[-1].own += len("".join(text.split()))
         if not m:
             break
         at = m.end()
@@ -176,26 +183,29 @@ def parse(page: str) -> Node:
     return root
 
 
-def _walk(root: Node) -> Iterator[tuple[Node, bool]]:
-    """Every element, as it opens (True) and as it closes."""
+def _walk(root: Node, whole: bool = False) -> Iterator[tuple[Node, bool]]:
+    """Every element that is no boilerplate, or every element, as it opens (True) and as it closes."""
     stack: list[tuple[Node, bool]] = [(root, True)]
     while stack:
         node, opens = stack.pop()
         yield node, opens
         if opens:
             stack.append((node, False))
-            stack += [(c, True) for c in reversed(node.children) if isinstance(c, Node) and not c.boiler]
+            stack += [(c, True) for c in reversed(node.children) if isinstance(c, Node) and (whole or not c.boiler)]
 
 
 def _hashes(root: Node) -> dict[int, int]:
-    """By id() of a block element: a hash of its tag and all that is in it."""
+    """By id() of every element of the page, boilerplate or not: a hash of its tag and all that is in it.
+
+    What is boilerplate inside of an element that is none does not count for that element's hash.
+    """
     out: dict[int, int] = {}
-    for node, opens in _walk(root):
+    for node, opens in _walk(root, whole=True):
         if not opens:
             parts = [node.tag]
             for c in node.children:
                 if isinstance(c, Node):
-                    parts.append(f"<{out[id(c)]}>" if id(c) in out else "")
+                    parts.append(f"<{out[id(c)]}>" if node.boiler or not c.boiler else "")
                 else:
                     parts.append(" ".join(c.split()))
             out[id(node)] = xxhash.xxh64_intdigest("\x1f".join(parts).encode("utf-8", "surrogatepass")) >> 1
@@ -211,43 +221,52 @@ def _main_part(root: Node) -> str | None:
         if node.tag in depth:
             depth[node.tag] += 1 if opens else -1
         if opens:
-            own = sum(len("".join(c.split())) for c in node.children if not isinstance(c, Node))
-            total += own
+            total += node.own
             for tag in held:
-                held[tag] += own if depth[tag] else 0
+                held[tag] += node.own if depth[tag] else 0
     return next((tag for tag, size in held.items() if size and size >= MAIN_SHARE * total), None)
 
 
 def blocks(page: str) -> list[tuple[str, list[int]]]:
     """The text blocks of a page that are not boilerplate by themselves, in order, each with the
-    hashes of the block elements it stands in.
+    hashes of the elements it stands in as a whole.
 
     Where articles (or else the main part) hold ``MAIN_SHARE`` of the text, only what is inside
     counts. Elsewhere all blocks count but lists and paragraphs of nothing but links outside of
     them, which are left out as menus.
     """
     root = parse(page)
-    hashes = _hashes(root)
+    return _blocks(root, _hashes(root))
+
+
+def _blocks(root: Node, hashes: dict[int, int]) -> list[tuple[str, list[int]]]:
     wanted = _main_part(root)
     out: list[tuple[str, list[int]]] = []
     path: list[int] = []
+    inline: list[int] = []  # elements open in the block, and those of them that hold all its text so far
+    common: list[int] | None = None
     run: list[str] = []
     depth = inside = links = linked = 0
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, common
         text = " ".join("".join(run).split())
         if text and (wanted is None or depth):
             if inside or linked < 0.8 * len(text.replace(" ", "")):
-                out.append((text, list(path)))
+                out.append((text, path + [hashes[i] for i in common or ()]))
         run.clear()
-        linked = 0
+        linked, common = 0, None
 
     stack: list[tuple[str, Node | str]] = [("open", root)]
     while stack:
         what, node = stack.pop()
         if what == "text":
             run.append(node)
+            if common != inline and not node.isspace():
+                same = 0
+                while common and same < min(len(common), len(inline)) and common[same] == inline[same]:
+                    same += 1
+                common = list(inline) if common is None else common[:same]
             if links:
                 linked += len("".join(node.split()))
             continue
@@ -261,6 +280,8 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
             if block:
                 flush()
                 path.append(hashes[id(node)])
+            elif node is not root:
+                inline.append(id(node))
             depth += node.tag == wanted
             inside += node.tag in ("article", "main")
             links += node.tag == "a"
@@ -276,6 +297,8 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
             if block:
                 flush()
                 path.pop()
+            elif node is not root:
+                inline.pop()
             depth -= node.tag == wanted
             inside -= node.tag in ("article", "main")
             links -= node.tag == "a"
@@ -283,11 +306,11 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
     return out
 
 
-_PAGE_SQL = "page_id long, url string, host string, content long, subtrees array<long>, held binary"
+_PAGE_SQL = "page_id long, url string, host string, content long, subtrees array<long>, marked array<long>, held binary"
 _PAGE = pa.schema(
     [
         ("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("content", pa.int64()),
-        ("subtrees", pa.list_(pa.int64())), ("held", pa.binary()),
+        ("subtrees", pa.list_(pa.int64())), ("marked", pa.list_(pa.int64())), ("held", pa.binary()),
     ]
 )
 _HOST = re.compile(r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)")
@@ -303,14 +326,17 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for page_id, url, page in zip(*batch.columns):
-            found = blocks(page.as_py() or "")
+            root = parse(page.as_py() or "")
+            hashes = _hashes(root)
+            found = _blocks(root, hashes)
             text = "\n".join(t for t, _ in found)
-            subtrees = sorted({h for _, path in found for h in path})
+            subtrees = {h for _, path in found for h in path}
+            marked = {hashes[id(n)] for n, opens in _walk(root, whole=True) if opens and n.parent and n.size} - subtrees
             rows.append(
                 (
                     page_id.as_py(), url.as_py(), host_of(url.as_py()),
-                    xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1, subtrees,
-                    press.compress(json.dumps(found).encode()),
+                    xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1,
+                    sorted(subtrees), sorted(marked), press.compress(json.dumps(found).encode()),
                 )
             )
         columns = zip(*rows) if rows else [[] for _ in _PAGE]
@@ -333,18 +359,30 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(host, templates): the hashes of subtrees that recur on many pages of a host.
 
-    Counted over all pages: first once per host, subtree and page content (copies of a page
-    are one), then per host and subtree; both counts are combined before they are shuffled.
-    A host's list is bounded by its share: at most 1 / ``min_share`` times the subtrees of an
-    average page.
+    All subtrees with text are counted, those in ``marked`` (of elements that no kept text stands
+    in) too; only those that some kept text stands in are listed. Counted over all pages: first
+    once per host, subtree and page content (copies of a page are one), then per host and subtree;
+    both counts are combined before they are shuffled. The pages of a host are counted with them,
+    as a subtree that every page has. A host's list is bounded by its share: at most
+    1 / ``MANY_SHARE`` (or 1 / ``min_share``) times the subtrees of an average page.
     """
-    once = pages.select("host", "content", F.explode("subtrees").alias("subtree")).distinct()
-    counts = once.groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    totals = pages.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("total"))
+    every = F.lit(-1).cast("long")
+    kept = F.transform(F.concat(F.array(every), "subtrees"), lambda x: F.struct(x.alias("subtree"), F.lit(True).alias("kept")))
+    others = F.transform("marked", lambda x: F.struct(x.alias("subtree"), F.lit(False).alias("kept")))
+    once = (
+        pages.select("host", "content", F.inline(F.concat(kept, others)))
+        .groupBy("host", "content", "subtree")
+        .agg(F.max("kept").alias("kept"))
+    )
+    counts = once.groupBy("host", "subtree").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
+    often = Scratch(pages.sparkSession).keep(counts.where((F.col("n") >= min(min_pages, MANY_PAGES)) & F.col("kept")))
+    totals = often.where(F.col("subtree") == every).select("host", F.col("n").alias("total"))
+    limits = [(min_pages, min_share), (MANY_PAGES, MANY_SHARE)]
+    few, many = [(F.col("n") >= n) & (F.col("n") >= share * F.col("total")) for n, share in limits]
     return (
-        counts.where(F.col("n") >= min_pages)
+        often.where(F.col("subtree") != every)
         .join(totals, "host")
-        .where(F.col("n") >= min_share * F.col("total"))
+        .where(few | many)
         .groupBy("host")
         .agg(F.collect_list("subtree").alias("templates"))
     )
@@ -353,16 +391,16 @@ def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: floa
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(page_id, url, text): the main text of every page, one block per line.
 
-    Pages are read twice: once for the hashes of their element subtrees, which are counted per
-    host, and once for their text, from which subtrees that recur across the host are deleted. A
-    host that fills a third of the table is dealt out ``SALTS`` ways for the second step.
+    Pages are read twice: once for the hashes of all their element subtrees, which are counted per
+    host at the call, and once for their text, from which subtrees that recur across the host are
+    deleted. A host that fills a third of the table is dealt out ``SALTS`` ways for the second step.
 
     Null html is an empty page, and a page without text gives an empty text. Pages without a url
     form a host of their own. Repeated rows give repeated results. Other columns are ignored.
     """
     raw = pages.select(F.col("page_id").cast("long"), "url", "html")
     read = raw.mapInArrow(_read, _PAGE_SQL)
-    templates = site_templates(read.select("host", "content", "subtrees"), min_pages, min_share)
+    templates = site_templates(read.select("host", "content", "subtrees", "marked"), min_pages, min_share)
     dealt = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salt = F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")
     return (

@@ -112,5 +112,41 @@ def test_templates_equal_a_count_in_memory(spark):
     assert got == want and want
 
 
+def varied(n, host, piece):
+    """Pages of one host, each with a paragraph of its own and what ``piece`` gives for it."""
+    return [(i, f"http://{host}/{i}", f"<body>{piece(i)}<div><p>Page {i} alone.</p></div></body>") for i in range(n)]
+
+
+@pytest.mark.parametrize(
+    "piece",
+    [
+        lambda i: f"<div>Notice {i % 3}</div>",  # three notices in turn
+        lambda i: "<div><p>Of this section only</p></div>" if i % 5 == 0 else "",
+        lambda i: "<h3>Call us: 555</h3>" if i < 20 else "",
+        lambda i: "<span>Call us: 555</span>" if i % 2 else "",  # no block of its own
+        lambda i: "<div><p>Advert</p></div>" if i < 9 else "<aside><div><p>Advert</p></div></aside>" if i < 30 else "",  # marked on most pages
+    ],
+)
+def test_templates_of_a_part_of_a_site_go(spark, piece):
+    found = {r.page_id: r.text for r in html_text.extract(pages(spark, varied(60, "a.example", piece))).collect()}
+    assert found == {i: f"Page {i} alone." for i in range(60)}
+
+
+def test_recurring_sentences_stay(spark):
+    """A sentence on 12 % of a host's pages, a word in a sentence on all, a sentence on 5 pages of 24."""
+    often = lambda i: f"<article><p>A common sentence.</p><p>It is <em>not</em> {i}.</p></article>" if i % 8 == 1 else f"<p>It is <em>not</em> {i}.</p>"
+    data = varied(100, "a.example", often) + [(1000 + i, u, h) for i, u, h in varied(24, "b.example", lambda i: "<p>Five times.</p>" if i < 5 else "")]
+    found = {r.page_id: r.text for r in html_text.extract(pages(spark, data)).collect()}
+    for i in range(100):
+        assert found[i].split("\n") == ["A common sentence."] * (i % 8 == 1) + [f"It is not {i}.", f"Page {i} alone."]
+    assert [found[1000 + i] for i in range(24)] == ["Five times.\n" * (i < 5) + f"Page {i} alone." for i in range(24)]
+
+
+def test_all_subtrees_are_counted(spark):
+    page = "<body><nav><ul><li>Menu</li></ul></nav><div><b>x</b> y</div><footer>f</footer></body>"
+    read = pages(spark, [(1, "http://a.example", page)]).mapInArrow(html_text._read, html_text._PAGE_SQL).first()
+    assert len(read.subtrees) == 2 and len(read.marked) == 5  # body, div; nav, ul, li, b, footer
+
+
 def test_empty_table(spark):
     assert html_text.extract(pages(spark, [])).collect() == []
