@@ -312,17 +312,32 @@ def retry_rejected(wh: Warehouse, src: str, glob: str = "*.json", passes: int =
 
 
 def failed_files(wh: Warehouse) -> DataFrame:
-    """Documents whose newest state is rejected, with the last reason and the number of tries."""
+    """Documents whose newest state is rejected, with the last reason and the number of tries.
+
+    A load takes a document off only if it is newer than the rejection: of the same document than
+    its last one, of another file of the same run and symbol than the first one of this state,
+    because a rejected file that still lies there is tried by every run.
+    """
     last = latest(wh.table(FILES), FILE_KEYS, ["loaded_at"]).where("status = 'rejected'")
-    newest = latest(last, ["source_file"], ["modified_at"])
-    loaded = wh.table(FILES).where("status = 'loaded'")
+    since = wh.table(FILES).groupBy(*FILE_KEYS).agg(F.min("loaded_at").alias("since"))
+    newest = latest(last.join(since, FILE_KEYS), ["source_file"], ["loaded_at", "modified_at"]).alias("r")
+    loaded = (
+        wh.table(FILES)
+        .where("status = 'loaded'")
+        .groupBy("source_file", "symbol", "file_stamp")
+        .agg(F.max(F.struct("loaded_at", "modified_at")).alias("newest"))
+        .alias("l")
+    )
+    mended = F.expr("l.source_file = r.source_file and l.newest > struct(r.loaded_at, r.modified_at)")
     # A run that was landed again has new files for the same symbols.
-    landed_again = loaded.select("symbol", "file_stamp").distinct()
-    mended = loaded.select("source_file").distinct()
+    landed_again = F.expr(
+        "l.symbol = r.symbol and l.file_stamp = r.file_stamp and l.source_file <> r.source_file"
+        " and l.newest > struct(r.since as loaded_at, r.modified_at)"
+    )
     tries = wh.table(FILES).groupBy("source_file").agg(F.count("*").alias("attempts"))
     return (
-        newest.join(mended, "source_file", "left_anti")
-        .join(landed_again, ["symbol", "file_stamp"], "left_anti")
+        newest.join(loaded, mended, "left_anti")
+        .join(loaded, landed_again, "left_anti")
         .join(tries, "source_file")
         .select("source_file", "reason", "attempts")
     )

@@ -211,7 +211,7 @@ def land_then_load(spark, sf):
 
 
 def bronze_retry(spark, sf):
-    """Documents rejected by many runs, then repaired: the bars in force, and no file left over."""
+    """Documents rejected by many runs, then repaired, rejected again and repaired: the bars in force, and no file left over."""
 
     def build(wh, folder, landing):
         text = g.in_tens(g.text_bars(spark, sf))
@@ -223,6 +223,13 @@ def bronze_retry(spark, sf):
         loads.retry_rejected(wh, f"{folder}/mended", passes=4)
         write_raw(g.price_documents(text).withColumn("run_ts", stamp), f"{folder}/mended")
         loads.load_bronze(wh, f"{folder}/mended")
+        write_raw(g.price_documents(faulty).withColumn("run_ts", stamp), f"{folder}/mended")
+        refused = loads.load_bronze(wh, f"{folder}/mended").rejected.select("source_file")
+        open_ = loads.failed_files(wh).select("source_file")
+        if not (refused.exceptAll(open_).isEmpty() and open_.exceptAll(refused).isEmpty()):
+            raise loads.LoadError("failed_files does not name the documents that were loaded once and then refused")
+        write_raw(g.price_documents(text).withColumn("run_ts", stamp), f"{folder}/mended")
+        loads.load_bronze(wh, f"{folder}/mended")
 
     wh = _other(spark, sf, "retry_warehouse", build)
     left = F.lit(loads.failed_files(wh).count()).cast("long").alias("files_left")

@@ -125,6 +125,31 @@ def _name(c):
     return F.regexp_extract(c, r"([^/]*)$", 1)
 
 
+def test_loaded_then_rejected_is_named(wh, land):
+    """A document that loaded once and is refused in a newer state is open until that one loads."""
+    stamp = "2024-01-02_00-00-00"
+    good, faulty = doc(A={"2024-01-02": GOOD}), "{"
+    named = lambda: rows(loads.failed_files(wh).select(_name("source_file"), "reason"))
+
+    def put(text, at, folder="", name=f"A_{stamp}.json"):
+        src = land(folder + name, text)
+        os.utime(os.path.join(src, folder + name), (at, at))
+        load_bronze(wh, src)
+        return src
+
+    put(good, 1e9)
+    assert named() == []
+    src = put(faulty, 1.1e9)
+    assert named() == [(f"A_{stamp}.json", "not_json")]
+    assert retry_rejected(wh, src, passes=2).count() == 1
+    put(good, 1.2e9)
+    assert named() == []
+    put(faulty, 0.9e9)  # an older file put back
+    assert named() == [(f"A_{stamp}.json", "not_json")]
+    put(good, 0.8e9)
+    assert named() == []
+
+
 def test_only_new_files_of_a_flat_folder_are_opened(wh, land, monkeypatch):
     for i in range(4):
         src = land(f"F{i}_2024-01-02_00-00-00.json", doc(**{f"T{i}": {"2024-01-02": GOOD}}))
