@@ -19,8 +19,8 @@ from barhouse.llm.common import Scratch
 #: Pages with the same content count once.
 MIN_PAGES = 5
 MIN_SHARE = 0.5
-#: Or on so many pages and this share of them. On the given tables sentences of articles recur on up to 12 % of
-#: a host's pages (21 % on 5 pages of 24).
+#: Or on so many pages and this share of them. On sf0.1 and check_s sentences of articles that are on 10 pages
+#: or more are on up to 12 % of a host's pages (others on up to 21 %, 5 of 24).
 MANY_PAGES = 10
 MANY_SHARE = 0.15
 #: Articles (or else the main part) stand for the page if they hold this share of its text; the rest is left out.
