@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,18 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts with at most ``most`` bytes of text in ``column``, or one row with more."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(ends):
+        before = int(ends[start - 1]) if start else 0
+        stop = max(int(np.searchsorted(ends, before + most, "right")), start + 1)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def blobs(owner: np.ndarray, n: int, *columns: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
     """Per owner from 0 to n - 1 that occurs: the bytes of its part of each column, in order."""
     order = np.argsort(owner, kind="stable")

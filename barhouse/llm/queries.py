@@ -13,6 +13,7 @@ from barhouse.llm import (
     line_dedup,
     mixing,
     packing,
+    periodic_runs,
     pii,
     quality,
     simhash,
@@ -67,6 +68,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return periodic_runs.digests(periodic_runs.periodic_runs(docs, reorder=periodic_runs.repeated_tail))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_exact_topk,
         op10_exact_dedup,
+        op11_periodic_runs,
     )
 }
 
