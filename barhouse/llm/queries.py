@@ -14,6 +14,7 @@ from barhouse.llm import (
     mixing,
     packing,
     periodic_runs,
+    permutation_index,
     pii,
     quality,
     simhash,
@@ -73,6 +74,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(docs, reorder=periodic_runs.repeated_tail))
 
 
+def op13_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_exact_topk,
         op10_exact_dedup,
         op11_periodic_runs,
+        op13_permutation_index,
     )
 }
 
