@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,14 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def held(name: str, make: Callable[[], object]):
+    """What ``make`` builds, once per process: the tasks that a Python worker runs after one another share it."""
+    store = sys.modules.setdefault("barhouse_held", ModuleType("barhouse_held"))
+    if not hasattr(store, name):
+        setattr(store, name, make())
+    return getattr(store, name)
+
+
 def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
     """``batch`` in parts with at most ``most`` bytes of text in ``column``, or one row with more."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)

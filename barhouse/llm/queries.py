@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barhouse.llm import (
+    cross_align,
     exact_dedup,
     html_text,
     line_dedup,
@@ -21,7 +22,7 @@ from barhouse.llm import (
     suffix_dedup,
     topk,
 )
-from barhouse.llm.common import table
+from barhouse.llm.common import Scratch, table
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +75,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(docs, reorder=periodic_runs.repeated_tail))
 
 
+def op12_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = F.col("groups")
+    digest = F.when(groups == "", "").otherwise(F.sha2(groups, 256)).alias("groups_sha256")
+    aligned = cross_align.align(table(spark, sf_dir, "documents"))
+    scratch = Scratch(spark)
+    aligned = scratch.keep(aligned.select("block", "doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "links"))
+    return cross_align.link_statistics(aligned, scratch)
+
+
 def op13_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -92,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_exact_topk,
         op10_exact_dedup,
         op11_periodic_runs,
+        op12_cross_align,
         op13_permutation_index,
     )
 }
