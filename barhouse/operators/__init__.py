@@ -30,6 +30,7 @@ from barhouse.operators.quality import (
     report_counts,
     zero_values,
 )
+from barhouse.operators.renames import rename_candidates
 
 __all__ = [
     "advance_marks",
@@ -58,6 +59,7 @@ __all__ = [
     "price_inversions",
     "price_range",
     "read_marks",
+    "rename_candidates",
     "report_counts",
     "reset_marks",
     "resolve_ticker",

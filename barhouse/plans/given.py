@@ -62,6 +62,42 @@ def text_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: From these days on a seventh of the tickers has a new name, and a third of those another one.
+RENAMED, RENAMED_AGAIN = "2024-01-20", "2024-01-25"
+
+
+def renamed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of renamed tickers: U7 ends and R7 has its history, some closes corrected; R21 ends too and S21 goes on.
+
+    Others only look like it: L has a third of the bars of a ticker that ended, N is a cent off, and the bars of
+    all Z are the same on every day.
+    """
+    n = F.substring("ticker", 2, 12).cast("bigint")
+    all_ = bars(spark, sf_dir).drop("loaded_at").withColumn("n", n)
+    seventh, more = F.col("n") % 7 == 0, F.col("n") % 21 == 0
+
+    def named(letter: str, rows: DataFrame, **changed: Column) -> DataFrame:
+        values = {c: v.cast("int" if c == "volume" else PRICE) for c, v in changed.items()}
+        return rows.withColumn("ticker", F.concat(F.lit(letter), F.col("n").cast("string"))).withColumns(values)
+
+    def raised(test: Column, by: str) -> Column:
+        return F.when(test, F.col("close_price") + F.lit(by).cast(PRICE)).otherwise(F.col("close_price"))
+
+    flat = {c: F.lit(1) for c in VALUE_COLS}
+    parts = [
+        all_.where(~seventh | (F.col("date") < F.lit(RENAMED))),
+        named("R", all_.where(seventh & (~more | (F.col("date") < F.lit(RENAMED_AGAIN)))), close_price=raised(every(13), "1")),
+        named("S", all_.where(more), close_price=raised(every(17), "1")),
+        named("L", all_.where(seventh), close_price=raised(~every(3), "3")),
+        named("N", all_.where(n % 11 == 3), close_price=raised(F.lit(True), "0.01")),
+        named("Z", all_.where((n % 10 == 5) | ((n % 5 == 0) & (F.col("date") < F.lit("2024-01-12")))), **flat),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.drop("n", "k")
+
+
 def every(n: int) -> Column:
     return F.col("k") % n == 0
 
@@ -204,6 +240,7 @@ def load_name(c: str) -> Column:
 # -- the same in SQL --------------------------------------------------------
 
 _PRICES = ", ".join(PRICE_COLS)
+_RAISED = "open_price, high_price, low_price, cast(case when {} then close_price + {} else close_price end as decimal(11,4))"
 
 SQL = {
     "bars": """
@@ -252,6 +289,22 @@ SQL = {
           join region on n_regionkey = r_regionkey""",
     "dim": "select * exclude (c_acctbal) from companies where c_acctbal >= 0",
     "known_dim": f"select * from dim where sector <> '{NEW_SECTOR}'",
+    "renamed_bars": f"""
+        select 'U' || n as ticker, date, {_PRICES}, volume from numbered
+        where n % 7 <> 0 or date < date '{RENAMED}'
+        union all
+        select 'R' || n, date, {_RAISED.format("k % 13 = 0", "1")}, volume from numbered
+        where n % 7 = 0 and (n % 21 <> 0 or date < date '{RENAMED_AGAIN}')
+        union all
+        select 'S' || n, date, {_RAISED.format("k % 17 = 0", "1")}, volume from numbered where n % 21 = 0
+        union all
+        select 'L' || n, date, {_RAISED.format("k % 3 <> 0", "3")}, volume from numbered where n % 7 = 0
+        union all
+        select 'N' || n, date, {_RAISED.format("true", "0.01")}, volume from numbered where n % 11 = 3
+        union all
+        select 'Z' || n, date, 1, 1, 1, 1, 1 from numbered
+        where n % 10 = 5 or (n % 5 = 0 and date < date '2024-01-12')""",
+    "numbered": "select *, cast(substr(ticker, 2) as bigint) as n from bars",
     "control": f"""
         select 'load_U' || user_id as procedure_name, max(ts) as last_run, min(ts) as high_mark
         from events where ts < timestamp '{MARK}' group by 1""",
@@ -265,6 +318,8 @@ _NEEDS = {
     "silver": ["typed"],
     "target": ["bars"],
     "source": ["silver"],
+    "numbered": ["bars"],
+    "renamed_bars": ["numbered"],
     "dim": ["companies"],
     "known_dim": ["dim"],
 }

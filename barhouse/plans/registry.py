@@ -364,6 +364,43 @@ def new_tickers(spark, sf):
     return op.new_tickers(g.dim(spark, sf), g.known_dim(spark, sf))
 
 
+_RENAMES = f"""
+, spans as (select ticker, max(date) as last from renamed_bars group by 1),
+sides as (
+  select s.*, d.ticker is null as is_new, last < (select max(last) from spans) as stopped
+  from spans s left join dim d using (ticker)),
+indexed as (
+  select b.*, last, is_new, stopped from renamed_bars b join sides using (ticker) where is_new or stopped),
+rare as (select date, {_VALUES} from indexed group by all having count(*) between 2 and 8),
+pairs as (
+  select distinct a.ticker, b.ticker as new_ticker, b.last as new_last
+  from indexed a join indexed b using (date, {_VALUES}) join rare using (date, {_VALUES})
+  where a.stopped and b.is_new and b.last > a.last),
+days as (
+  select p.*, {" and ".join(f"x.{c} = y.{c}" for c in VALUE_COLS)} as same
+  from pairs p join renamed_bars x using (ticker)
+    join renamed_bars y on y.ticker = p.new_ticker and y.date = x.date),
+good as (
+  select ticker, new_ticker, new_last, count(*) as shared_days,
+    count(*) filter (same) / cast(count(*) as double) as agreement
+  from days group by all having shared_days >= 3 and agreement >= 0.7),
+links as (
+  select * from good
+  qualify row_number() over (partition by ticker order by new_last, agreement desc, new_ticker) = 1),
+walk as (
+  select ticker, new_ticker as current_ticker, 1 as steps from links
+  union all
+  select w.ticker, l.new_ticker, steps + 1 from walk w join links l on l.ticker = w.current_ticker),
+ends as (select ticker, arg_max(current_ticker, steps) as current_ticker, max(steps) as steps from walk group by 1)
+select ticker_id, ticker, new_ticker, shared_days, agreement, current_ticker, cast(steps as int) as steps
+from links join dim using (ticker) join ends using (ticker)"""
+
+
+@query("rename_candidates", g.sql(_RENAMES, "renamed_bars", "dim").replace("with ", "with recursive ", 1))
+def rename_candidates(spark, sf):
+    return op.rename_candidates(g.renamed_bars(spark, sf), g.dim(spark, sf), materialise)
+
+
 _NUMBERED = f"""
 select cast((select max(ticker_id) from known_dim) + row_number() over (order by ticker) as int)
   as ticker_id, {", ".join(DIM_WIDTHS)} from ({_NEW})"""
