@@ -8,7 +8,10 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from barhouse.operators import rename_candidates
 from barhouse.plans import loads
+from barhouse.plans.repair import repair
+from barhouse.plans.scratch import materialise
 from barhouse.plans.warehouse import Warehouse
 from barhouse.schemas import REBUILDABLE
 from barhouse.sources import read_responses
@@ -45,6 +48,8 @@ def _parser() -> argparse.ArgumentParser:
     dim.add_argument("src")
     jobs.add_parser("gold", help="load the fact table")
     jobs.add_parser("backfill", help="add facts whose ticker became known later")
+    jobs.add_parser("repair", help="load ranges again that differ from the layer below")
+    jobs.add_parser("renames", help="name new tickers that may be old ones under a new name")
     rebuild = jobs.add_parser("rebuild", help="empty a table and reset its control row")
     rebuild.add_argument("table", choices=sorted(REBUILDABLE))
     return parser
@@ -125,6 +130,13 @@ def run(spark: SparkSession, argv: list[str]) -> int:
         _report_load(loads.backfill_unmatched(wh))
     elif args.job == "quality":
         _report_quality(loads.check_data_quality(wh))
+    elif args.job == "repair":
+        for load in repair(wh):
+            _report_load(load)
+    elif args.job == "renames":
+        found = rename_candidates(wh.table(loads.SILVER), wh.table(loads.DIM), materialise)
+        for r in found.orderBy("ticker").toLocalIterator():
+            log.info("%s (id %s) may be %s: %s common days, %.0f %% alike", r.ticker, r.ticker_id, r.current_ticker, r.shared_days, 100 * r.agreement)
     elif args.job == "rebuild":
         wh.rebuild(args.table)
     return 0

@@ -182,7 +182,7 @@ def recorded_run(wh: Warehouse, job: str) -> Iterator[Run]:
         run.clean()
 
 
-def _result(run: Run) -> LoadResult:
+def load_result(run: Run) -> LoadResult:
     counts = [("INSERT", run.inserted), ("UPDATE", run.updated)]
     actions = few_rows(run.wh.spark, [c for c in counts if c[1]], ACTIONS)
     seconds = (now_micros() - run.started) // 1_000_000
@@ -296,7 +296,7 @@ def load_bronze(wh: Warehouse, src: str, glob: str = "*.json") -> LoadResult:
             if any(f.begun for f in chosen):
                 files = files.join(loaded_documents(wh), FILE_KEYS, "left_anti")
             append_files(run, files, run.run_id)
-    result = _result(run)
+    result = load_result(run)
     verdicts = wh.read(FILES, [p for p in run.parts if p.table == FILES])
     result.rejected = verdicts.where("status = 'rejected'").select("source_file", "reason")
     return result
@@ -369,7 +369,7 @@ def compact_bronze(wh: Warehouse) -> LoadResult:
                 merged = f"{run.run_id}-merged"
                 one = wh.write_part(name, merged, wh.read(name, small), merged, max(p.stamp for p in small))
                 run.parts += _merged_into(small, one)
-    return _result(run)
+    return load_result(run)
 
 
 def bronze_current(wh: Warehouse) -> DataFrame:
@@ -431,7 +431,7 @@ def load_silver(
             )
             names = [p.period for p in good]
             _merge(run, SILVER, bars, names, sum(p.n for p in good), BAR_KEYS, stamp)
-    return _result(run)
+    return load_result(run)
 
 
 def check_data_quality(wh: Warehouse) -> QualityResult:
@@ -490,7 +490,7 @@ def load_gold(wh: Warehouse) -> LoadResult:
         if fresh:
             run.high_mark = max(p.stamp for p in fresh)
         _merge_fact(run, resolve_ticker(scope, dim))
-    result = _result(run)
+    result = load_result(run)
     result.missing, result.n_missing, result.missing_rows = listed(tickers), n_missing, tickers
     return result
 
@@ -512,7 +512,7 @@ def backfill_unmatched(wh: Warehouse) -> LoadResult:
             left = open_.join(late, ["ticker", "period"], "left_anti").withColumn("run_id", F.lit(run.run_id))
             one = wh.write_part(UNMATCHED, run.run_id, left, run.run_id, now_micros())
             run.parts += _merged_into(record, one)
-    return _result(run)
+    return load_result(run)
 
 
 def load_dim(wh: Warehouse, responses: DataFrame) -> LoadResult:
@@ -537,7 +537,7 @@ def load_dim(wh: Warehouse, responses: DataFrame) -> LoadResult:
         refused = judged.where("not usable").count()
         run.detail = f"responses left out: {refused}" if refused else None
         run.parts.append(part)
-    return _result(run)
+    return load_result(run)
 
 
 # -- runners ----------------------------------------------------------------

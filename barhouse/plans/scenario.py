@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from barhouse.operators import quality_details as operators_quality
 from barhouse.plans import given as g
 from barhouse.plans import loads
+from barhouse.plans.repair import repair
 from barhouse.plans.scratch import drop_path, new_folder
 from barhouse.plans.warehouse import Warehouse
 from barhouse.schemas import BAR_KEYS, DIM_WIDTHS, FACT_KEYS, PRICE_COLS, VALUE_COLS
@@ -116,12 +117,12 @@ def bronze_state(spark, sf):
     return loads.bronze_current(warehouse(spark, sf)).select(*BAR_KEYS, *VALUE_COLS)
 
 
-def _other(spark, sf, name: str, build) -> Warehouse:
+def _other(spark, sf, name: str, build, period: str | None = None) -> Warehouse:
     """Another warehouse over the same landing folder, built once."""
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _BUILT:
         folder = warehouse(spark, sf).root.removesuffix("/warehouse")
-        wh = Warehouse(spark, f"{folder}/{name}").create()
+        wh = Warehouse(spark, f"{folder}/{name}", period).create()
         build(wh, folder, f"{folder}/landing")
         _BUILT[key] = wh.root
     return Warehouse(spark, _BUILT[key])
@@ -172,6 +173,35 @@ def reloaded_facts(spark, sf):
     return _second_life(spark, sf).table(loads.FACT).select(*FACT_KEYS, *VALUE_COLS)
 
 
+def _load_all(wh: Warehouse, sf: str, landing: str) -> None:
+    loads.load_dim(wh, _companies(g.dim(wh.spark, sf), "2024-02-02"))
+    for src in (f"{landing}/{FIRST_RUN}", landing):
+        loads.load_bronze(wh, src)
+        loads.load_silver(wh, on_bad_key="quarantine")
+        loads.load_gold(wh)
+
+
+def _damage(wh: Warehouse, name: str, periods: list[str], keys) -> None:
+    """Take some rows of the periods away and change a value of others."""
+    stamp = wh.next_stamp(name)
+    lot = F.pmod(F.xxhash64(*keys), F.lit(7))
+    rows = wh.table(name, periods).where(lot != 0)
+    rows = rows.withColumn("volume", F.when(lot == 1, F.col("volume") + 1).otherwise(F.col("volume")))
+    wh.commit(wh.write_periods(name, rows, f"damage-{stamp}", wh.parts(name)[0].stamp, tuple(keys)))
+
+
+def repaired_facts(spark, sf):
+    """A warehouse kept by days: rows of two days of the typed and of two of the fact table are lost or changed, then repaired."""
+
+    def build(wh, folder, landing):
+        _load_all(wh, sf, landing)
+        _damage(wh, loads.SILVER, ["2024-01-05", "2024-01-17"], BAR_KEYS)
+        _damage(wh, loads.FACT, ["2024-01-17", "2024-01-23"], FACT_KEYS)
+        repair(wh)
+
+    return _other(spark, sf, "repaired_warehouse", build, "day").table(loads.FACT).select(*FACT_KEYS, *VALUE_COLS)
+
+
 def load_stamps(spark, sf):
     """A load stamps all its rows alike, and none is without a stamp."""
     rows = _second_life(spark, sf).table(loads.SILVER)
@@ -389,6 +419,11 @@ select sector, exchange, date, cast(count(*) as bigint) as bars,
   max(close_price) as highest_close, cast(sum(volume) as bigint) as total_volume
 from facts join ids using (ticker_id) group by 1, 2, 3"""
 
+# Here the whole dimension came first, so its ids are in the order of the tickers.
+_REPAIRED = f"""
+select i.ticker_id, date, {", ".join(VALUE_COLS)} from bars_now join (
+  select ticker, cast(row_number() over (order by ticker) as int) as ticker_id from dim) i using (ticker)"""
+
 
 QUERIES = {
     "bronze_load": (bronze_state, _oracle(f"select {_BAR} from current")),
@@ -404,6 +439,7 @@ QUERIES = {
     "star_select": (star_select, _oracle(_STAR)),
     "bronze_compacted": (bronze_compacted, _oracle(f"select {_BAR} from current")),
     "reloaded_facts": (reloaded_facts, _oracle(f"select {_FACT} from facts")),
+    "repaired_facts": (repaired_facts, _oracle(_REPAIRED)),
     "load_stamps": (
         load_stamps,
         _oracle("select count(*) as bars, count(*) as stamped, cast(1 as bigint) as stamps from bars_now"),

@@ -112,8 +112,12 @@ class Warehouse:
             return made_with.rpartition(" by ")[2]
         return self._wanted_period or "month"
 
+    @property
+    def date_pattern(self) -> str:
+        return PERIODS[self.period]
+
     def period_of(self, date: str = "date") -> Column:
-        return F.date_format(date, PERIODS[self.period]).alias("period")
+        return F.date_format(date, self.date_pattern).alias("period")
 
     # -- the log ------------------------------------------------------------
 
