@@ -142,10 +142,10 @@ def top_k(df: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFrame:
 
 ORACLE = f"""
 WITH t AS (
-  SELECT vec_id, min(list_transform(embedding, x -> floor({SCALE} * x::DOUBLE))) AS v
+  SELECT vec_id, min([floor({SCALE} * x::DOUBLE) FOR x IN embedding]) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
   GROUP BY vec_id
 ), p AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score

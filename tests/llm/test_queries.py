@@ -19,7 +19,7 @@ from tests.llm import (
     test_line_dedup,
     test_packing,
     test_pii,
-    test_quality,
+    test_resampling,
     test_simhash,
     test_suffix_dedup,
 )
@@ -35,7 +35,7 @@ def tables(spark, tmp_path_factory):
     data = [*small.AWKWARD, *[(r[0] + 1000, *r[1:]) for r in given if len(r[1]) < 4000]]
     small.crowded(small.docs(spark, data)).write.parquet(f"{folder}/documents.parquet")
     marks = [(r[0], 1 - r[0] % 2, 0) for r in data if r[0] is not None and r[0] >= 1000]
-    test_quality.labels(spark, marks).write.parquet(f"{folder}/labels.parquet")
+    test_resampling.labels(spark, marks).write.parquet(f"{folder}/labels.parquet")
     spark.read.parquet(f"{SF}/pages.parquet").limit(60).write.parquet(f"{folder}/pages.parquet")
     return folder, data
 
@@ -93,7 +93,7 @@ def test_op7(spark, tables):
     marks = {r.doc_id: r.quality for r in spark.read.parquet(f"{tables[0]}/labels.parquet").collect()}
     found = [r for r in run(spark, tables, "op7_quality_resampling") if r[0] is not None and r[0] >= 1000]
     # Every text counts for the raw model, so the brute force takes all rows.
-    want = test_quality.brute(list(enumerate(r[1] for r in tables[1])), {i for i, r in enumerate(tables[1]) if marks.get(r[0]) == 1})
+    want = test_resampling.brute(list(enumerate(r[1] for r in tables[1])), {i for i, r in enumerate(tables[1]) if marks.get(r[0]) == 1})
     by_id = {r[0]: want[i] for i, r in enumerate(tables[1])}
     assert all(r[1] == pytest.approx(by_id[r[0]]) for r in found)
 
@@ -110,7 +110,7 @@ def noise(doc_id):
 
 def keep_quality(docs, marks):
     good = {i for i, q in marks.items() if q == 1}
-    weight = test_quality.brute([(d[0], d[1]) for d in docs], good)
+    weight = test_resampling.brute([(d[0], d[1]) for d in docs], good)
     known = [(weight[i], q) for i, q in marks.items() if i in weight]
     best = max(
         (sum(w >= t for w, q in known if q) / len(good) - sum(w >= t for w, q in known if not q) / sum(not q for _, q in known), t)
