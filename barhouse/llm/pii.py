@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,9 @@ LABELS = ("none", *KINDS)
 FIT_DOCUMENTS = 20_000
 #: And on this many tokens at most.
 FIT_TOKENS = 200_000
+#: Log potential of equal labels of an email and a distant token that equals its local part. Not fitted: such
+#: tokens have no labels to learn from, and nothing else is known of them.
+LOCAL_PRIOR = 5.0
 #: A free token becomes part of a span at this probability.
 CERTAIN = 0.95
 ROUNDS = 12
@@ -37,6 +40,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+#: Local parts that are looked for elsewhere: with a letter, and no plain word ("info").
+_NAME = re.compile(r"(?=.*[a-z])(?=.*[0-9._%+-]).{4,}")
 _EDGE = re.compile(r"^[^\w+@]+|[^\w]+$")
 
 
@@ -73,20 +78,20 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
         for m in pattern.finditer(text):
             digits = re.sub("[^0-9]", "", m[0])
             if kind == 1:
-                good = all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))
+                good = all(len(p) <= 3 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in m[0].split(".")))
             elif kind == 2:
                 good = 13 <= len(digits) <= 19 and luhn(digits)
             else:
                 good = 9 <= len(digits) <= 15
             if good:
                 found.append((kind, m.start(), m.end()))
-            elif kind != 2 or len(digits) > 8:  # short numbers are no refused cards
+            elif kind != 2 or len(digits) >= 13:  # a number that is too short for a card may be of another kind
                 refused.append((m.start(), m.end()))
     return found, refused
 
 
-# Nodes of the field: tokens with a digit, an @ or a leading +. All other tokens are surely "none"
-# and end a chain.
+# Nodes of the field: tokens with a digit, an @ or a leading +, and those that equal the local part of an
+# email of the text. All other tokens are surely "none" and end a chain.
 
 
 def _shape(token: str) -> str:
@@ -101,7 +106,11 @@ def _bucket(name: str) -> int:
     return zlib.crc32(name.encode("utf-8", "surrogatepass")) % FEATURES
 
 
-def _same(token: str) -> list[str]:
+def _local(email: str) -> str:
+    return email.split("@")[0].lower().strip("._%+-")
+
+
+def _same(token: str, locals_: set[str]) -> list[str]:
     """What two distant tokens must share to be linked: the whole, or its digits' tail, or its local part."""
     core = _EDGE.sub("", token).lower()
     digits = re.sub("[^0-9]", "", core)
@@ -109,7 +118,9 @@ def _same(token: str) -> list[str]:
     if len(digits) >= 7:
         out.append(f"d:{digits[-7:]}")
     if "@" in core:
-        out.append(f"l:{core.split('@')[0]}")
+        out.append(f"l:{_local(core)}")
+    elif core in locals_:
+        out.append(f"l:{core}")
     return out
 
 
@@ -122,18 +133,21 @@ class Nodes:
     chain: list[tuple[int, int]]
     skip: list[tuple[int, int]]
     known: list[int]  # a label, FREE or UNSURE
+    local: list[tuple[int, int]] = field(default_factory=list)  # links to and from local parts without their @
 
 
 def nodes_of(text: str, base: list[tuple[int, int, int]], refused: list[tuple[int, int]]) -> Nodes:
     out = Nodes([], [], [], [], [])
     marks = sorted([(a, b, k + 1) for k, a, b in base] + [(a, b, 0) for a, b in refused], key=lambda m: (m[0], -m[2]))
     tokens = list(_TOKEN.finditer(text))
-    last: dict[str, int] = {}
+    locals_ = {x for x in (_local(text[a:b]) for k, a, b in base if k == 0) if _NAME.fullmatch(x)}
+    last: dict[str, tuple[int, bool]] = {}
     before = -2
     for k, m in enumerate(tokens):
         token = m[0]
         if not ("@" in token or token[0] == "+" or _DIGIT.search(token)):
-            continue
+            if not locals_ or _EDGE.sub("", token).lower() not in locals_:
+                continue
         node = len(out.spans)
         a, b = m.span()
         core = _EDGE.sub("", token)
@@ -155,14 +169,16 @@ def nodes_of(text: str, base: list[tuple[int, int, int]], refused: list[tuple[in
             f"left {_squeezed(_shape(left))[:12]}",
             f"right {_squeezed(_shape(right))[:12]}",
         ]
-        out.features.append([_bucket(n) for n in names])
+        bare = core.lower() in locals_
+        out.features.append([_bucket(n) for n in (["local part"] if bare else names)])
         if before == k - 1 and node:
             out.chain.append((node - 1, node))
         before = k
-        for name in _same(token):
+        for name in _same(token, locals_):
             if name in last:
-                out.skip.append((last[name], node))
-            last[name] = node
+                other, of_bare = last[name]
+                (out.local if bare or of_bare else out.skip).append((other, node))
+            last[name] = node, bare
         over = [(s, e, kind) for s, e, kind in marks if s < b and a < e]
         label = next((kind for _, _, kind in over if kind), None)
         if label is None:  # refused as a whole, refused together with other tokens, or not looked at
@@ -188,6 +204,7 @@ class Field:
         own[fixed] = -50.0
         own[fixed, known[fixed]] = 0.0
         links = [(a, b, self.chain) for a, b in nodes.chain] + [(a, b, self.skip) for a, b in nodes.skip]
+        links += [(a, b, LOCAL_PRIOR * np.eye(len(LABELS))) for a, b in nodes.local]
         if not links:
             return _softmax(own)
         source = np.array([x for a, b, _ in links for x in (a, b)])
@@ -219,10 +236,10 @@ def fit_field(rows: list[tuple[list[int], int, list[int], list[int], list[int]]]
     Tokens that no pattern covers count as "none".
     """
     n, size = len(rows), len(LABELS)
-    field = Field(np.zeros((FEATURES, size)), np.zeros((size, size)), SKIP_PRIOR * np.eye(size))
+    fitted = Field(np.zeros((FEATURES, size)), np.zeros((size, size)), SKIP_PRIOR * np.eye(size))
     if not n:
-        field.unary[_bucket("bias"), 0] = 10.0
-        return field
+        fitted.unary[_bucket("bias"), 0] = 10.0
+        return fitted
     where = np.concatenate([np.full(len(r[0]), i) for i, r in enumerate(rows)])
     what = np.concatenate([np.array(r[0]) for r in rows])
     truth = np.array([r[1] for r in rows])
@@ -231,28 +248,28 @@ def fit_field(rows: list[tuple[list[int], int, list[int], list[int], list[int]]]
         for k in range(3):
             np.add.at(counts[k, i], r[2 + k], 1)
     goal = np.eye(size)[truth]
-    rate, prior = 0.5, field.skip.copy()
+    rate, prior = 0.5, fitted.skip.copy()
     for _ in range(steps):
         score = np.zeros((n, size))
-        np.add.at(score, where, field.unary[what])
-        score += counts[0] @ field.chain + counts[1] @ field.chain.T + counts[2] @ field.skip
+        np.add.at(score, where, fitted.unary[what])
+        score += counts[0] @ fitted.chain + counts[1] @ fitted.chain.T + counts[2] @ fitted.skip
         off = (goal - _softmax(score)) / n
-        step = np.zeros_like(field.unary)
+        step = np.zeros_like(fitted.unary)
         np.add.at(step, what, off[where])
-        field.unary += rate * (n ** 0.5 * step - 1e-4 * field.unary)
-        field.chain += rate * (n ** 0.5 * (counts[0].T @ off + (counts[1].T @ off).T) - 1e-4 * field.chain)
+        fitted.unary += rate * (n ** 0.5 * step - 1e-4 * fitted.unary)
+        fitted.chain += rate * (n ** 0.5 * (counts[0].T @ off + (counts[1].T @ off).T) - 1e-4 * fitted.chain)
         link = counts[2].T @ off
-        field.skip += rate * (n ** 0.5 * (link + link.T) / 2 - 1e-4 * (field.skip - prior))
-    return field
+        fitted.skip += rate * (n ** 0.5 * (link + link.T) / 2 - 1e-4 * (fitted.skip - prior))
+    return fitted
 
 
 def _trained(nodes: Nodes) -> list[int]:
     """Labels to learn from: free tokens count as "none", but not where a known one is linked or beside that."""
     label = list(nodes.known)
-    for links in (nodes.skip, nodes.chain):
+    for links in (nodes.skip, nodes.local, nodes.chain):
         for a, b in links:
             for one, other in ((a, b), (b, a)):
-                if label[one] == FREE and (label[other] == UNSURE or links is nodes.skip and label[other] > 0):
+                if label[one] == FREE and (label[other] == UNSURE or links is not nodes.chain and label[other] > 0):
                     label[one] = UNSURE
     return [0 if k == FREE else k for k in label]
 
@@ -339,9 +356,7 @@ def _find(field: Field):
             for value in batch.column(1):
                 text = value.as_py() or ""
                 base, refused = base_spans(text)
-                more = []
-                if base:  # without any there is nothing whose label could be carried on
-                    more = added_spans(text, base, refused, field)
+                more = added_spans(text, base, refused, field)
                 counts = [sum(k == i for k, _, _ in base) for i in range(len(KINDS))]
                 rows.append((*counts, _joined(base), _joined(base + more)))
             columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), list(_RESULT)[1:])] if rows else []
@@ -356,8 +371,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
     ``base`` lists what the fixed patterns find in the whole text, ``spans`` that
     and what the field adds, as kind:start:end in code points. The field's nodes
-    are the tokens with a digit, an @ or a leading +; neighbours share potentials,
-    and so do distant tokens that are equal, end in the same seven digits, or have
+    are the tokens with a digit, an @ or a leading +, and those that equal the local
+    part of one of the text's emails; neighbours share potentials, and so do distant tokens that are equal, end in the same seven digits, or have
     the same local part (each with its previous occurrence, so links grow with the
     text). What a pattern accepts or refuses is evidence; the rest is free. Loopy
     message passing carries labels along the links, so a number that is known in

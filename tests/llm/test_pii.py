@@ -100,3 +100,39 @@ def test_messages_give_exact_marginals_on_a_chain():
             for i in range(4):
                 want[i, y[i]] += p
     assert field.labels(nodes) == pytest.approx(want / want.sum(axis=1, keepdims=True), abs=0.02)
+
+
+def test_parts_of_very_many_digits():
+    zeros, ones = "0" * 5000 + "1.2.3.4", "1" * 5000 + ".2.3.4"
+    assert pii.base_spans(zeros)[0] == [(1, 0, len(zeros))]
+    assert pii.base_spans(ones)[0] == []
+
+
+def planted(n):
+    """Documents with a mention that a pattern finds and one that none does, and tokens that look alike."""
+    rng = np.random.default_rng(4)
+    data, want = [], set()
+    names = ["anna", "boris", "chandra", "dmitri", "elena", "farid", "greta", "hugo"]
+    for i in range(n):
+        doc_id = 50_000 + i
+        filler = " ".join(rng.choice(["plain", "words", "about", "nothing", "of", "note"], 30).tolist())
+        if i % 2:
+            local = f"{names[i % 8]}.{names[i // 8 % 8]}{rng.integers(10, 99)}"
+            first, again, kind = f"{local}@mail{i % 9}.example.com", local, "email"
+        else:
+            tail = f"{rng.integers(200, 999)}-{rng.integers(200, 999)}-{rng.integers(1000, 9999)}"
+            first, again, kind = f"+1 {tail}", tail, "phone"
+        text = f"reach {first} today {filler} and once more {again} then room {rng.integers(10, 999)} in {rng.integers(1900, 2030)}"
+        data.append((doc_id, text, "en", "a", 0))
+        at = text.rindex(again)
+        want.add((doc_id, f"{kind}:{at}:{at + len(again)}"))
+    return data, want
+
+
+def test_added_spans_are_the_planted_mentions(spark):
+    data, want = planted(300)
+    rows = pii.personal_data(small.docs(spark, [*CORPUS, *data])).collect()
+    added = {(r.doc_id, s) for r in rows for s in set(r.spans.split(",")) - set(r.base.split(",")) if s}
+    hit = len(added & want)
+    print("recall", hit / len(want), "precision", hit / max(1, len(added)))
+    assert hit / len(want) >= 0.9 and hit / len(added) >= 0.9
