@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barhouse.llm.common import Scratch, blobs, components, shuffle_width, smallest_label
@@ -44,16 +44,25 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp long) of every row."""
+    """(doc_id, fp long) of every row, and as ``own`` a hash of the text of rows without an id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter(
                 (fingerprint(t.as_py(), shingle) for t in batch.column(1)), dtype=np.uint64, count=batch.num_rows
             )
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found.view(np.int64)), batch.column(2)], names=["doc_id", "fp", "own"]
+            )
+
+    return docs.select(F.col("doc_id").cast("long"), "text", _own_key(docs).alias("own")).mapInArrow(
+        run, "doc_id long, fp long, own long"
+    )
+
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+def _own_key(docs: DataFrame) -> Column:
+    """Tells rows without an id apart, by their text; null for the others."""
+    return F.when(docs["doc_id"].isNull(), F.xxhash64(docs["text"]))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -153,6 +162,30 @@ def _link(bits: int):
     return run
 
 
+def _placed(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """(doc_id, fp, own, component_id) per row."""
+    if not 1 <= max_bits <= 3:
+        raise ValueError("two halves find pairs of at most 3 differing bits")
+    scratch = Scratch(docs.sparkSession)
+    n = shuffle_width(docs.sparkSession)
+    rows = scratch.keep(fingerprints(docs, shingle))
+    known = scratch.keep(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    sent = known.select("fp").mapInArrow(_send(n), "part int, fps binary, slots binary")
+    links = scratch.keep(
+        sent.repartitionById(n, F.col("part")).mapInArrow(_link(max_bits), "a long, b long").distinct()
+    )
+    # Components are those of the fingerprints, so that rows without an id link others like any row.
+    groups = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch)
+    rooted = scratch.keep(
+        known.join(groups, known["fp"] == groups["node"], "left").select(
+            "fp", "rep", F.coalesce("component", "fp").alias("root")
+        )
+    )
+    smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    placed = scratch.keep(rooted.join(smallest, "root").select("fp", "component_id"))
+    return rows.join(placed, "fp")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id): one row per row of ``docs``.
 
@@ -167,29 +200,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     like any other. A null id is never a ``component_id`` unless its group has no
     other. Other columns are ignored.
     """
-    if not 1 <= max_bits <= 3:
-        raise ValueError("two halves find pairs of at most 3 differing bits")
-    scratch = Scratch(docs.sparkSession)
-    n = shuffle_width(docs.sparkSession)
-    rows = scratch.keep(fingerprints(docs, shingle))
-    known = scratch.keep(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    sent = known.select("fp").mapInArrow(_send(n), "part int, fps binary, slots binary")
-    links = scratch.keep(
-        sent.repartitionById(n, F.col("part")).mapInArrow(_link(max_bits), "a long, b long").distinct()
-    )
-    rep = known.where("rep is not null")
-    named = (
-        links.join(rep.select(F.col("fp").alias("a"), F.col("rep").alias("u")), "a")
-        .join(rep.select(F.col("fp").alias("b"), F.col("rep").alias("v")), "b")
-        .select("u", "v")
-    )
-    groups = components(named, scratch)
-    placed = scratch.keep(
-        known.join(groups, known["rep"] == groups["node"], "left").select(
-            "fp", F.coalesce("component", "rep").alias("component_id")
-        )
-    )
-    return rows.join(placed, "fp").select(
+    return _placed(docs, shingle, max_bits).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -197,12 +208,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The row with the smallest id of each group, with all its columns.
 
-    Rows that share an id, and rows without one, stay if any of them does.
+    Rows that share an id stay if any of them does. Rows without an id stay only where no row of their group
+    has one; such rows of equal text stay together.
     """
-    kept = (
-        near_duplicates(docs, shingle, max_bits)
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_kept_id"))
-        .distinct()
-    )
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    placed = _placed(docs, shingle, max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = placed.select(F.col("doc_id").alias("_kept_id"), F.col("own").alias("_kept_own")).distinct()
+    same = docs["doc_id"].eqNullSafe(kept["_kept_id"]) & _own_key(docs).eqNullSafe(kept["_kept_own"])
+    return docs.join(kept, same, "left_semi")

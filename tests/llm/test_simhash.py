@@ -58,7 +58,7 @@ def test_links_between_chosen_fingerprints(spark, monkeypatch):
         fps.append(centre ^ rng.getrandbits(32) & rng.getrandbits(32) & rng.getrandbits(32) & rng.getrandbits(32))
     pairs = list(enumerate(fps, 1000))
     signed = [(i, int(np.uint64(f).astype(np.int64))) for i, f in pairs]
-    fixed = spark.createDataFrame(signed, "doc_id long, fp long")
+    fixed = spark.createDataFrame([(*r, None) for r in signed], "doc_id long, fp long, own long")
     monkeypatch.setattr(simhash, "fingerprints", lambda docs, shingle: fixed)
     assert small.rows(simhash.near_duplicates(fixed)) == brute(pairs)
 
@@ -86,3 +86,27 @@ def test_one_of_each_group_stays(spark):
     stay = simhash.drop_near_copies(df)
     assert stay.columns == df.columns
     assert {r.doc_id for r in stay.collect()} == {r.doc_id for r in groups if r.doc_id == r.component_id}
+
+
+def test_rows_without_an_id_link_others(spark, monkeypatch):
+    """A chain whose middle has no id, with its links in two tasks; and a group of such rows alone."""
+    rng = random.Random(8)
+    pairs = []
+    for k in range(40):
+        f = rng.getrandbits(64)
+        low, high = 1 << rng.randrange(31), 1 << (32 + rng.randrange(31))
+        pairs += [(2 * k, f), (None, f ^ 3 * low), (2 * k + 1, f ^ 3 * low ^ 3 * high)]
+    pairs += [(None, rng.getrandbits(64))] * 2
+    data = [(i, int(np.uint64(f).astype(np.int64)), None if i is not None else f % 1000) for i, f in pairs]
+    fixed = spark.createDataFrame(data, "doc_id long, fp long, own long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, shingle: fixed)
+    found = small.rows(simhash.near_duplicates(fixed))
+    assert found == brute(pairs)
+    assert [r[2] for r in found if r[0] is None].count(None) == 2
+
+
+def test_rows_without_an_id_stay_only_by_themselves(spark):
+    text = "alpha beta gamma delta epsilon zeta"
+    data = [(5, text, "en", "a", 0), (None, text, "en", "a", 0), (None, "some other words of its own", "en", "a", 0)]
+    stay = simhash.drop_near_copies(small.docs(spark, data)).collect()
+    assert sorted(((r.doc_id, r.text) for r in stay), key=repr) == [(5, text), (None, data[2][1])]
