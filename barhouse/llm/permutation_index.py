@@ -33,13 +33,15 @@ FIT_RECALL = 0.97
 
 
 def usable_vectors(df: DataFrame) -> DataFrame:
-    """(vec_id, v array<double>, dim): one row per id that takes part.
+    """(vec_id, v array<double>, dim, norm): one row per id that takes part.
 
     A vector that is null, empty, zero, or holds a null or a non-finite component takes no part, nor does a
     row without an id. Repeated rows count once; of rows that share an id but not the vector, the smallest
     vector counts. Repeats are merged before the shuffle, so an id may be on any number of rows.
     """
     x = F.col("embedding")
+    # The largest component is taken out of the squares, which might overflow.
+    norm = F.col("high") * F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, c: s + (c / F.col("high")) * (c / F.col("high"))))
     finite = F.forall(x, lambda c: c.isNotNull() & (F.abs(c.cast("double")) < float("inf")))
     return (
         df.where(F.col("vec_id").isNotNull() & x.isNotNull())
@@ -47,7 +49,9 @@ def usable_vectors(df: DataFrame) -> DataFrame:
         .select(F.col("vec_id").cast("long"), x.cast("array<double>").alias("v"))
         .groupBy("vec_id")
         .agg(F.min("v").alias("v"))
-        .withColumn("dim", F.size("v"))
+        .withColumns({"dim": F.size("v"), "high": F.array_max(F.transform("v", F.abs))})
+        .withColumn("norm", norm)
+        .drop("high")
     )
 
 
@@ -260,9 +264,7 @@ def nearest(df: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFrame:
     scratch = Scratch(df.sparkSession)
     vectors = scratch.keep(usable_vectors(df))
     is_query = F.pmod("vec_id", F.lit(every)) == 0
-    high = F.array_max(F.transform("v", F.abs))  # taken out of the squares, which might overflow
-    norm = high * F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, c: s + (c / high) * (c / high)))
-    lengths = vectors.groupBy("dim").agg(F.count("*").alias("n"), F.count_if(is_query).alias("q"), F.max(norm).alias("most"))
+    lengths = vectors.groupBy("dim").agg(F.count("*").alias("n"), F.count_if(is_query).alias("q"), F.max("norm").alias("most"))
     result = None
     for dim, n, n_queries, most in lengths.where("q > 0").orderBy("dim").collect():
         own = vectors.where(F.col("dim") == dim).select("vec_id", "v")
