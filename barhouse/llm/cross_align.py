@@ -27,7 +27,9 @@ BYTE_LEVEL = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
 #: Text that is encoded together; block of rows that share a table of pairs.
 SLICE_BYTES = 1 << 20
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
+#: Pairs whose text a Python worker remembers.
+KNOWN_PAIRS = 1_000_000
 #: Longer texts are encoded in parts of about this many characters.
 PART_CHARS = 1 << 16
 #: Where a text can be cut: no token of either tokenizer goes across a single space in front.
@@ -118,42 +120,85 @@ def encode_whole(encoder: Encoder, texts: list[str]) -> list[np.ndarray]:
     return [np.concatenate([next(found) for _ in each]) for each in parts]
 
 
-def group_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-    """How many tokens of each list every group ends after. Ends rise, and the last ones are equal."""
-    ends_a: list[int] = []
-    ends_b: list[int] = []
+#: The first slice that is compared along a diagonal.
+FIRST_STEP = 4
+
+
+def stretches(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[int], list[int], list[int]]:
+    """(i, j, n): n groups that end after i + 1, i + 2, ... tokens of a and j + 1, j + 2, ... of b, in order.
+
+    The first group of a stretch may begin earlier: it is the irregular one that leads to the new shift. Ends
+    rise, and the last ones are equal. Slices are compared as bytes, eight to an end.
+    """
+    a, b = ends_a.tolist(), ends_b.tolist()
+    raw_a, raw_b = ends_a.astype("<i8").tobytes(), ends_b.astype("<i8").tobytes()
+    from_a: list[int] = []
+    from_b: list[int] = []
+    sizes: list[int] = []
     i = j = 0
     n = len(a)
     while i < n:
-        step, grows = 1, True
-        while step and i < n:
-            run = a[i : i + step]
-            if run == b[j : j + step]:
-                step = len(run)
-                ends_a += range(i + 1, i + step + 1)
-                ends_b += range(j + 1, j + step + 1)
-                i += step
-                j += step
-                if grows:
-                    step *= 2
-                    continue
+        x, y = a[i], b[j]
+        while x != y:
+            if x < y:
+                i += 1
+                x = a[i]
             else:
-                grows = False
-            step //= 2
+                j += 1
+                y = b[j]
+        start = i
+        from_a.append(i)
+        from_b.append(j)
+        i += 1
+        j += 1
+        step = FIRST_STEP
+        while i < n and raw_a[8 * i : 8 * (i + step)] == raw_b[8 * j : 8 * (j + step)]:
+            i += step
+            j += step
+            step *= 2
         if i < n:
-            x, y = a[i], b[j]
-            while x != y:
-                if x < y:
-                    i += 1
-                    x = a[i]
-                else:
-                    j += 1
-                    y = b[j]
-            i += 1
-            j += 1
-            ends_a.append(i)
-            ends_b.append(j)
-    return ends_a, ends_b
+            while step := step // 2:
+                if raw_a[8 * i : 8 * (i + step)] == raw_b[8 * j : 8 * (j + step)]:
+                    i += step
+                    j += step
+        else:
+            i = n
+        sizes.append(i - start)
+    return from_a, from_b, sizes
+
+
+def group_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many tokens of each list every group ends after."""
+    from_a, from_b, sizes = (np.array(x, dtype=np.int64) for x in stretches(a, b))
+    total = int(sizes.sum())
+    along = np.arange(1, total + 1) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return np.repeat(from_a, sizes) + along, np.repeat(from_b, sizes) + along
+
+
+class Written(dict):
+    """One-to-one groups as text, by their pair."""
+
+    def __init__(self, width: int):
+        self.width = width
+
+    def __missing__(self, pair: int) -> str:
+        self[pair] = text = f"{pair // self.width}|{pair % self.width}"
+        return text
+
+
+class Joined:
+    """The bytes of lists of ids."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.body = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+
+    def bytes_of(self, ids: np.ndarray) -> bytes:
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[ids] - (ends - sizes), sizes)
+        return self.body[at].tobytes()
 
 
 class Aligner:
@@ -162,22 +207,21 @@ class Aligner:
     def __init__(self, encoders: tuple[Encoder, Encoder]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.encoders = encoders
-        self.sizes = [np.array([len(p) for p in e.pieces], dtype=np.int64) for e in encoders]
+        self.joined = [Joined(e.pieces) for e in encoders]
         self.numbers = [[str(i) for i in range(len(e.pieces))] for e in encoders]
         #: A pair of ids is the number a * width + b.
         self.width = len(encoders[1].pieces)
         self.kind = "<u4" if len(encoders[0].pieces) * self.width <= 1 << 32 else "<u8"
+        self.known = Written(self.width)
 
     def _tokens(self, side: int, texts: list[str], wanted: list[bytes]) -> list[np.ndarray | None]:
-        """Ids of the texts; None where their bytes are not the text's."""
-        piece_of = self.encoders[side].pieces.__getitem__
+        """Ids of the texts; None where their bytes are not the text's, or a token has none."""
+        joined = self.joined[side]
         found = encode_whole(self.encoders[side], texts)
-        return [
-            ids if b"".join(map(piece_of, ids.tolist())) == want and self.sizes[side][ids].all() else None
-            for ids, want in zip(found, wanted)
-        ]
+        good = (joined.bytes_of(ids) == want and joined.sizes[ids].all() for ids, want in zip(found, wanted))
+        return [ids if g else None for ids, g in zip(found, good)]
 
-    def groups(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, list[int], list[int]] | None]:
+    def groups(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None]:
         """Per text: both lists of ids and where its groups end; None for texts without tokens."""
         full = [k for k, t in enumerate(texts) if t]
         some = [texts[k] for k in full]
@@ -185,29 +229,28 @@ class Aligner:
         out: list = [None] * len(texts)
         for k, a, b in zip(full, self._tokens(0, some, wanted), self._tokens(1, some, wanted)):
             if a is not None and b is not None:
-                ends = group_ends(*(np.cumsum(s[ids]).tolist() for s, ids in zip(self.sizes, (a, b))))
+                ends = group_ends(*(np.cumsum(x.sizes[ids]) for x, ids in zip(self.joined, (a, b))))
                 out[k] = (a, b, *ends)
         return out
 
-    def written(self, a: np.ndarray, b: np.ndarray, ends_a: list[int], ends_b: list[int]) -> str:
+    def pairs(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
+        """The pairs of ids that end together. No token is empty, so each group has one: its last tokens."""
+        return a[ends_a - 1] * self.width + b[ends_b - 1]
+
+    def written(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, pairs: np.ndarray) -> str:
         """Groups as text: ``a1,a2|b1;a3|b2,b3``."""
-        x = list(map(self.numbers[0].__getitem__, a.tolist()))
-        y = list(map(self.numbers[1].__getitem__, b.tolist()))
-        out = []
-        i = j = 0
-        for p, q in zip(ends_a, ends_b):
-            if p == i + 1 and q == j + 1:
-                out.append(f"{x[i]}|{y[j]}")
-            else:
-                out.append(f"{','.join(x[i:p])}|{','.join(y[j:q])}")
-            i, j = p, q
+        if len(self.known) > KNOWN_PAIRS:
+            self.known.clear()
+        out = list(map(self.known.__getitem__, pairs.tolist()))
+        odd = np.flatnonzero((np.diff(ends_a, prepend=0) > 1) | (np.diff(ends_b, prepend=0) > 1))
+        if len(odd):
+            x, y = a.tolist(), b.tolist()
+            of_x, of_y = (numbers.__getitem__ for numbers in self.numbers)
+            before = [np.append(0, e)[odd].tolist() for e in (ends_a, ends_b)]
+            for g, i, p, j, q in zip(odd.tolist(), before[0], ends_a[odd].tolist(), before[1], ends_b[odd].tolist()):
+                out[g] = f"{','.join(map(of_x, x[i:p]))}|{','.join(map(of_y, y[j:q]))}"
         return ";".join(out)
 
-    def links(self, a: np.ndarray, b: np.ndarray, ends_a: list[int], ends_b: list[int]) -> bytes:
-        """The pairs of ids that end together. No token is empty, so each group has one: its last tokens."""
-        pairs = a[np.array(ends_a) - 1] * self.width + b[np.array(ends_b) - 1]
-        return pairs.astype(self.kind).tobytes()
-
 
 _ALIGNED = pa.schema(
     [("block", pa.int64()), ("doc_id", pa.int64())]
@@ -236,8 +279,9 @@ def _align(make: Callable[[], tuple[Encoder, Encoder]]):
                     if found is None:
                         rows.append((0, 0, 0, 0, "", b""))
                     else:
-                        n = len(found[2])
-                        rows.append((len(found[0]), len(found[1]), n, n, aligner.written(*found), aligner.links(*found)))
+                        n, pairs = len(found[2]), aligner.pairs(*found)
+                        links = pairs.astype(aligner.kind).tobytes()
+                        rows.append((len(found[0]), len(found[1]), n, n, aligner.written(*found, pairs), links))
                 columns = [pa.array([first + made] * len(rows), pa.int64()), some.column(0)]
                 columns += [pa.array(c, f.type) for c, f in zip(zip(*rows), list(_ALIGNED)[2:])]
                 yield pa.RecordBatch.from_arrays(columns, schema=_ALIGNED)

@@ -97,7 +97,16 @@ def test_group_ends(a, b):
     last = max(a[-1:] + b[-1:], default=0)
     a, b = ([e for e in x if e < last] + [last] * (last > 0) for x in (a, b))
     both = sorted(set(a) & set(b))
-    assert cross_align.group_ends(a, b) == ([a.index(e) + 1 for e in both], [b.index(e) + 1 for e in both])
+    found = [x.tolist() for x in cross_align.group_ends(np.array(a, dtype=np.int64), np.array(b, dtype=np.int64))]
+    assert found == [[a.index(e) + 1 for e in both], [b.index(e) + 1 for e in both]]
+
+
+def test_stretches():
+    ends = list(range(1, 100_001))
+    found = cross_align.stretches(np.array(ends), np.array([3, *ends[5:50_000], *ends[50_001:]]))
+    assert found == ([2, 5, 50_001], [0, 1, 49_996], [1, 49_995, 49_999])
+    for n in (1, 3, 4, 5, 12, 13, 28, 29):
+        assert cross_align.stretches(np.arange(1, n + 1), np.arange(1, n + 1)) == ([0], [0], [n])
 
 
 def test_encoders_are_the_files_own(spark, reference):
