@@ -66,6 +66,18 @@ def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordB
         start = stop
 
 
+def word_lists(texts: pa.Array) -> tuple[pa.ListArray, np.ndarray, pa.Array]:
+    """Lists of words between ASCII white space (one empty word where there is none), where each list starts
+    among all words, and all words."""
+    trimmed = pc.ascii_trim_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+    lists = pc.ascii_split_whitespace(trimmed)
+    counts = np.where(pc.equal(trimmed, "").to_numpy(zero_copy_only=False), 0, pc.list_value_length(lists).to_numpy())
+    flat = lists.flatten()
+    if len(flat) != counts.sum():
+        flat = flat.filter(pc.not_equal(flat, ""))  # a text without words is split into one empty word
+    return lists, np.append(0, np.cumsum(counts)).astype(np.int64), flat
+
+
 def blobs(owner: np.ndarray, n: int, *columns: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
     """Per owner from 0 to n - 1 that occurs: the bytes of its part of each column, in order."""
     order = np.argsort(owner, kind="stable")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -15,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barhouse.llm.common import Scratch
+from barhouse.llm.common import Scratch, held, slices, word_lists
 
 LENGTH = 2048
 END_ID = 0
@@ -26,12 +27,27 @@ NEARLY_FULL = 16
 ROUND_ITEMS = 100_000
 #: Words whose ids a Python worker remembers.
 CACHE_WORDS = 1_000_000
-#: Texts that the tokenizer looks at together.
-TEXTS = 200
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-_BEYOND_LATIN = re.compile("[^\x21-\x7e\xa1-\u024f]")
+#: Text whose words are numbered together, or one longer document.
+SLICE_BYTES = 4 << 20
+#: Words beyond Latin letters and signs, or with what may be the name of a special token.
+_NOT_PLAIN = re.compile(r"[^\x20-\x7e\xa1-\u017f]|<\|")
 #: Fixed value: the vocabulary's own pattern.
-_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PARTS_AND_GAPS = regex.compile(_PATTERN + r"|\x20")
+
+
+def _check_rules(vocabulary: dict) -> None:
+    """Refuse a vocabulary that cuts and normalises texts in another way than is done here."""
+    steps = [
+        (n["type"], n.get("pattern", {}).get("Regex"), n.get("content"))
+        for part in ("normalizer", "pre_tokenizer")
+        for n in (vocabulary.get(part) or {}).get("normalizers" if part == "normalizer" else "pretokenizers", [])
+    ]
+    wanted = [
+        ("NFC", None, None), ("Replace", r"\s+", " "), ("Lowercase", None, None), ("Split", _PATTERN, None), ("ByteLevel", None, None),
+    ]
+    if steps != wanted or vocabulary["model"]["type"] != "BPE":
+        raise ValueError("the ids of a text are those of its words only for vocabularies of the known rules")
 
 
 class WordTokenizer:
@@ -39,22 +55,28 @@ class WordTokenizer:
 
     The vocabulary cuts a text at white space, and then into letters, single digits and runs of
     other signs, and joins nothing across a cut, so a text's ids are those of its words one after
-    another. New Latin words are cut and lower-cased here and go straight to the tokenizer's
-    model; for others the tokenizer does it all.
+    another. New Latin words are cut and lower-cased here, and the tokenizer sees each part once;
+    for other words it does it all.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.of_parts = Tokenizer(self.tokenizer.model)
+        self.of_parts.pre_tokenizer = WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # the last token of a word
+        self.is_last[[n for token, n in vocabulary.items() if token.endswith("</w>")]] = True
         bytes_of = ByteLevel(add_prefix_space=False, use_regex=False)
-        latin = [chr(c) for c in range(0x21, 0x250)]
+        latin = [*map(chr, range(0x21, 0x180)), "\u0307"]  # the last one is of a lower-cased \u0130
         self.alphabet = {ord(c): "".join(p for p, _ in bytes_of.pre_tokenize_str(c)) for c in latin}
-        self.alphabet[0x307] = "".join(p for p, _ in bytes_of.pre_tokenize_str("\u0307"))  # of a lower-cased \u0130
+        with open(path, encoding="utf-8") as file:
+            _check_rules(json.load(file))
         self.known: dict[str, int] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, int] = {}
         self.clear()
 
     def clear(self) -> None:
@@ -62,55 +84,85 @@ class WordTokenizer:
         self.parts.clear()
         self.ids = np.zeros(1 << 16, dtype="<u4")
         self.starts = np.zeros(1 << 14, dtype=np.int64)
+        self.part_ids, self.part_sizes = np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
         self.n_words = self.n_ids = 0
 
-    def _ids_of_new(self, words: list[str], latin: bool) -> list[list[int]]:
-        if not latin or "<|" in " ".join(words):
-            return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        cut = [_PARTS.findall(w.lower()) for w in words]
-        tokenize = self.tokenizer.model.tokenize
-        for part in set().union(*cut).difference(self.parts):
-            self.parts[part] = [t.id for t in tokenize(part.translate(self.alphabet))]
-        ids_of = self.parts.__getitem__
-        return [list(chain.from_iterable(map(ids_of, c))) for c in cut]
+    def _learn_parts(self, parts: list[str]) -> None:
+        """Ids of new parts, all of them as one text of which each is a word."""
+        text = " ".join(parts).translate(self.alphabet)
+        found = self.of_parts.encode_batch_fast([text], add_special_tokens=False)[0]
+        ids = np.array(found.ids, dtype="<u4")
+        sizes = np.diff(np.flatnonzero(self.is_last[ids]), prepend=-1)
+        if len(sizes) != len(parts):
+            raise ValueError("a part of a word is not cut off by itself")
+        first = len(self.part_sizes)
+        self.parts.update(zip(parts, range(first, first + len(parts))))
+        self.part_ids = np.append(self.part_ids, ids)
+        self.part_sizes = np.append(self.part_sizes, sizes)
+
+    def _ids_of_latin(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words, and how many each has: words are cut together, and only distinct parts looked up."""
+        coded = pa.array(_PARTS_AND_GAPS.findall(" ".join(words).lower()), pa.string()).dictionary_encode()
+        parts = coded.dictionary.to_pylist()
+        new = [p for p in parts if p != " " and p not in self.parts]
+        if new:
+            self._learn_parts(new)
+        at = np.array([self.parts.get(p, -1) for p in parts], dtype=np.int64)[coded.indices.to_numpy()]
+        gap = at < 0
+        word = np.cumsum(gap)[~gap]
+        at = at[~gap]
+        sizes = self.part_sizes[at]
+        starts = (np.cumsum(self.part_sizes) - self.part_sizes)[at]
+        ends = np.append(0, np.cumsum(sizes))
+        ids = self.part_ids[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], sizes)]
+        return ids, np.bincount(word, weights=sizes, minlength=len(words)).astype(np.int64)
+
+    def _ids_of_any(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(chain.from_iterable(found), dtype="<u4", count=int(sizes.sum())), sizes
 
     def learn(self, words: list[str]) -> None:
         plain, rest = words, []
-        if _BEYOND_LATIN.search("".join(words)):
-            plain = [w for w in words if not _BEYOND_LATIN.search(w)]
-            rest = [w for w in words if _BEYOND_LATIN.search(w)]
-        words = plain + rest
-        found = self._ids_of_new(plain, True) + self._ids_of_new(rest, False)
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        total = int(sizes.sum())
+        if _NOT_PLAIN.search(" ".join(words)):
+            plain = [w for w in words if not _NOT_PLAIN.search(w)]
+            rest = [w for w in words if _NOT_PLAIN.search(w)]
+        for some, ids_of in ((plain, self._ids_of_latin), (rest, self._ids_of_any)):
+            if some:
+                self._add(some, *ids_of(some))
+
+    def _add(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        total = len(flat)
         while self.n_ids + total > len(self.ids):
             self.ids = np.append(self.ids, np.zeros_like(self.ids))
         while self.n_words + len(words) + 1 > len(self.starts):
             self.starts = np.append(self.starts, np.zeros_like(self.starts))
-        flat = np.fromiter(chain.from_iterable(found), dtype="<u4", count=total)
         self.ids[self.n_ids : self.n_ids + total] = flat
         self.starts[self.n_words + 1 : self.n_words + 1 + len(words)] = self.n_ids + np.cumsum(sizes)
         self.known.update(zip(words, range(self.n_words, self.n_words + len(words))))
         self.n_ids += total
         self.n_words += len(words)
 
-    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+    def encode_all(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        """Ids of each text. Words are split and numbered by Arrow, so only distinct ones are looked up here.
+
+        They are split at ASCII white space; a word with another white space is left to the tokenizer.
+        """
         if self.n_words > CACHE_WORDS:
             self.clear()
-        # Python's white space holds four separators more than the vocabulary's.
-        cut = [re.split("[ \t\n\r]+", t) if _SEPARATORS.search(t) else t.split() for t in texts]
-        new = set().union(*cut).difference(self.known)
+        _, first, flat = word_lists(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        coded = flat.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        new = [w for w in words if w not in self.known]
         if new:
-            self.learn(list(new))
-        return [self._ids_of(words) for words in cut]
-
-    def _ids_of(self, words: list[str]) -> np.ndarray:
-        at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+            self.learn(new)
+        known = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+        at = known[coded.indices.to_numpy()]
         starts = self.starts[at]
         sizes = self.starts[at + 1] - starts
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.ids[np.arange(total) + np.repeat(starts - (ends - sizes), sizes)]
+        ends = np.append(0, np.cumsum(sizes))
+        ids = self.ids[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], sizes)]
+        return np.split(ids, ends[first[1:-1]]) if len(first) > 1 else []
 
 
 def best_fit(lengths: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,15 +199,14 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, bin
 
 
 def _encoded(batch: pa.RecordBatch, tokenizer: WordTokenizer) -> Iterator[tuple[int, np.ndarray]]:
-    for a in range(0, batch.num_rows, TEXTS):
-        some = batch.slice(a, TEXTS)
-        texts = [t or "" for t in some.column(1).to_pylist()]
-        yield from zip(some.column(0).to_pylist(), tokenizer.encode_all(texts))
+    for some in slices(batch, 1, SLICE_BYTES):
+        yield from zip(some.column(0).to_pylist(), tokenizer.encode_all(some.column(1)))
 
 
 def _pack_locally(path_of: Callable[[], str], length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(path_of())
+        path = path_of()
+        tokenizer = held(f"packing {path}", lambda: WordTokenizer(path))
         docs, pieces, starts, lengths, sums = [], [], [], [], []
         for batch in batches:
             for doc_id, found in _encoded(batch, tokenizer):
@@ -222,8 +273,7 @@ def pack(
     placed pieces is written. Bins with more than ``nearly_full`` free places are
     the items of the next round, ``round_items`` to a task, so tasks are merged
     like a tree while the bins get fewer; the rounds end when all of them met in
-    one task, or when a round saved under one bin in a hundred (large leftovers
-    that fit nowhere). No task ever holds more than its share.
+    one task, or when a round saved no bin at all. No task ever holds more than its share.
 
     A null or empty text is one piece, the end id. Rows that repeat an id are
     packed each by itself. ``tokenizer`` gives the vocabulary's path where it runs.
@@ -249,7 +299,7 @@ def pack(
         under = step.where(F.col("up_used") < limit).select(F.col("up").alias("bin"), F.col("up_used").alias("used"))
         under = under.distinct()
         now = step.select("up").distinct().count()
-        if tasks == 1 or now > 0.99 * count:
+        if tasks == 1 or now >= count:
             break
         count = under.count()
     at = placed.select("doc_id", "piece", "start", "length", "ids_crc32", "bin", "offset")

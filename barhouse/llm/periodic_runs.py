@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barhouse.llm.common import slices
+from barhouse.llm.common import slices, word_lists
 
 MIN_LENGTH = 12
 #: Text that a task looks at together, or one longer document.
@@ -190,24 +190,13 @@ def stretches(ids: np.ndarray, owner: np.ndarray, min_length: int) -> list[tuple
     return [(a, b) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()) if inside[a] and b - a >= min_length]
 
 
-def _words(texts: pa.Array) -> tuple[pa.ListArray, np.ndarray, pa.Array]:
-    """Lists of words (one empty word where there is none), where each list starts among all words, and all words."""
-    trimmed = pc.ascii_trim_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
-    lists = pc.ascii_split_whitespace(trimmed)
-    counts = np.where(pc.equal(trimmed, "").to_numpy(zero_copy_only=False), 0, pc.list_value_length(lists).to_numpy())
-    flat = lists.flatten()
-    if len(flat) != counts.sum():
-        flat = flat.filter(pc.not_equal(flat, ""))  # a text without words is split into one empty word
-    return lists, np.append(0, np.cumsum(counts)).astype(np.int64), flat
-
-
 _RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
 _OUT = pa.schema([("doc_id", pa.int64()), ("runs", pa.list_(_RUN)), ("collapsed", pa.string())])
 
 
 def _search(min_length: int, reorder: Reorder | None):
     def find(some: pa.RecordBatch) -> pa.RecordBatch:
-        lists, starts, flat = _words(some.column(1))
+        lists, starts, flat = word_lists(some.column(1))
         doc_ids = some.column(0).to_pylist()
         collapsed = pc.binary_join(lists, pa.scalar(" ", pa.large_string())).to_pylist()
         ids = flat.dictionary_encode().indices.to_numpy()

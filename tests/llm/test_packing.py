@@ -78,3 +78,8 @@ def test_best_fit_takes_the_tightest_bin():
     bins, offsets, used = packing.best_fit(np.array([6, 5, 4, 4, 1]), 10)
     assert used.tolist() == [10, 10]
     assert bins[0] == bins[2] and offsets[2] == 6
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError, match="known rules"):
+        packing.WordTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
