@@ -10,12 +10,14 @@ from pyspark.sql import SparkSession
 
 from barhouse.operators import rename_candidates
 from barhouse.plans import loads
+from barhouse.plans.derived import load_derived
+from barhouse.plans.quality import quality_counts
 from barhouse.plans.repair import repair
 from barhouse.plans.scratch import materialise
 from barhouse.plans.warehouse import Warehouse
 from barhouse.schemas import REBUILDABLE
 from barhouse.sources import read_responses
-from barhouse.streaming import stream_bronze
+from barhouse.streaming import stream_bronze, stream_silver
 
 log = logging.getLogger("barhouse")
 
@@ -48,6 +50,12 @@ def _parser() -> argparse.ArgumentParser:
     dim.add_argument("src")
     jobs.add_parser("gold", help="load the fact table")
     jobs.add_parser("backfill", help="add facts whose ticker became known later")
+    jobs.add_parser("derived", help="bring the stored figures up to date")
+    jobs.add_parser("counts", help="count suspicious rows, reading new parts only")
+    typed = jobs.add_parser("silver-stream", help="merge staged files into the typed table as a stream")
+    typed.add_argument("src")
+    typed.add_argument("checkpoint")
+    typed.add_argument("--glob", default="*.json")
     jobs.add_parser("repair", help="load ranges again that differ from the layer below")
     jobs.add_parser("renames", help="name new tickers that may be old ones under a new name")
     rebuild = jobs.add_parser("rebuild", help="empty a table and reset its control row")
@@ -130,6 +138,13 @@ def run(spark: SparkSession, argv: list[str]) -> int:
         _report_load(loads.backfill_unmatched(wh))
     elif args.job == "quality":
         _report_quality(loads.check_data_quality(wh))
+    elif args.job == "derived":
+        _report_load(load_derived(wh))
+    elif args.job == "counts":
+        for name, count in quality_counts(wh).items():
+            log.info("%s: %s", name, count)
+    elif args.job == "silver-stream":
+        stream_silver(wh, args.src, args.checkpoint, args.glob).awaitTermination()
     elif args.job == "repair":
         for load in repair(wh):
             _report_load(load)

@@ -190,23 +190,22 @@ def load_result(run: Run) -> LoadResult:
 
 
 def _hold(name: str, keys, source: DataFrame) -> None:
-    """Refuse rows that break the key rules of a table, before they are merged into it."""
+    """Refuse rows that break the key rules of a table, before they are used."""
     for rule, broken in (("NULL in", check_not_null(source, keys)), ("repeated", check_unique(source, keys))):
         found = broken.first()
         if found is not None:
             raise LoadError(f"{name}: {rule} key, such as {found.asDict()}")
 
 
-def _merge(
+def merge_parts(
     run: Run, name: str, source: DataFrame, periods: list[str], n_source: int, keys, stamp: int
 ) -> None:
-    """Merge ``source`` into the periods it touches and count what happened.
+    """Merge ``source``, which has each key once and no NULL in it, into the periods it touches and count what happened.
 
     The counts need no further join: rows before and after are known per period,
     and every source row ends up in the table exactly once.
     """
     wh = run.wh
-    _hold(name, keys, source)
     before = wh.parts(name, periods)
     merged = merge_upsert(wh.read(name, before), source, keys)
     written = wh.write_periods(name, merged, run.run_id, stamp, tuple(keys))
@@ -343,7 +342,7 @@ def failed_files(wh: Warehouse) -> DataFrame:
     )
 
 
-def _merged_into(parts: list[Part], one: Part) -> list[Part]:
+def merged_into(parts: list[Part], one: Part) -> list[Part]:
     """Log rows by which ``one`` takes the place of ``parts``."""
     return [one, *[Part(p.table, p.name, one.path, p.stamp, 0) for p in parts]]
 
@@ -361,14 +360,14 @@ def compact_bronze(wh: Warehouse) -> LoadResult:
             stamp = max(p.stamp for p in closed)
             newest = latest(wh.read(BRONZE, closed), BAR_KEYS, VERSION_ORDER)
             one = wh.write_part(BRONZE, run.run_id, newest, run.run_id, stamp)
-            run.parts += _merged_into(closed, one)
+            run.parts += merged_into(closed, one)
             run.detail = f"versions dropped: {sum(p.rows for p in closed) - one.rows}"
         for name in (FILES, RUN_LOG_TABLE):
             small = [p for p in wh.parts(name) if p.rows]
             if len(small) > 1:
                 merged = f"{run.run_id}-merged"
                 one = wh.write_part(name, merged, wh.read(name, small), merged, max(p.stamp for p in small))
-                run.parts += _merged_into(small, one)
+                run.parts += merged_into(small, one)
     return load_result(run)
 
 
@@ -399,6 +398,7 @@ def load_silver(
         periods = source.groupBy(wh.period_of()).agg(
             F.count("*").alias("n"),
             F.count_if("collides").alias("n_collide"),
+            F.count_if(F.col("ticker").isNull()).alias("n_nameless"),
             F.unix_micros(F.max("source_loaded_at")).alias("newest"),
         ).collect()
         bad = sum(p.n for p in periods if p.period is None)
@@ -406,6 +406,10 @@ def load_silver(
             unread = latest(scope.where(F.col("date").try_cast("date").isNull()), BAR_KEYS, VERSION_ORDER)
             raise LoadError(f"{unread.count()} keys have a date that cannot be read")
         good = [p for p in periods if p.period is not None]
+        # The increment has each key once, as it is grouped by it.
+        nameless = sum(p.n_nameless for p in good)
+        if nameless:
+            raise LoadError(f"{SILVER}: NULL in key, in {nameless} rows without a ticker")
         collide = sum(p.n_collide for p in good)
         if collide and on_duplicate_key == "fail":
             raise LoadError(f"{collide} keys are written in more than one way")
@@ -430,7 +434,7 @@ def load_silver(
                 *BAR_KEYS, *VALUE_COLS, at(stamp).alias("loaded_at")
             )
             names = [p.period for p in good]
-            _merge(run, SILVER, bars, names, sum(p.n for p in good), BAR_KEYS, stamp)
+            merge_parts(run, SILVER, bars, names, sum(p.n for p in good), BAR_KEYS, stamp)
     return load_result(run)
 
 
@@ -459,11 +463,13 @@ def check_data_quality(wh: Warehouse) -> QualityResult:
 
 def _merge_fact(run: Run, source: DataFrame) -> None:
     wh = run.wh
+    # The typed rows have each key once, so the facts do if the dimension has each ticker once.
+    _hold(DIM, ["ticker"], wh.table(DIM))
     resolved = run.once(source)
     periods = resolved.groupBy(wh.period_of()).count().collect()
     if periods:
         names, n = [p.period for p in periods], sum(p["count"] for p in periods)
-        _merge(run, FACT, resolved, names, n, FACT_KEYS, wh.next_stamp(FACT))
+        merge_parts(run, FACT, resolved, names, n, FACT_KEYS, wh.next_stamp(FACT))
 
 
 def load_gold(wh: Warehouse) -> LoadResult:
@@ -511,7 +517,7 @@ def backfill_unmatched(wh: Warehouse) -> LoadResult:
             _merge_fact(run, missing_facts(wh.table(SILVER, periods), known, wh.table(FACT, periods)))
             left = open_.join(late, ["ticker", "period"], "left_anti").withColumn("run_id", F.lit(run.run_id))
             one = wh.write_part(UNMATCHED, run.run_id, left, run.run_id, now_micros())
-            run.parts += _merged_into(record, one)
+            run.parts += merged_into(record, one)
     return load_result(run)
 
 

@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from barhouse.operators import quality_details as operators_quality
 from barhouse.plans import given as g
-from barhouse.plans import loads
+from barhouse.plans import loads, quality
+from barhouse.plans.derived import DERIVED, load_derived
 from barhouse.plans.repair import repair
 from barhouse.plans.scratch import drop_path, new_folder
 from barhouse.plans.warehouse import Warehouse
 from barhouse.schemas import BAR_KEYS, DIM_WIDTHS, FACT_KEYS, PRICE_COLS, VALUE_COLS
 from barhouse.sources.price_files import write_raw
-from barhouse.streaming import stream_bronze
+from barhouse.streaming import stream_bronze, stream_silver
 
 _BUILT: dict[tuple[str, ...], str] = {}
 
@@ -32,8 +33,21 @@ def _corrected(c: str):
     return (F.col(c).cast("decimal(11,4)") + 1).cast("decimal(11,4)").cast("string")
 
 
-def _deliver(wh: Warehouse, landing: str, text: DataFrame, stamp: str) -> None:
-    docs = g.price_documents(g.in_tens(text)).withColumn("run_ts", F.lit(stamp).cast("timestamp"))
+def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The documents of both deliveries."""
+    raw = g.raw_bars(spark, sf_dir).withColumn("ticker", F.trim("ticker"))
+    second = (
+        raw.where(F.col("day") >= F.lit(SECOND_START))
+        .withColumn("close_price", _corrected("close_price"))
+        .withColumn("high_price", F.when(~g.every(997), F.col("high_price")))
+    )
+    deliveries = ((raw.where(F.col("day") < F.lit(FIRST_END)), "2024-02-01"), (second, "2024-02-02"))
+    return tuple(
+        g.price_documents(g.in_tens(text)).withColumn("run_ts", F.lit(stamp).cast("timestamp")) for text, stamp in deliveries
+    )
+
+
+def _deliver(wh: Warehouse, landing: str, docs: DataFrame) -> None:
     write_raw(docs, landing)
     loads.load_bronze(wh, landing)
     loads.load_silver(wh, on_bad_key="quarantine")
@@ -47,19 +61,14 @@ def _build(spark: SparkSession, sf_dir: str) -> str:
     folder = new_folder(spark)
     landing = f"{folder}/landing"
     wh = Warehouse(spark, f"{folder}/warehouse").create()
-    raw = g.raw_bars(spark, sf_dir).withColumn("ticker", F.trim("ticker"))
+    first, second = _documents(spark, sf_dir)
 
     loads.load_dim(wh, _companies(g.known_dim(spark, sf_dir), "2024-02-01"))
-    _deliver(wh, landing, raw.where(F.col("day") < F.lit(FIRST_END)), "2024-02-01")
+    _deliver(wh, landing, first)
     loads.load_gold(wh)
 
-    second = (
-        raw.where(F.col("day") >= F.lit(SECOND_START))
-        .withColumn("close_price", _corrected("close_price"))
-        .withColumn("high_price", F.when(~g.every(997), F.col("high_price")))
-    )
     loads.load_dim(wh, _companies(g.dim(spark, sf_dir), "2024-02-02"))
-    _deliver(wh, landing, second, "2024-02-02")
+    _deliver(wh, landing, second)
     loads.load_gold(wh)
     loads.backfill_unmatched(wh)
     return wh.root
@@ -202,6 +211,42 @@ def repaired_facts(spark, sf):
     return _other(spark, sf, "repaired_warehouse", build, "day").table(loads.FACT).select(*FACT_KEYS, *VALUE_COLS)
 
 
+def _kept(spark, sf) -> Warehouse:
+    """A warehouse kept by days, with stored figures and quality counts brought up to date after each delivery."""
+
+    def build(wh, folder, landing):
+        for src in (f"{landing}/{FIRST_RUN}", landing):
+            loads.load_bronze(wh, src)
+            loads.load_silver(wh, on_bad_key="quarantine")
+            load_derived(wh)
+            quality.quality_counts(wh)
+
+    return _other(spark, sf, "kept_warehouse", build, "day")
+
+
+def derived_incremental(spark, sf):
+    return _kept(spark, sf).table(DERIVED)
+
+
+def quality_incremental(spark, sf):
+    return quality.quality_report(_kept(spark, sf))
+
+
+def silver_stream(spark, sf):
+    """Three runs of the typed stream from one checkpoint: the first delivery but for one document, the second one with
+    its corrections, and the missing document of the first, which is older by then."""
+
+    def build(wh, folder, landing):
+        checkpoint, src = f"{folder}/silver_checkpoint", f"{folder}/silver_landing"
+        first, second = _documents(spark, sf)
+        late = F.col("symbol") == "T1"
+        for name, docs in (("a", first.where(~late)), ("b", second), ("c", first.where(late))):
+            write_raw(docs, f"{src}/{name}")
+            stream_silver(wh, src, checkpoint).awaitTermination()
+
+    return _other(spark, sf, "silver_stream_warehouse", build).table(loads.SILVER).select(*BAR_KEYS, *VALUE_COLS)
+
+
 def load_stamps(spark, sf):
     """A load stamps all its rows alike, and none is without a stamp."""
     rows = _second_life(spark, sf).table(loads.SILVER)
@@ -419,6 +464,14 @@ select sector, exchange, date, cast(count(*) as bigint) as bars,
   max(close_price) as highest_close, cast(sum(volume) as bigint) as total_volume
 from facts join ids using (ticker_id) group by 1, 2, 3"""
 
+_FIGURES = """
+select ticker, date, close_price, close_price - p as change,
+  cast(close_price - p as double) / cast(nullif(p, 0) as double) * 100 as pct_change, moving_average
+from (
+  select ticker, date, close_price, lag(close_price) over (partition by ticker order by date) as p,
+    cast(sum(close_price) over w as double) / count(close_price) over w as moving_average
+  from bars_now window w as (partition by ticker order by date rows between 4 preceding and current row))"""
+
 # Here the whole dimension came first, so its ids are in the order of the tickers.
 _REPAIRED = f"""
 select i.ticker_id, date, {", ".join(VALUE_COLS)} from bars_now join (
@@ -440,6 +493,9 @@ QUERIES = {
     "bronze_compacted": (bronze_compacted, _oracle(f"select {_BAR} from current")),
     "reloaded_facts": (reloaded_facts, _oracle(f"select {_FACT} from facts")),
     "repaired_facts": (repaired_facts, _oracle(_REPAIRED)),
+    "derived_incremental": (derived_incremental, _oracle(_FIGURES)),
+    "quality_incremental": (quality_incremental, _oracle(_COUNTS)),
+    "silver_stream": (silver_stream, _oracle(f"select {_BAR} from bars_now")),
     "load_stamps": (
         load_stamps,
         _oracle("select count(*) as bars, count(*) as stamped, cast(1 as bigint) as stamps from bars_now"),

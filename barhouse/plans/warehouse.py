@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from barhouse.operators.control import reset_marks, seed_marks
 from barhouse.operators.merge import latest
 from barhouse.plans.scratch import create_file, drop_path, few_rows, folder_names
-from barhouse.schemas import LOAD_NAMES, LOADS, REBUILDABLE, TABLE_LOG, TABLES
+from barhouse.schemas import LOAD_NAMES, LOADS, PERIODIC, REBUILDABLE, TABLE_LOG, TABLES
 
 SCHEMAS = ("bronze", "silver", "gold", "pipeline")
 ALL = "all"
@@ -87,13 +87,18 @@ class Warehouse:
         control = reset_marks(self.control(), self._names(load))
         self.commit([self._empty(name), self.write_control(control)])
 
+    def empty(self, *names: str) -> None:
+        """Empty tables that have no control row."""
+        self.refresh()
+        self.commit([self._empty(name) for name in names])
+
     def _empty(self, name: str) -> Part:
         # The row without a part name says: no earlier part counts. It also keeps
         # how the table was made.
         return Part(name, None, self._definition(name), 0, 0)
 
     def _definition(self, name: str) -> str:
-        by = f" by {self.period}" if name in REBUILDABLE else ""
+        by = f" by {self.period}" if name in PERIODIC else ""
         return TABLES[name].simpleString() + by
 
     def _check_definitions(self) -> None:
@@ -335,7 +340,7 @@ class Warehouse:
 
     def _publish_table(self, name: str, full_name: str, schema) -> None:
         sql = self.spark.sql
-        key = self.period if name in REBUILDABLE else "part"
+        key = self.period if name in PERIODIC else "part"
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         sql(f"DROP TABLE IF EXISTS {full_name}")
         live = [p for p in self.parts(name) if p.rows]

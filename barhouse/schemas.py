@@ -94,6 +94,25 @@ FACT = _struct(
     ("volume", T.IntegerType()),
 )
 
+# Stored figures of each bar, and the number of bars that tells which periods a change reaches.
+DERIVED = _struct(
+    ("ticker", T.StringType()),
+    ("date", T.DateType()),
+    ("close_price", PRICE),
+    ("change", T.DecimalType(12, 4)),
+    ("pct_change", T.DoubleType()),
+    ("moving_average", T.DoubleType()),
+)
+
+BAR_COUNTS = _struct(
+    ("ticker", T.StringType()), ("period", T.StringType()), ("bars", T.IntegerType())
+)
+
+# How many rows of a part of the typed table each report finds; a part never changes.
+PART_QUALITY = _struct(
+    ("path", T.StringType()), ("report", T.StringType()), ("row_count", T.LongType())
+)
+
 UNMATCHED = _struct(
     ("ticker", T.StringType()), ("period", T.StringType()), ("run_id", T.StringType())
 )
@@ -134,9 +153,12 @@ TABLES = {
     "bronze.files": FILES,
     "silver.stocks_prices": SILVER,
     "silver.rejects": REJECTS,
+    "silver.part_quality": PART_QUALITY,
     "gold.dim_ticker": DIM,
     "gold.fact_stock_prices": FACT,
     "gold.unmatched_tickers": UNMATCHED,
+    "gold.derived_prices": DERIVED,
+    "gold.bar_counts": BAR_COUNTS,
     "pipeline.load_log": LOAD_LOG,
     "pipeline.run_log": RUN_LOG,
 }
@@ -147,3 +169,6 @@ REBUILDABLE = {
     "gold.fact_stock_prices": "load_gold",
 }
 LOADS = tuple(REBUILDABLE.values())
+
+# Tables that are kept by period of the date.
+PERIODIC = (*REBUILDABLE, "gold.derived_prices")
