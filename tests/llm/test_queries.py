@@ -73,7 +73,7 @@ def test_op4(spark, tables):
     data = [r for r in tables[1] if r[0] is None or r[0] < 1000 or r[1].count("\n") < 40]
     small.docs(spark, data).write.mode("overwrite").parquet(f"{tables[0]}/lines/documents.parquet")
     found = small.rows(contract.queries()["op4_line_dedup"](spark, f"{tables[0]}/lines"))
-    want = test_line_dedup.brute(data, 50)
+    want = test_line_dedup.brute(data, 1)
     assert found == sorted(((*r[:4], hashlib.sha256(r[4].encode()).hexdigest()) for r in want), key=repr)
 
 
