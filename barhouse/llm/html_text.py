@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -41,6 +42,8 @@ _ENDS = {
     "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]),
     "option": frozenset(["option"]), "tbody": frozenset(["thead", "tbody"]), "tfoot": frozenset(["thead", "tbody"]),
 }
+#: What a start tag ends: a block also ends a paragraph.
+_ENDED = {t: _ENDS.get(t, frozenset()) | (frozenset(["p"]) if t in _BLOCKS else frozenset()) for t in _BLOCKS | _ENDS.keys()}
 _FENCES = frozenset("table ul ol dl td th body html div section article select".split())
 
 # What counts as boilerplate by its element, role or names.
@@ -133,10 +136,55 @@ def _judge(order: list[Node]) -> None:
         node.boiler = node.parent.boiler or node.sure or node.named > 0 and not spared
 
 
+class Open:
+    """The open elements, with the number of each tag among them, in all and since the last fence.
+
+    So an element is looked for only where it is, and each one that is passed on the way ends with it.
+    """
+
+    def __init__(self, root: Node):
+        self.stack, self.all, self.since = [root], Counter(), [Counter()]
+
+    def push(self, node: Node) -> None:
+        self.stack.append(node)
+        self.all[node.tag] += 1
+        if node.tag in _FENCES:
+            self.since.append(Counter())
+        else:
+            self.since[-1][node.tag] += 1
+
+    def pop(self) -> str:
+        tag = self.stack.pop().tag
+        self.all[tag] -= 1
+        if tag in _FENCES:
+            self.since.pop()
+        else:
+            self.since[-1][tag] -= 1
+        return tag
+
+    def end(self, tag: str) -> None:
+        """Close up to the last element of a tag, if one is open."""
+        if self.all[tag]:
+            while self.pop() != tag:
+                pass
+
+    def end_like(self, ended: frozenset[str]) -> None:
+        """Close up to the last element of some tags, if one is open within the last fence or is that fence."""
+        fence = len(self.since) > 1 and any(self.all[t] for t in ended & _FENCES) and self._fence() in ended
+        if fence or any(self.since[-1][t] for t in ended):
+            while self.pop() not in ended:
+                pass
+
+    def _fence(self) -> str:
+        """The tag of the last fence; what stands above it is counted in the last of ``since``."""
+        return self.stack[-1 - self.since[-1].total()].tag
+
+
 def parse(page: str) -> Node:
-    """A forgiving tree: unknown end tags are skipped, open elements end with their parents."""
+    """A forgiving tree, in time linear in the page: unknown end tags are skipped, open elements end with their parents."""
     root = Node("#root", None)
-    stack, order = [root], [root]
+    open_, order = Open(root), [root]
+    stack = open_.stack
     at, n = 0, len(page)
     while at < n:
         m = _MARKUP.search(page, at)
@@ -152,22 +200,13 @@ def parse(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            if tag == "p" and all(x.tag != "p" for x in stack):
+            if tag == "p" and not open_.all["p"]:
                 order.append(Node("p", stack[-1]))
                 stack[-1].children.append(order[-1])
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            open_.end(tag)
             continue
         if tag in _BLOCKS or tag in _ENDS:  # a block ends an open paragraph; list and table parts end their like
-            ended = _ENDS.get(tag, frozenset())
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in ended or stack[k].tag == "p" and tag in _BLOCKS:
-                    del stack[k:]
-                    break
-                if stack[k].tag in _FENCES and stack[k].tag not in ended:
-                    break
+            open_.end_like(_ENDED[tag])
         above = stack[-1]
         node = Node(tag, above, *_boilerplate(tag, m[3], above.inside))
         above.children.append(node)
@@ -178,7 +217,7 @@ def parse(page: str) -> Node:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             at = end.end() if end else n
             continue
-        stack.append(node)
+        open_.push(node)
     _judge(order)
     return root
 
@@ -236,16 +275,27 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
     them, which are left out as menus.
     """
     root = parse(page)
-    return _blocks(root, _hashes(root))
+    nodes, found = _blocks(root, _hashes(root))
+    out = []
+    for text, at in found:
+        path = []
+        while at >= 0:
+            path.append(nodes[at][0])
+            at = nodes[at][1]
+        out.append((text, path[::-1]))
+    return out
 
 
-def _blocks(root: Node, hashes: dict[int, int]) -> list[tuple[str, list[int]]]:
+def _blocks(root: Node, hashes: dict[int, int]) -> tuple[list[tuple[int, int]], list[tuple[str, int]]]:
+    """Elements as (hash, number of the parent, or -1), a parent before its children; and blocks as (text, number
+    of the innermost element that holds all of it)."""
     wanted = _main_part(root)
-    out: list[tuple[str, list[int]]] = []
-    path: list[int] = []
-    inline: list[int] = []  # elements open in the block, and those of them that hold all its text so far
-    common: list[int] | None = None
+    nodes: list[tuple[int, int]] = []
+    out: list[tuple[str, int]] = []
+    opened: list[int] = []  # the numbers of the open elements
     run: list[str] = []
+    # How many open elements held all text of the block so far, and have been open ever since the last text.
+    common = lowest = -1
     depth = inside = links = linked = 0
 
     def flush() -> None:
@@ -253,20 +303,20 @@ def _blocks(root: Node, hashes: dict[int, int]) -> list[tuple[str, list[int]]]:
         text = " ".join("".join(run).split())
         if text and (wanted is None or depth):
             if inside or linked < 0.8 * len(text.replace(" ", "")):
-                out.append((text, path + [hashes[i] for i in common or ()]))
+                out.append((text, holder))
         run.clear()
-        linked, common = 0, None
+        linked, common = 0, -1
 
+    holder = -1
     stack: list[tuple[str, Node | str]] = [("open", root)]
     while stack:
         what, node = stack.pop()
         if what == "text":
             run.append(node)
-            if common != inline and not node.isspace():
-                same = 0
-                while common and same < min(len(common), len(inline)) and common[same] == inline[same]:
-                    same += 1
-                common = list(inline) if common is None else common[:same]
+            if not node.isspace():
+                common = len(opened) if common < 0 else min(common, lowest)
+                lowest = len(opened)
+                holder = opened[common - 1] if common else -1
             if links:
                 linked += len("".join(node.split()))
             continue
@@ -279,9 +329,9 @@ def _blocks(root: Node, hashes: dict[int, int]) -> list[tuple[str, list[int]]]:
                 run.append(" ")
             if block:
                 flush()
-                path.append(hashes[id(node)])
-            elif node is not root:
-                inline.append(id(node))
+            if node is not root:
+                nodes.append((hashes[id(node)], opened[-1] if opened else -1))
+                opened.append(len(nodes) - 1)
             depth += node.tag == wanted
             inside += node.tag in ("article", "main")
             links += node.tag == "a"
@@ -296,14 +346,14 @@ def _blocks(root: Node, hashes: dict[int, int]) -> list[tuple[str, list[int]]]:
         else:
             if block:
                 flush()
-                path.pop()
-            elif node is not root:
-                inline.pop()
+            if node is not root:
+                opened.pop()
+                lowest = min(lowest, len(opened))
             depth -= node.tag == wanted
             inside -= node.tag in ("article", "main")
             links -= node.tag == "a"
     flush()
-    return out
+    return nodes, out
 
 
 _PAGE_SQL = "page_id long, url string, host string, content long, subtrees array<long>, marked array<long>, held binary"
@@ -328,15 +378,19 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page_id, url, page in zip(*batch.columns):
             root = parse(page.as_py() or "")
             hashes = _hashes(root)
-            found = _blocks(root, hashes)
+            nodes, found = _blocks(root, hashes)
             text = "\n".join(t for t, _ in found)
-            subtrees = {h for _, path in found for h in path}
+            holds = {at for _, at in found}
+            for number in range(len(nodes) - 1, -1, -1):
+                if number in holds:
+                    holds.add(nodes[number][1])
+            subtrees = {nodes[number][0] for number in holds if number >= 0}
             marked = {hashes[id(n)] for n, opens in _walk(root, whole=True) if opens and n.parent and n.size} - subtrees
             rows.append(
                 (
                     page_id.as_py(), url.as_py(), host_of(url.as_py()),
                     xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1,
-                    sorted(subtrees), sorted(marked), press.compress(json.dumps(found).encode()),
+                    sorted(subtrees), sorted(marked), press.compress(json.dumps([nodes, found]).encode()),
                 )
             )
         columns = zip(*rows) if rows else [[] for _ in _PAGE]
@@ -349,8 +403,12 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for held, templates in zip(batch.column(2), batch.column(3)):
             gone = set(templates.as_py() or ())
-            found = json.loads(press.decompress(held.as_py()))
-            texts.append("\n".join(t for t, path in found if not gone or gone.isdisjoint(path)))
+            nodes, found = json.loads(press.decompress(held.as_py()))
+            out: set[int] = set()
+            for number, (hash_, parent) in enumerate(nodes if gone else ()):
+                if hash_ in gone or parent in out:
+                    out.add(number)
+            texts.append("\n".join(t for t, at in found if at not in out))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
         )

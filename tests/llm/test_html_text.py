@@ -150,3 +150,23 @@ def test_all_subtrees_are_counted(spark):
 
 def test_empty_table(spark):
     assert html_text.extract(pages(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page, n",
+    [
+        ("<b>" * 60_000 + "</i>x" * 60_000, 1),
+        ("<b>" * 60_000 + "</p>x" * 60_000, 60_000),
+        ("<div>x" * 60_000, 60_000),
+        ("<b>" * 60_000 + "x</b>" * 60_000, 1),
+        ("<li><ul>" + "<b>" * 60_000 + "<li>" * 60_000, 0),
+    ],
+)
+def test_unbalanced_and_nested_pages_take_linear_time(page, n):
+    import time
+
+    began = time.process_time()
+    root = html_text.parse(page)
+    nodes, found = html_text._blocks(root, html_text._hashes(root))
+    assert len(found) == n and len(nodes) <= 130_000
+    assert time.process_time() - began < 30  # quadratic steps would take many minutes
