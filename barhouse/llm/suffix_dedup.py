@@ -91,7 +91,7 @@ def _to_blocks(n_batches: int):
                 ends = (offsets[start + 1 : stop + 1] - offsets[start]).astype(np.int64)
                 block = part << 24 | made
                 home = block >> HOME_BITS
-                batch_no = home % n_batches
+                batch_no = (part + (made >> HOME_BITS)) % n_batches
                 yield _row_batch(_BLOCK, [(home, block, batch_no, ids[start:stop].tobytes(), ends.tobytes(), body)])
                 start, made = stop, made + 1
 

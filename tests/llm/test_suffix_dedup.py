@@ -111,3 +111,12 @@ def test_every_string_has_an_anchor_that_depends_on_it_alone():
         for s in range(a, b - MATCH + 1):
             alone, _ = suffix_dedup.anchors(body[s : s + MATCH], np.array([MATCH]), MATCH)
             assert len(alone) and {s + x for x in alone.tolist()} <= at
+
+
+def test_every_batch_gets_blocks(spark):
+    """Tables of several input partitions fill all batches, so arrays meet levels however small the partitions are."""
+    data = [(i, f"text {i} of a small partition", "en", "a", 0) for i in range(60)]
+    blocks = small.docs(spark, data).repartition(6).select("doc_id", "text").mapInArrow(
+        suffix_dedup._to_blocks(suffix_dedup.BATCHES), suffix_dedup._BLOCK_SQL
+    )
+    assert {r.batch for r in blocks.select("batch").distinct().collect()} == set(range(suffix_dedup.BATCHES))
