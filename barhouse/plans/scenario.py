@@ -9,15 +9,19 @@ A document holds ten neighbouring tickers.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barhouse.operators import quality_details as operators_quality
 from barhouse.plans import given as g
-from barhouse.plans import loads, quality
+from barhouse.plans import loads, quality, scripts
 from barhouse.plans.derived import DERIVED, load_derived
 from barhouse.plans.repair import repair
-from barhouse.plans.scratch import drop_path, new_folder
+from barhouse.plans.scratch import drop_path, few_rows, new_folder
 from barhouse.plans.warehouse import Warehouse
 from barhouse.schemas import BAR_KEYS, DIM_WIDTHS, FACT_KEYS, PRICE_COLS, VALUE_COLS
 from barhouse.sources.price_files import write_raw
@@ -247,6 +251,67 @@ def silver_stream(spark, sf):
     return _other(spark, sf, "silver_stream_warehouse", build).table(loads.SILVER).select(*BAR_KEYS, *VALUE_COLS)
 
 
+def script_load(spark, sf):
+    """Both deliveries loaded by SQL scripts from the raw rows in the catalog, between them a script that fails."""
+    key = (spark.sparkContext.applicationId, sf, "scripts")
+    if key not in _BUILT:
+        wh = warehouse(spark, sf)
+        prefix = f"s{uuid.uuid4().hex[:12]}"
+        scripts.create_tables(spark, prefix)
+        wh.table(loads.DIM).write.insertInto(f"{prefix}_dim")
+        raw = wh.table(loads.BRONZE)
+        newest = raw.agg(F.max("loaded_at")).first()[0]
+        for rows in (raw.where(F.col("loaded_at") < F.lit(newest)), raw):
+            rows.createOrReplaceTempView(f"{prefix}_bronze")
+            scripts.run_script(spark, scripts.silver_script(prefix, f"{prefix}_bronze"))  # refused: unreadable dates
+            scripts.run_script(spark, scripts.silver_script(prefix, f"{prefix}_bronze", quarantine=True))
+            scripts.run_script(spark, scripts.gold_script(prefix))
+        spark.catalog.dropTempView(f"{prefix}_bronze")
+        _BUILT[key] = prefix
+    return spark.table(f"{_BUILT[key]}_fact").select(*FACT_KEYS, *VALUE_COLS)
+
+
+#: Rows for the dimension by the number of the customer, each kind inserted by itself: what is wrong with it.
+_KINDS = {
+    "fine": "c_name",
+    "no_name": "cast(null as string)",
+    "long_name": "repeat(c_name, 9)",
+    "long_ticker": "c_name",
+    "repeated": "c_name",
+}
+
+
+def insert_outcomes(spark, sf):
+    """All customers inserted into a dimension of the catalog, by kind of row: what is accepted, and why the rest is not."""
+    prefix = f"i{uuid.uuid4().hex[:12]}"
+    scripts.create_tables(spark, prefix)
+    table, view = f"{prefix}_dim", f"{prefix}_customer"
+    g.given(spark, sf, "customer").createOrReplaceTempView(view)
+    outcomes = []
+    for number, (kind, name) in enumerate(_KINDS.items()):
+        ticker = "concat('TICKER_', lpad(c_custkey, 9, '0'))" if kind == "long_ticker" else "concat('U', c_custkey)"
+        twice = " lateral view explode(array(1, 2)) t as copy" if kind == "repeated" else ""
+        query = (
+            f"select cast(c_custkey as int) as ticker_id, {ticker} as ticker, {name} as company_name "
+            f"from {view}{twice} where c_custkey % {len(_KINDS)} = {number}"
+        )
+        columns = ["ticker_id", "ticker", "company_name"]
+        try:
+            scripts.checked_insert(spark, table, columns, query, columns)
+            reason = None
+        except PySparkException as e:
+            reason = next(r for r in ("EXCEED_LIMIT_LENGTH", "NULL in a required column", "repeated key") if r in str(e))
+        outcomes.append((kind, reason is None, reason))
+    n = spark.table(table).count()
+    schema = T.StructType(
+        [T.StructField("kind", T.StringType()), T.StructField("accepted", T.BooleanType()), T.StructField("reason", T.StringType())]
+    )
+    spark.sql(f"drop view {view}")
+    for name in ("silver", "rejects", "dim", "fact", "load_log", "run_log"):
+        spark.sql(f"drop table {prefix}_{name}")
+    return few_rows(spark, outcomes, schema).withColumn("rows_in_table", F.lit(n).cast("long"))
+
+
 def load_stamps(spark, sf):
     """A load stamps all its rows alike, and none is without a stamp."""
     rows = _second_life(spark, sf).table(loads.SILVER)
@@ -472,6 +537,12 @@ from (
     cast(sum(close_price) over w as double) / count(close_price) over w as moving_average
   from bars_now window w as (partition by ticker order by date rows between 4 preceding and current row))"""
 
+_OUTCOMES = """
+select kind, reason is null as accepted, reason, n as rows_in_table
+from (values ('fine', null), ('no_name', 'NULL in a required column'), ('long_name', 'EXCEED_LIMIT_LENGTH'),
+  ('long_ticker', 'EXCEED_LIMIT_LENGTH'), ('repeated', 'repeated key')) t(kind, reason),
+  (select count(*) as n from customer where c_custkey % 5 = 0)"""
+
 # Here the whole dimension came first, so its ids are in the order of the tickers.
 _REPAIRED = f"""
 select i.ticker_id, date, {", ".join(VALUE_COLS)} from bars_now join (
@@ -496,6 +567,8 @@ QUERIES = {
     "derived_incremental": (derived_incremental, _oracle(_FIGURES)),
     "quality_incremental": (quality_incremental, _oracle(_COUNTS)),
     "silver_stream": (silver_stream, _oracle(f"select {_BAR} from bars_now")),
+    "script_load": (script_load, _oracle(f"select {_FACT} from facts")),
+    "insert_outcomes": (insert_outcomes, _OUTCOMES),
     "load_stamps": (
         load_stamps,
         _oracle("select count(*) as bars, count(*) as stamped, cast(1 as bigint) as stamps from bars_now"),
