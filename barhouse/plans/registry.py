@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from barhouse import sources as src
 from barhouse.functions import file_stamp, file_symbol, run_stamp, whole_seconds
 from barhouse.plans import given as g
 from barhouse.plans import scenario
+from barhouse.plans.bucketed import default_buckets, merge_bucketed, write_bucketed
 from barhouse.plans.scratch import materialise
 from barhouse.schemas import BAR_KEYS, DIM_WIDTHS, FACT_KEYS, PRICE_COLS, VALUE_COLS
 
@@ -335,6 +337,24 @@ def gold_upsert(spark, sf):
     return op.merge_upsert(fact, op.resolve_ticker(source(spark, sf), dim), FACT_KEYS)
 
 
+_BUCKETED: dict[tuple[str, str], str] = {}
+
+
+@query("gold_upsert_bucketed", ORACLES["gold_upsert"])
+def gold_upsert_bucketed(spark, sf):
+    """The same merge into a fact table that is kept in buckets of its key."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _BUCKETED:
+        name, buckets = f"b{uuid.uuid4().hex[:12]}", default_buckets(spark)
+        dim = g.dim(spark, sf)
+        write_bucketed(op.resolve_ticker(target(spark, sf), dim), name, FACT_KEYS, buckets)
+        fresh = materialise(op.resolve_ticker(source(spark, sf), dim))
+        merge_bucketed(spark, name, fresh, FACT_KEYS, f"{name}_merged", buckets)
+        spark.sql(f"drop table {name}")
+        _BUCKETED[key] = f"{name}_merged"
+    return spark.table(_BUCKETED[key])
+
+
 @query(
     "gold_backfill",
     g.sql(

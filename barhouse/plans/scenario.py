@@ -20,6 +20,7 @@ from barhouse.operators import quality_details as operators_quality
 from barhouse.plans import given as g
 from barhouse.plans import loads, quality, scripts
 from barhouse.plans.derived import DERIVED, load_derived
+from barhouse.plans.lookup import key_lookup
 from barhouse.plans.repair import repair
 from barhouse.plans.scratch import drop_path, few_rows, new_folder
 from barhouse.plans.warehouse import Warehouse
@@ -312,6 +313,12 @@ def insert_outcomes(spark, sf):
     return few_rows(spark, outcomes, schema).withColumn("rows_in_table", F.lit(n).cast("long"))
 
 
+def looked_up(spark, sf):
+    """The typed bars of customers in debt, most of whom have none."""
+    debtors = g.given(spark, sf, "customer").where("c_acctbal < 0").selectExpr("concat('U', c_custkey) as ticker")
+    return key_lookup(warehouse(spark, sf), loads.SILVER, debtors).select(*BAR_KEYS, *VALUE_COLS)
+
+
 def load_stamps(spark, sf):
     """A load stamps all its rows alike, and none is without a stamp."""
     rows = _second_life(spark, sf).table(loads.SILVER)
@@ -567,6 +574,10 @@ QUERIES = {
     "derived_incremental": (derived_incremental, _oracle(_FIGURES)),
     "quality_incremental": (quality_incremental, _oracle(_COUNTS)),
     "silver_stream": (silver_stream, _oracle(f"select {_BAR} from bars_now")),
+    "key_lookup": (
+        looked_up,
+        _oracle(f"select {_BAR} from bars_now where ticker in (select 'U' || c_custkey from customer where c_acctbal < 0)"),
+    ),
     "script_load": (script_load, _oracle(f"select {_FACT} from facts")),
     "insert_outcomes": (insert_outcomes, _OUTCOMES),
     "load_stamps": (

@@ -247,14 +247,17 @@ class Warehouse:
         """Write bars by period of ``date``; one part per period.
 
         ``rebalance`` gives each period files of the advisory size: a big one is
-        split over many tasks, small ones share a task.
+        split over many tasks, small ones share a task. Files are sorted by ``order``, and
+        row groups get a bloom filter of its first column, as large as its values need.
         """
         path, key = self.folder(name, run_id), self.period
         (
             df.select(*TABLES[name].names, self.period_of().alias(key))
             .hint("rebalance", key)
             .sortWithinPartitions(key, *order)
-            .write.partitionBy(key)
+            .write.option(f"parquet.bloom.filter.enabled#{order[0]}", "true")
+            .option("parquet.bloom.filter.adaptive.enabled", "true")
+            .partitionBy(key)
             .parquet(path)
         )
         schema = T.StructType([*TABLES[name].fields, T.StructField(key, T.StringType())])
