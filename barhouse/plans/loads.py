@@ -67,6 +67,9 @@ RUN_LOG_TABLE = "pipeline.run_log"
 # A file that is staged again with the same name is another file.
 FILE_KEYS = ["source_file", "modified_at"]
 
+#: Files whose names one read is given.
+FILES_PER_BATCH = 100_000
+
 SUCCEEDED, FAILED = "succeeded", "failed"
 
 
@@ -117,6 +120,8 @@ class Run:
     inserted: int = 0
     updated: int = 0
     detail: str | None = None
+    files_loaded: int = 0
+    files_rejected: int = 0
     last_run: bool = False
     high_mark: int | None = None
     _scratch: list[str] = field(default_factory=list)
@@ -254,7 +259,7 @@ def _open_files(wh: Warehouse, src: str, glob: str) -> DataFrame:
     )
 
 
-def append_files(run: Run, files: DataFrame, part: str) -> None:
+def append_files(run: Run, files: DataFrame, part: str, folder: str | None = None) -> None:
     """Parse ``files`` and add their bars and verdicts as one new batch, in one pass.
 
     The input splits decide the size of the written files; :func:`compact_bronze`
@@ -262,18 +267,21 @@ def append_files(run: Run, files: DataFrame, part: str) -> None:
     """
     wh = run.wh
     stamp = wh.next_stamp(BRONZE)
-    path = wh.folder(BRONZE, run.run_id)
+    path = wh.folder(BRONZE, folder or run.run_id)
     rows = bars_and_verdicts(files).withColumn("loaded_at", at(stamp))
     rows.write.partitionBy("kind").parquet(path)
     written = wh.spark.read.schema("status string, kind string").parquet(path)
     counts = {
         (r.kind, r.status): r["count"] for r in written.groupBy("kind", "status").count().collect()
     }
-    run.inserted = counts.get(("bar", "loaded"), 0)
+    bars = counts.get(("bar", "loaded"), 0)
     good, bad = counts.get(("file", "loaded"), 0), counts.get(("file", "rejected"), 0)
-    run.detail = f"files loaded: {good}, rejected: {bad}"
-    if run.inserted:
-        run.parts.append(Part(BRONZE, part, f"{path}/kind=bar", stamp, run.inserted))
+    run.inserted += bars
+    run.files_loaded += good
+    run.files_rejected += bad
+    run.detail = f"files loaded: {run.files_loaded}, rejected: {run.files_rejected}"
+    if bars:
+        run.parts.append(Part(BRONZE, part, f"{path}/kind=bar", stamp, bars))
     if good + bad:
         run.parts.append(Part(FILES, part, f"{path}/kind=file", stamp, good + bad))
 
@@ -284,17 +292,23 @@ def load_bronze(wh: Warehouse, src: str, glob: str = "*.json") -> LoadResult:
     A bad file is rejected whole; the others load. Every run tries every staged
     file that is not loaded, however often it was rejected; ``rejected`` of the
     result names those of this run. The names of staged files are compared with
-    the ledger, and only files that are to be read are opened. The driver holds
-    their names, as Spark's own listing does.
+    the ledger, and only files that are to be read are opened. Their names are
+    written down and dealt out by a hash, about ``FILES_PER_BATCH`` to a read, so the
+    driver never holds more of them; all batches become visible together.
     """
     with recorded_run(wh, "load_bronze") as run:
-        chosen = _open_files(wh, src, glob).collect()
-        if chosen:
-            files = read_named_files(wh.spark, [f.path for f in chosen])
+        chosen = run.once(_open_files(wh, src, glob))
+        batches = -(-chosen.count() // FILES_PER_BATCH)
+        for batch in range(batches):
+            mine = chosen.where(F.pmod(F.xxhash64("path"), F.lit(batches)) == batch).collect()
+            if not mine:
+                continue
+            files = read_named_files(wh.spark, [f.path for f in mine])
             # Fresh files need no join, so their content is not shuffled for it.
-            if any(f.begun for f in chosen):
+            if any(f.begun for f in mine):
                 files = files.join(loaded_documents(wh), FILE_KEYS, "left_anti")
-            append_files(run, files, run.run_id)
+            name = f"{run.run_id}-{batch}" if batch else run.run_id
+            append_files(run, files, name, name)
     result = load_result(run)
     verdicts = wh.read(FILES, [p for p in run.parts if p.table == FILES])
     result.rejected = verdicts.where("status = 'rejected'").select("source_file", "reason")

@@ -309,3 +309,26 @@ def test_one_pass_writes_bars_and_verdicts(wh, land, pieces):
         src = land(f"f{i}.json", doc(**{f"T{i}": {"2024-01-02": GOOD}}))
     assert load_bronze(wh, src).inserted == pieces
     assert wh.row_count(FILES) == pieces
+
+
+def test_names_are_dealt_out_in_batches(wh, land, monkeypatch):
+    from barhouse.plans import loads
+
+    for i in range(12):
+        src = land(f"S{i}_2024-01-0{1 + i % 9}_00-00-00.json", _DOC.replace("AAA", f"S{i}") if i else "{")
+    monkeypatch.setattr(loads, "FILES_PER_BATCH", 4)
+    given = []
+    real = loads.read_named_files
+    monkeypatch.setattr(loads, "read_named_files", lambda spark, paths: given.append(len(paths)) or real(spark, paths))
+    result = loads.load_bronze(wh, src)
+    assert len(given) > 1 and sum(given) == 12
+    assert result.detail == "files loaded: 11, rejected: 1" and result.inserted == 11
+    assert wh.row_count(loads.BRONZE) == 11 and wh.table(loads.FILES).count() == 12
+    assert {r.ticker for r in wh.table(loads.BRONZE).collect()} == {f"S{i}" for i in range(1, 12)}
+    given.clear()
+    assert loads.load_bronze(wh, src).inserted == 0 and sum(given) == 1  # the rejected one is tried again
+
+
+_DOC = (
+    '{"AAA": {"2024-01-02": {"1. open": "1", "2. high": "2", "3. low": "1", "4. close": "2", "5. volume": "5"}}}'
+)
