@@ -26,7 +26,7 @@ NEARLY_FULL = 16
 #: Underfull bins that one task of a later round packs.
 ROUND_ITEMS = 100_000
 #: Words whose ids a Python worker remembers.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 #: Text whose words are numbered together, or one longer document.
 SLICE_BYTES = 4 << 20
 #: Words beyond Latin letters and signs, or with what may be the name of a special token.
