@@ -85,8 +85,9 @@ def _as(names: list[str], prefix: str) -> list[Column]:
 
 
 def _at(table: DataFrame, line: Column, prefix: str, names: DataFrame) -> DataFrame:
-    """``table`` with the name, as ``prefix``_id_a and ``prefix``_id_b, that begins at ``line`` of its document."""
-    other = names.select(*_as([*_KEY, *_ID], prefix))
+    """``table`` with the name, as ``prefix``_id_a and ``prefix``_id_b, and the characters of the run that begins at
+    ``line`` of its document."""
+    other = names.select(*_as([*_KEY, *_ID, "chars"], prefix))
     on = [F.col(c) == F.col(f"{prefix}_{c}") for c in _KEY[:2]] + [line == F.col(f"{prefix}_line")]
     return table.join(other, on).drop(*[f"{prefix}_{c}" for c in _KEY])
 
@@ -96,12 +97,16 @@ def later_copies(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
     The sequence of a document holds its lines that are not blank. Doubling: round k names, for each
     line that begins a run of 2 ** k lines found at least twice in the table, that run; a name of
-    round k + 1 is made of the two names of round k that stand 2 ** k lines apart. The suffixes of
-    one name are an interval of the suffix array, in which they agree on 2 ** k lines at least; a
-    suffix alone in its interval leaves the rounds. A run of any other size is the interval in which
-    the names at its beginning and, overlapping, at its end agree. The first copy of each interval
-    stays. Of every maximal repeated run the shortest parts of ``min_chars`` characters are looked
-    up, from each of its lines on and back to each of its lines: together they cover it.
+    round k + 1 is made of the two names of round k that stand 2 ** k lines apart. The rounds go on
+    until no run repeats, whatever ``min_chars`` is. The suffixes of one name are an interval of the
+    suffix array, in which they agree on 2 ** k lines at least; a suffix alone in its interval leaves
+    the rounds. The first copy of each interval stays. Per line the longest run of a round with an
+    earlier copy is given: a maximal repeated run of n lines is covered by those of the last round
+    with 2 ** k <= n, from its first line on to the one that ends with its last line.
+
+    A run of another size is the interval in which the names at its beginning and, overlapping, at its
+    end agree. Such runs are looked up where ``min_chars`` needs them: of every maximal repeated run
+    the shortest parts of that many characters, from each of its lines on and back to each of its lines.
 
     Names are counted with a combine before the shuffle, and the counted names are written down
     before rows are joined with them, so a line that a third of the documents hold is split like any
@@ -109,42 +114,52 @@ def later_copies(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession)
     lines = scratch.keep(docs.select(*_doc_key(), "text").mapInArrow(_cut_lines(min_chars), _LINES_SQL))
+    place = F.struct(*_KEY)
 
     def repeated(named: DataFrame) -> DataFrame:
         names = named.groupBy(*_ID).agg(F.count("*").alias("n")).where("n > 1").select(*_ID)
         return named.join(scratch.keep(names), _ID, "left_semi")
 
-    named = scratch.keep(repeated(lines).dropDuplicates(_KEY))
-    forward = F.struct("line", F.col("ahead").alias("size"))
-    backward = F.struct((F.col("line") - F.col("behind") + 1).alias("line"), F.col("behind").alias("size"))
-    wanted = scratch.keep(
-        named.select("doc_id", "text_id", F.inline(F.array_distinct(F.array(forward, backward))))
-        .where("size > 0")
-        .distinct()
-    )
-    longest = wanted.agg(F.max("size")).first()[0] or 0
-    gone = wanted.where("false")
-    length = 1
-    while length <= longest:
-        of_size = wanted.where(F.col("size").between(length, 2 * length - 1))
-        runs = _at(of_size, F.col("line"), "begin", named)
-        runs = scratch.keep(_at(runs, F.col("line") + F.col("size") - length, "end", named))
-        interval = ["size", *[f"{p}_{c}" for p in ("begin", "end") for c in _ID]]
-        place = F.struct(*_KEY)
+    def copies(runs: DataFrame, interval: list[str]) -> DataFrame:
+        """The runs of which the interval has an earlier one."""
         first = scratch.keep(runs.groupBy(*interval).agg(F.min(place).alias("first"), F.count("*").alias("n")))
         later = runs.join(first.where("n > 1"), interval).where(place > F.col("first"))
-        gone = gone.union(later.select("doc_id", "text_id", "line", "size"))
-        if 2 * length > longest:
-            break
-        pairs = _at(named.drop("ahead", "behind", "chars"), F.col("line") + length, "next", named)
+        return later.select("doc_id", "text_id", "line", "size")
+
+    named = scratch.keep(repeated(lines).dropDuplicates(_KEY))
+    longest = named.agg(F.max(F.greatest("ahead", "behind"))).first()[0] or 0
+    wanted = named.select("doc_id", "text_id", "line", F.lit(0).alias("size")).where("false")
+    gone = wanted
+    if longest > 1:
+        forward = F.struct("line", F.col("ahead").alias("size"))
+        backward = F.struct((F.col("line") - F.col("behind") + 1).alias("line"), F.col("behind").alias("size"))
+        wanted = scratch.keep(
+            named.select("doc_id", "text_id", F.inline(F.array_distinct(F.array(forward, backward))))
+            .where("size > 0")
+            .distinct()
+        )
+    named = named.select(*_KEY, *_ID, "chars")
+    length = 1
+    while not named.isEmpty():
+        whole = named.select(*_KEY, *_ID, F.lit(length).alias("size")).where(F.col("chars") >= min_chars)
+        gone = gone.union(copies(whole, _ID))
+        if length < longest:
+            of_size = wanted.where(F.col("size").between(length + 1, 2 * length - 1))
+            runs = _at(of_size, F.col("line"), "begin", named)
+            runs = scratch.keep(_at(runs, F.col("line") + F.col("size") - length, "end", named))
+            gone = gone.union(copies(runs, ["size", *[f"{p}_{c}" for p in ("begin", "end") for c in _ID]]))
+        pairs = _at(named, F.col("line") + length, "next", named)
         ids = [*_ID, *[f"next_{c}" for c in _ID]]
         pairs = pairs.select(
-            *_KEY, *[F.xxhash64(F.lit(k), *ids).alias(c) for k, c in enumerate(_ID)]
+            *_KEY,
+            *[F.xxhash64(F.lit(k), *ids).alias(c) for k, c in enumerate(_ID)],
+            (F.col("chars") + F.col("next_chars")).alias("chars"),
         )
         named = scratch.keep(repeated(scratch.keep(pairs)))
         length *= 2
+    gone = gone.groupBy("doc_id", "text_id", "line").agg(F.max("size").alias("size"))
     return scratch.keep(
-        gone.groupBy("doc_id", "text_id").agg(F.collect_set(F.struct("line", "size")).alias("runs"))
+        gone.groupBy("doc_id", "text_id").agg(F.collect_list(F.struct("line", "size")).alias("runs"))
     )
 
 

@@ -70,3 +70,19 @@ def test_awkward_rows(spark):
 
 def test_empty_table(spark):
     assert line_dedup.drop_repeated_lines(small.docs(spark, [])).collect() == []
+
+
+def test_rounds_go_on_without_a_floor(spark):
+    """Each line of a copied passage of 6 lines begins the longest run of a round that has an earlier copy."""
+    passage = [f"line {i}" for i in range(6)]
+    data = [(1, "\n".join(["one", *passage, "two"]), "", "", 0), (2, "\n".join(["three", *passage, "four"]), "", "", 0)]
+    found = line_dedup.later_copies(small.docs(spark, data)).collect()
+    assert [(r.doc_id, sorted(map(tuple, r.runs))) for r in found] == [(2, [(1, 4), (2, 4), (3, 4), (4, 2), (5, 2), (6, 1)])]
+
+
+def test_one_line_over_and_over(spark):
+    data = [(1, "\n".join(["same"] * 300), "", "", 0), (2, "\n".join(["same"] * 40 + ["other"]), "", "", 0)]
+    for least in (1, 30):
+        assert small.rows(line_dedup.drop_repeated_lines(small.docs(spark, data), least).select("doc_id", "n_removed", "n_runs")) == [
+            (1, 299, 1), (2, 40, 1)
+        ]
