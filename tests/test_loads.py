@@ -428,3 +428,20 @@ def test_backfill_reads_only_periods_of_late_tickers(wh, add_bronze, monkeypatch
     assert actions(backfill_unmatched(wh)) == {"INSERT": 1}
     assert [p for n, p in asked if n in (SILVER, FACT)] == [["2024-03"]] * 2
     assert rows(wh.table(UNMATCHED), "ticker") == [("GONE",)]
+
+
+def test_responses_are_dealt_out(wh, monkeypatch):
+    """Responses of one small file are parsed by many tasks."""
+    seen = []
+    classify = loads.classify_response
+    monkeypatch.setattr(loads, "classify_response", lambda df, kind: seen.append(df) or classify(df, kind))
+    df = wh.spark.createDataFrame([company(f"T{i}") for i in range(200)], "symbol string, body string")
+    load_dim(wh, df.withColumn("received_at", F.lit("2024-01-01").cast("timestamp")).coalesce(1))
+    assert wh.row_count(DIM) == 200
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"  # as many as the setting asks for, however few the rows
+    wh.spark.conf.set(setting, "false")
+    try:
+        per_task = rows(seen[0].groupBy(F.spark_partition_id().alias("task")).count(), "count")
+    finally:
+        wh.spark.conf.unset(setting)
+    assert len(per_task) == 4 and max(n for (n,) in per_task) < 100
