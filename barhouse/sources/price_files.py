@@ -238,11 +238,13 @@ def write_raw(docs: DataFrame, path: str) -> None:
     """Land raw documents: a folder per run, a line per document.
 
     ``docs`` has ``symbol``, ``run_ts`` and the document text ``body``. A run that
-    is landed again replaces what it had landed.
+    is landed again replaces what it had landed. Documents meet by run before the write, so
+    there are as many files as runs, a big run more, and not a file per run and task.
     """
     landed = docs.select("symbol", F.col("body").alias("document"), run_stamp("run_ts").alias("run_stamp"))
     (
-        landed.write.mode("overwrite")
+        landed.hint("rebalance", "run_stamp")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", DOCUMENTS_PER_FILE)
         .partitionBy("run_stamp")

@@ -332,3 +332,13 @@ def test_names_are_dealt_out_in_batches(wh, land, monkeypatch):
 _DOC = (
     '{"AAA": {"2024-01-02": {"1. open": "1", "2. high": "2", "3. low": "1", "4. close": "2", "5. volume": "5"}}}'
 )
+
+
+def test_runs_are_landed_in_few_files(spark, tmp_path):
+    """Tasks that hold documents of the same runs do not write a file each."""
+    docs = spark.range(400).repartition(8).selectExpr(
+        "concat('S', id) as symbol", "'{}' as body", "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id % 20) as run_ts"
+    )
+    write_raw(docs, f"{tmp_path}/landed")
+    assert len(list(tmp_path.glob("landed/run_stamp=*/*.json"))) == 20
+    assert loads.read_named_files(spark, [f"{tmp_path}/landed"]).select("symbol").distinct().count() == 400
