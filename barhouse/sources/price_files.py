@@ -218,13 +218,17 @@ def bars_and_verdicts(files: DataFrame) -> DataFrame:
     )
     rows = F.concat(F.array(row("file", empty)), F.coalesce(bars, F.array().cast(_ROWS)))
     meta = ["source_file", "modified_at", "symbol", "file_stamp"]
-    return judged.select(
+    # Each row gets a copy of every column that is kept beside the list, so the bars must not be one of them.
+    counted = judged.select(
         *meta,
         F.when(F.col("reason").isNull(), F.lit("loaded")).otherwise(F.lit("rejected")).alias("status"),
         "reason",
-        n_bars.alias("bars"),
-        F.inline(rows),
-    ).select(*meta, "status", "reason", "bars", "kind", "bar.*")
+        n_bars.alias("n_bars"),
+        "bars",
+    )
+    return counted.select(*meta, "status", "reason", F.col("n_bars").alias("bars"), F.inline(rows)).select(
+        *meta, "status", "reason", "bars", "kind", "bar.*"
+    )
 
 
 _ROWS = (

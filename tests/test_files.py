@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import shutil
 from collections import Counter
 
@@ -22,8 +23,10 @@ from barhouse.plans.loads import (
     retry_rejected,
 )
 from barhouse.sources import (
+    bars_and_verdicts,
     flatten_prices,
     judge_files,
+    read_price_files,
     read_responses,
     split_valid_files,
     unwrap_daily,
@@ -342,3 +345,13 @@ def test_runs_are_landed_in_few_files(spark, tmp_path):
     write_raw(docs, f"{tmp_path}/landed")
     assert len(list(tmp_path.glob("landed/run_stamp=*/*.json"))) == 20
     assert loads.read_named_files(spark, [f"{tmp_path}/landed"]).select("symbol").distinct().count() == 400
+
+
+def test_no_row_carries_the_bars_of_its_document(wh, land):
+    """A row of a document is made without the list of all its bars, which would grow with the square of these."""
+    src = land("f.json", doc(A={f"2024-01-{day:02}": GOOD for day in range(1, 31)}))
+    found = bars_and_verdicts(read_price_files(wh.spark, src))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    carried = re.search(r", \[([^\[\]]*)\], false, \[kind#", plan).group(1)
+    assert "source_file#" in carried and re.search(r"transform\((bars#\d+)", plan).group(1) not in carried
+    assert found.where("kind = 'bar'").count() == 30 and found.first().bars == 30
