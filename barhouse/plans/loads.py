@@ -57,6 +57,7 @@ from barhouse.sources.responses import (
     company_problem,
     parse_company,
     unwrap_daily,
+    with_document,
 )
 
 BRONZE, FILES = "bronze.stocks_prices", "bronze.files"
@@ -541,14 +542,14 @@ def load_dim(wh: Warehouse, responses: DataFrame) -> LoadResult:
     Responses that are no company document, or an incomplete or over-long one,
     are left out and counted in the audit row; the others load. Of several
     responses for one ticker the last received wins. Responses are small but dear to parse, so
-    they are dealt out by a hash first: files of few bytes would leave them all to one task.
+    they are dealt out by a hash first: files of few bytes would leave them all to one task. Each is parsed once.
     """
     with recorded_run(wh, "load_dim") as run:
-        dealt = responses.repartition(F.xxhash64("symbol", "body"))
+        dealt = with_document(responses.repartition(F.xxhash64("symbol", "body")))
         judged = company_problem(classify_response(dealt, "company"))
         usable = F.col("problem").isNull() & (F.col("outcome") == "ok")
-        judged = run.once(judged.withColumn("usable", usable))
-        companies = parse_company(judged.where("usable").select("symbol", "body", "received_at"))
+        judged = run.once(judged.withColumn("usable", usable).drop("body"))
+        companies = parse_company(judged.where("usable").select("symbol", "document", "received_at"))
         order = ["received_at", *[c for c in DIM_WIDTHS if c != "ticker"]]
         source = run.once(latest(companies, ["ticker"], order).drop("received_at"))
         dim = wh.table(DIM)

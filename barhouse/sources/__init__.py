@@ -18,6 +18,7 @@ from barhouse.sources.responses import (
     parse_company,
     read_responses,
     unwrap_daily,
+    with_document,
 )
 
 __all__ = [
@@ -34,6 +35,7 @@ __all__ = [
     "read_responses",
     "split_valid_files",
     "unwrap_daily",
+    "with_document",
     "with_provenance",
     "write_raw",
 ]

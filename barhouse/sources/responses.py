@@ -30,11 +30,21 @@ def read_responses(spark: SparkSession, path: str, glob: str = "*.json") -> Data
     )
 
 
-def _document(kind: str = "map<string,string>") -> Column:
-    """``body`` as JSON; NULL when it is something else, or when text follows the document."""
+def _documents(kind: str = "map<string,string>") -> Column:
+    """The JSON documents in ``body``; other than one when text follows the document."""
     wrapped = F.concat(F.lit("["), F.col("body"), F.lit("]"))
-    docs = F.from_json(wrapped, f"array<{kind}>", {"allowSingleQuotes": "false"})
-    return F.when(F.size(docs) == 1, docs[0])
+    return F.from_json(wrapped, f"array<{kind}>", {"allowSingleQuotes": "false"})
+
+
+def with_document(responses: DataFrame) -> DataFrame:
+    """Add ``document``: ``body`` as JSON; NULL when it is something else, or when text follows the document.
+
+    What is below reads ``document`` where it is given, so that a body need be parsed only once.
+    """
+    if "document" in responses.columns:
+        return responses
+    docs = F.col("docs")
+    return responses.withColumn("docs", _documents()).withColumn("document", F.when(F.size(docs) == 1, docs[0])).drop("docs")
 
 
 def classify_response(responses: DataFrame, kind: str | None = None) -> DataFrame:
@@ -43,9 +53,10 @@ def classify_response(responses: DataFrame, kind: str | None = None) -> DataFram
     The first matching rule decides. ``kind`` (``prices`` or ``company``) is
     read from the row unless given.
     """
-    top = _document()
     kind_col = F.lit(kind) if kind else F.col("kind")
-    keys = F.col("top")
+    keys = F.col("document")
+    lists = _documents("array<string>")
+    is_list = (F.size(lists) == 1) & F.get(lists, F.lit(0)).isNotNull()
 
     def has(name: str) -> Column:
         return F.map_contains_key(keys, name)
@@ -56,7 +67,7 @@ def classify_response(responses: DataFrame, kind: str | None = None) -> DataFram
     error, notice = keys[ERROR], keys[NOTICE]
     outcome = (
         # A list is valid JSON, only none of the known shapes.
-        F.when(keys.isNull() & _document("array<string>").isNotNull(), "unknown")
+        F.when(keys.isNull() & is_list, "unknown")
         .when(keys.isNull(), "transport_error")
         .when(has(ERROR) & contains_word(error, "api key"), "invalid_key")
         .when(has(ERROR) & contains_word(error, "symbol"), "invalid_symbol")
@@ -67,11 +78,9 @@ def classify_response(responses: DataFrame, kind: str | None = None) -> DataFram
         .when(succeeded, "ok")
         .otherwise("unknown")
     )
-    return (
-        responses.withColumn("top", top)
-        .withColumn("outcome", outcome)
-        .withColumn("retryable", F.col("outcome").isin(*RETRYABLE))
-        .drop("top")
+    judged = with_document(responses).withColumn("outcome", outcome)
+    return judged.withColumn("retryable", F.col("outcome").isin(*RETRYABLE)).select(
+        *responses.columns, "outcome", "retryable"
     )
 
 
@@ -91,28 +100,23 @@ def unwrap_daily(responses: DataFrame) -> DataFrame:
 
 def parse_company(responses: DataFrame) -> DataFrame:
     """The seven company columns of every response that names a company."""
-    doc = _document()
-    keep = [c for c in responses.columns if c not in ("symbol", "kind", "body")]
-    fields = [F.col("doc")[key].alias(col) for col, key in COMPANY_FIELDS.items()]
-    return (
-        responses.withColumn("doc", doc)
-        .where(F.map_contains_key("doc", COMPANY_FIELDS["company_name"]))
-        .select(*fields, *keep)
-    )
+    keep = [c for c in responses.columns if c not in ("symbol", "kind", "body", "document")]
+    fields = [F.col("document")[key].alias(col) for col, key in COMPANY_FIELDS.items()]
+    named = with_document(responses).where(F.map_contains_key("document", COMPANY_FIELDS["company_name"]))
+    return named.select(*fields, *keep)
 
 
 def company_problem(responses: DataFrame) -> DataFrame:
     """Add ``problem`` to company responses: NULL when the row may enter the dimension."""
-    doc = _document()
     complete = F.lit(True)
     for key in COMPANY_FIELDS.values():
-        complete = complete & F.map_contains_key("doc", key)
-    typed = responses.withColumn("doc", doc).select(
-        "*", *[F.col("doc")[key].alias(col) for col, key in COMPANY_FIELDS.items()]
+        complete = complete & F.map_contains_key("document", key)
+    typed = with_document(responses).select(
+        "*", *[F.col("document")[key].alias(col) for col, key in COMPANY_FIELDS.items()]
     )
     problem = (
         F.when(~complete, "missing_field")
         .when(F.col("ticker").isNull() | F.col("company_name").isNull(), "null_key")
         .when(too_wide(DIM_WIDTHS), "too_long")
     )
-    return typed.withColumn("problem", problem).drop("doc", *COMPANY_FIELDS)
+    return typed.withColumn("problem", problem).select(*responses.columns, "problem")

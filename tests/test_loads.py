@@ -445,3 +445,19 @@ def test_responses_are_dealt_out(wh, monkeypatch):
     finally:
         wh.spark.conf.unset(setting)
     assert len(per_task) == 4 and max(n for (n,) in per_task) < 100
+
+
+def test_responses_are_parsed_once(wh, monkeypatch):
+    """What a response means, what is wrong with it and its fields come from one parse."""
+    plans = []
+    once = loads.materialise
+
+    def watched(df, path):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return once(df, path)
+
+    monkeypatch.setattr(loads, "materialise", watched)
+    good, lacking = company("A"), ("B", '{"Symbol": "B", "Name": "B Inc"}')
+    result = dims(wh, good, lacking, ("C", "[1]"), ("D", None), ("E", ""), ("F", good[1] + good[1]))
+    assert rows(wh.table(DIM), "ticker") == [("A",)] and result.detail == "responses left out: 5"
+    assert sum(plan.count("from_json(ArrayType(MapType") for plan in plans) == 1
