@@ -98,10 +98,9 @@ def load_derived(wh: Warehouse, days: int = DAYS) -> LoadResult:
             bars = wh.table(SILVER, names).withColumn("period", wh.period_of())
             bars = run.once(bars.join(needed.select("ticker", "period"), ["ticker", "period"], "left_semi").drop("period"))
             source = run.once(touched_figures(bars, changed, days))
-            written = source.groupBy(wh.period_of()).count().collect()
-            n = sum(r["count"] for r in written)
-            run.detail = f"bars changed: {changed.count()}, figures computed: {n}"
-            merge_parts(run, DERIVED, source, [r.period for r in written], n, BAR_KEYS, wh.next_stamp(DERIVED))
+            n = {r.period: r["count"] for r in source.groupBy(wh.period_of()).count().collect()}
+            run.detail = f"bars changed: {changed.count()}, figures computed: {sum(n.values())}"
+            merge_parts(run, DERIVED, source, n, BAR_KEYS, wh.next_stamp(DERIVED))
     return load_result(run)
 
 

@@ -8,6 +8,7 @@ only an audit row, so the next run starts from the same mark.
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -203,20 +204,20 @@ def _hold(name: str, keys, source: DataFrame) -> None:
             raise LoadError(f"{name}: {rule} key, such as {found.asDict()}")
 
 
-def merge_parts(
-    run: Run, name: str, source: DataFrame, periods: list[str], n_source: int, keys, stamp: int
-) -> None:
+def merge_parts(run: Run, name: str, source: DataFrame, n_source: dict[str, int], keys, stamp: int) -> None:
     """Merge ``source``, which has each key once and no NULL in it, into the periods it touches and count what happened.
 
-    The counts need no further join: rows before and after are known per period,
-    and every source row ends up in the table exactly once.
+    ``n_source`` has its rows per period. The counts need no further join: rows before and after are
+    known per period, and every source row ends up in the table exactly once.
     """
     wh = run.wh
-    before = wh.parts(name, periods)
+    before = wh.parts(name, n_source)
     merged = merge_upsert(wh.read(name, before), source, keys)
-    written = wh.write_periods(name, merged, run.run_id, stamp, tuple(keys))
+    # No period can have more rows than it had and gets; corrections of what is there make it fewer.
+    most = Counter(n_source) + Counter({p.name: p.rows for p in before})
+    written = wh.write_periods(name, merged, run.run_id, stamp, tuple(keys), most)
     run.inserted = sum(p.rows for p in written) - sum(p.rows for p in before)
-    run.updated = n_source - run.inserted
+    run.updated = sum(n_source.values()) - run.inserted
     run.parts += written
 
 
@@ -448,8 +449,7 @@ def load_silver(
             bars = source.where("date is not null").select(
                 *BAR_KEYS, *VALUE_COLS, at(stamp).alias("loaded_at")
             )
-            names = [p.period for p in good]
-            merge_parts(run, SILVER, bars, names, sum(p.n for p in good), BAR_KEYS, stamp)
+            merge_parts(run, SILVER, bars, {p.period: p.n for p in good}, BAR_KEYS, stamp)
     return load_result(run)
 
 
@@ -483,8 +483,8 @@ def _merge_fact(run: Run, source: DataFrame) -> None:
     resolved = run.once(source)
     periods = resolved.groupBy(wh.period_of()).count().collect()
     if periods:
-        names, n = [p.period for p in periods], sum(p["count"] for p in periods)
-        merge_parts(run, FACT, resolved, names, n, FACT_KEYS, wh.next_stamp(FACT))
+        n = {p.period: p["count"] for p in periods}
+        merge_parts(run, FACT, resolved, n, FACT_KEYS, wh.next_stamp(FACT))
 
 
 def load_gold(wh: Warehouse) -> LoadResult:

@@ -90,7 +90,8 @@ def _replace(
     kept = wh.read(name, old).withColumns({"period": wh.period_of(), "key_range": key_range(keys, ranges)})
     fresh = expected(periods).withColumns({"period": wh.period_of(), "key_range": key_range(keys, ranges), **added})
     rows = kept.join(found, by, "left_anti").unionByName(run.once(fresh.join(found, by, "left_semi")))
-    written = wh.write_periods(name, rows.drop(*by), run.run_id, stamp, tuple(keys))
+    sizes = {p.name: p.rows for p in old}
+    written = wh.write_periods(name, rows.drop(*by), run.run_id, stamp, tuple(keys), sizes)
     left = {p.name for p in written}
     # A period without any right row is empty from now on.
     emptied = [Part(name, p.name, p.path, stamp, 0) for p in old if p.name not in left]

@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 import re
 import time
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -32,6 +32,9 @@ SCHEMAS = ("bronze", "silver", "gold", "pipeline")
 ALL = "all"
 PERIODS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
 
+#: Rows of a period that one task sorts and writes.
+ROWS_PER_TASK = 250_000
+
 
 class ConcurrentLoad(Exception):
     """Another load has changed what this one was based on; nothing was committed."""
@@ -241,19 +244,36 @@ class Warehouse:
     def _count(self, name: str, path: str) -> int:
         return self.spark.read.schema(TABLES[name]).parquet(path).count()
 
+    def _deals(self, sizes: Mapping[str, int], period: Column, key: str) -> Column:
+        """The number of the task, among those of its period, that writes a row: by a hash of the key."""
+        tasks = {p: -(-n // ROWS_PER_TASK) for p, n in sizes.items() if n > ROWS_PER_TASK}
+        if not tasks:
+            return F.lit(0).cast("long")
+        known = F.create_map(*[F.lit(x) for pair in tasks.items() for x in pair])
+        return F.pmod(F.xxhash64(key), F.coalesce(known[period], F.lit(1)).cast("long"))
+
     def write_periods(
-        self, name: str, df: DataFrame, run_id: str, stamp: int, order: tuple[str, ...]
+        self,
+        name: str,
+        df: DataFrame,
+        run_id: str,
+        stamp: int,
+        order: tuple[str, ...],
+        sizes: Mapping[str, int] | None = None,
     ) -> list[Part]:
         """Write bars by period of ``date``; one part per period.
 
-        ``rebalance`` gives each period files of the advisory size: a big one is
-        split over many tasks, small ones share a task. Files are sorted by ``order``, and
+        A period of which ``sizes`` tells that it has many rows is dealt out by the first column of ``order``, so
+        that its write is as parallel as the period is large and a key is in one file. ``rebalance`` splits what is
+        above the advisory size all the same, and small periods share a task. Files are sorted by ``order``, and
         row groups get a bloom filter of its first column, as large as its values need.
         """
         path, key = self.folder(name, run_id), self.period
         (
             df.select(*TABLES[name].names, self.period_of().alias(key))
-            .hint("rebalance", key)
+            .withColumn("deal", self._deals(sizes or {}, F.col(key), order[0]))
+            .hint("rebalance", key, "deal")
+            .drop("deal")
             .sortWithinPartitions(key, *order)
             .write.option(f"parquet.bloom.filter.enabled#{order[0]}", "true")
             .option("parquet.bloom.filter.adaptive.enabled", "true")

@@ -61,7 +61,7 @@ def stream_silver(
             source = run.once(batch.select(*BAR_KEYS, *VALUE_COLS)).withColumn("loaded_at", at(stamp))
             periods = {r.period: r["count"] for r in source.groupBy(wh.period_of()).count().collect()}
             if periods:
-                merge_parts(run, SILVER, source, list(periods), sum(periods.values()), BAR_KEYS, stamp)
+                merge_parts(run, SILVER, source, periods, BAR_KEYS, stamp)
             run.detail = f"batch {batch_id}"
 
     return (

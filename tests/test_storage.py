@@ -5,14 +5,14 @@ from __future__ import annotations
 import uuid
 
 import pytest
-from conftest import rows
+from conftest import bar, rows
 from pyspark.sql import functions as F
 
 from barhouse.operators import merge_upsert
-from barhouse.plans import lookup
+from barhouse.plans import lookup, warehouse
 from barhouse.plans.bucketed import merge_bucketed, untouched, write_bucketed
 from barhouse.plans.lookup import key_lookup
-from barhouse.plans.loads import SILVER
+from barhouse.plans.loads import SILVER, load_silver
 from barhouse.plans.warehouse import at
 from barhouse.schemas import BAR_KEYS, FACT_KEYS
 
@@ -121,3 +121,26 @@ def test_days_open_only_their_periods(many, spark, monkeypatch):
     keys = spark.sql("select 'T00005' as ticker, date'2024-01-03' as date union all select 'T00006', date'2025-01-01'")
     assert rows(key_lookup(many, SILVER, keys), "ticker") == [("T00005",)]
     assert key_lookup(many, SILVER, keys.where("false")).count() == 0
+
+
+def test_a_large_period_is_dealt_out_over_tasks(wh, add_bronze, spark, monkeypatch):
+    monkeypatch.setattr(warehouse, "ROWS_PER_TASK", 100, raising=False)
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        tickers = [f"T{i:03d}" for i in range(300)]
+        add_bronze([bar(t, d) for t in tickers for d in ("2024-01-02", "2024-01-03")] + [bar(t, "2024-03-01") for t in tickers[:50]])
+        load_silver(wh)
+        add_bronze([bar(t, "2024-01-03", c="10") for t in tickers[::2]] + [bar("NEW", "2024-01-03")])
+        result = load_silver(wh)
+    finally:
+        spark.conf.unset(setting)
+    assert (result.inserted, result.updated) == (1, 150)
+    assert {p.name: p.rows for p in wh.parts(SILVER)} == {"2024-01": 601, "2024-03": 50}
+    closes = rows(wh.table(SILVER).where("date = date'2024-01-03' and ticker <> 'NEW'"), "ticker", "close_price")
+    assert [int(c) for _, c in closes] == [10, 11] * 150
+    places = wh.table(SILVER).select("ticker", F.date_format("date", "yyyy-MM").alias("period"), "_metadata.file_path")
+    files = {r.period: r.n for r in places.groupBy("period").agg(F.count_distinct("file_path").alias("n")).collect()}
+    assert files["2024-01"] > 1 and files["2024-03"] == 1
+    # Lookups of a key still meet a single file of a period.
+    assert places.groupBy("ticker", "period").agg(F.count_distinct("file_path").alias("n")).where("n > 1").isEmpty()
