@@ -32,7 +32,8 @@ def _keep_counts(run: Run, fresh: list[Part]) -> DataFrame:
     # A period that holds no bars any more is among the fresh ones, with no count.
     counts = wh.read(SILVER, fresh).groupBy("ticker", wh.period_of()).agg(F.count("*").cast("int").alias("bars"))
     path = wh.folder(COUNTS, run.run_id)
-    counts.withColumn("part", F.col("period")).write.partitionBy("part").parquet(path)
+    # A part is written by few tasks, not by each: otherwise there are as many files as parts times tasks.
+    counts.withColumn("part", F.col("period")).hint("rebalance", "part").write.partitionBy("part").parquet(path)
     written = wh.spark.read.schema("ticker string, period string, bars int, part string").parquet(path)
     found = {r.part: r["count"] for r in written.groupBy("part").count().collect()}
     parts = [Part(COUNTS, p.name, f"{path}/part={p.name}", p.stamp, found.get(p.name, 0)) for p in fresh]
@@ -96,7 +97,7 @@ def load_derived(wh: Warehouse, days: int = DAYS) -> LoadResult:
             needed = run.once(needed_periods(counts, changed.select("ticker", "period").distinct(), reach))
             names = sorted(r.period for r in needed.select("period").distinct().collect())
             bars = wh.table(SILVER, names).withColumn("period", wh.period_of())
-            bars = run.once(bars.join(needed.select("ticker", "period"), ["ticker", "period"], "left_semi").drop("period"))
+            bars = bars.join(needed.select("ticker", "period"), ["ticker", "period"], "left_semi").drop("period")
             source = run.once(touched_figures(bars, changed, days))
             n = {r.period: r["count"] for r in source.groupBy(wh.period_of()).count().collect()}
             run.detail = f"bars changed: {changed.count()}, figures computed: {sum(n.values())}"

@@ -15,6 +15,7 @@ from barhouse.plans.derived import COUNTS, DERIVED, derived_figures, load_derive
 from barhouse.plans.loads import SILVER, load_silver
 from barhouse.plans.repair import repair_silver
 from barhouse.plans.warehouse import Warehouse
+from barhouse.schemas import BAR_KEYS
 from barhouse.streaming import stream_silver
 
 
@@ -177,3 +178,17 @@ def test_bars_beyond_the_watermark_are_found_by_the_repair(wh, land, tmp_path):
     load_silver(wh)
     assert closes(wh) == {"2024-01-02": 2, "2024-01-30": 30, "2024-01-31": 31}
     assert repair_silver(wh).detail is None
+
+
+def test_a_part_of_the_counts_is_one_file(spark, wh, add_bronze):
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        add_bronze([bar(f"T{i:02d}", f"2024-01-{d:02d}") for i in range(40) for d in range(2, 6)])
+        load_silver(wh)
+        load_derived(wh)
+    finally:
+        spark.conf.unset(setting)
+    files = wh.table(COUNTS).select("period", "_metadata.file_path").distinct()
+    assert {r.period: r["count"] for r in files.groupBy("period").count().collect()} == {f"2024-01-{d:02d}": 1 for d in range(2, 6)}
+    assert rows(wh.table(DERIVED), *BAR_KEYS) == rows(wh.table(SILVER), *BAR_KEYS)
