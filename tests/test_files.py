@@ -22,6 +22,7 @@ from barhouse.plans.loads import (
     load_silver,
     retry_rejected,
 )
+from barhouse.sources import price_files
 from barhouse.sources import (
     bars_and_verdicts,
     flatten_prices,
@@ -355,3 +356,25 @@ def test_no_row_carries_the_bars_of_its_document(wh, land):
     carried = re.search(r", \[([^\[\]]*)\], false, \[kind#", plan).group(1)
     assert "source_file#" in carried and re.search(r"transform\((bars#\d+)", plan).group(1) not in carried
     assert found.where("kind = 'bar'").count() == 30 and found.first().bars == 30
+
+
+def test_a_single_look_finds_every_bar_that_may_be_bad(spark):
+    fields = {"1. open": "1", "2. high": "2", "3. low": "1", "4. close": "1", "5. volume": "3"}
+    lacking = {k: v for k, v in fields.items() if k != "3. low"}
+    cases = {
+        "fine": ({"A": {"2024-01-02": fields, "2024-01-03": fields}}, None),
+        "none": ({"A": {}}, None),
+        "null": ({"A": {"2024-01-02": {**fields, "3. low": None}}}, None),
+        "lacking": ({"A": {"2024-01-02": fields, "2024-01-03": lacking}}, "missing_field"),
+        "empty": ({"A": {"2024-01-02": None}}, "missing_field"),
+        "long": ({"A": {"2024-01-02": {**fields, "5. volume": "1" * 13}}}, "too_long"),
+        "name": ({"A" * 13: {"2024-01-02": fields}}, "too_long"),
+        "day": ({"A": {"2024-01-02T00:00": fields}}, "too_long"),
+        "both": ({"A": {"2024-01-02": {**fields, "5. volume": "1" * 13}, "2024-01-03": lacking}}, "missing_field"),
+    }
+    docs = spark.createDataFrame([(k, json.dumps(d)) for k, (d, _) in cases.items()], "name string, value string")
+    judged = price_files.judge_files(docs).select("name", "reason", F.exists("bars", price_files._odd).alias("odd"))
+    found = {r.name: r for r in judged.collect()}
+    assert {k: r.reason for k, r in found.items()} == {k: reason for k, (_, reason) in cases.items()}
+    # Only what holds a bad bar, or a NULL that is allowed, is looked at again.
+    assert {k for k, r in found.items() if not r.odd} == {"fine", "none"}
