@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barhouse.operators.keys import assign_keys
-from barhouse.operators.merge import merge_upsert
+from barhouse.operators.merge import bounded, merge_upsert
 from barhouse.schemas import FACT_KEYS, VALUE_COLS
 
 
@@ -67,15 +67,18 @@ def dim_upsert(
     source: DataFrame,
     materialise: Callable[[DataFrame], DataFrame],
     columns: Sequence[str] | None = None,
+    n_dim: int = 0,
+    n_source: int = 0,
 ) -> DataFrame:
     """Dimension after an upsert by ticker: known tickers keep their id.
 
     ``source`` holds each ticker once. It meets the dimension in a single join,
-    which is written down; what found no id there gets a new one.
+    which is written down; what found no id there gets a new one. ``n_dim`` and ``n_source``
+    tell the rows of both, where they are known.
     """
     columns = list(columns or dim.columns)
-    met = materialise(source.join(dim.select("ticker", "ticker_id"), "ticker", "left"))
+    met = materialise(source.join(bounded(dim.select("ticker", "ticker_id"), n_dim), "ticker", "left"))
     new = met.where("ticker_id is null").drop("ticker_id")
     added = assign_keys(new, dim.agg(F.max("ticker_id")), materialise)
     changed = met.where("ticker_id is not null").select(*columns).unionByName(added.select(*columns))
-    return merge_upsert(dim.select(*columns), changed, ["ticker"])
+    return merge_upsert(dim.select(*columns), changed, ["ticker"], n_source)

@@ -7,6 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Rows of one side of a join that the driver may be made to gather and hand out.
+BROADCAST_ROWS = 100_000
+
+
+def bounded(side: DataFrame, rows: int) -> DataFrame:
+    """One side of a join, which is not broadcast if it has many rows; the join meets by shuffle then.
+
+    Spark takes the size of files for the size of rows. Sorted keys need about a byte a row in a file and 160 in
+    what the driver gathers, so millions of them may pass for a small table. Of few rows Spark decides.
+    """
+    return side.hint("merge") if rows > BROADCAST_ROWS else side
+
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The newest row of every key, by the ``order`` columns.
@@ -20,15 +32,15 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
     return df.groupBy(*keys).agg(newest).select(*keys, "newest.*").select(*df.columns)
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], n_source: int = 0) -> DataFrame:
     """Target after the merge: every source row, plus target rows with no source row.
 
     ``source`` must hold each key once. It is used twice, so hand in one that is
     written down unless it is cheap to compute, as the loads do. An anti join leaves Spark free to
     broadcast a small source, in which case the target is never shuffled; a full
-    outer join could not be broadcast.
+    outer join could not be broadcast. ``n_source`` tells its rows, where they are known.
     """
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    kept = target.join(bounded(source.select(*keys), n_source), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(source.select(*target.columns))
 
 

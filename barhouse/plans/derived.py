@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from barhouse.operators.derived import average_column, change_columns
 from barhouse.operators.incremental import incremental
+from barhouse.operators.merge import bounded
 from barhouse.plans.loads import SILVER, LoadResult, Run, load_result, merge_parts, recorded_run
 from barhouse.plans.warehouse import Part, Warehouse, at
 from barhouse.schemas import BAR_KEYS
@@ -92,15 +93,19 @@ def load_derived(wh: Warehouse, days: int = DAYS) -> LoadResult:
         if fresh:
             scope = incremental(wh.read(SILVER, fresh), at(mark))
             changed = run.once(scope.select(*BAR_KEYS, wh.period_of()))
+            n_changed = changed.count()
+            changed = bounded(changed, n_changed)
             counts = _keep_counts(run, fresh)
             reach = max(days, 2) - 1
             needed = run.once(needed_periods(counts, changed.select("ticker", "period").distinct(), reach))
-            names = sorted(r.period for r in needed.select("period").distinct().collect())
-            bars = wh.table(SILVER, names).withColumn("period", wh.period_of())
-            bars = bars.join(needed.select("ticker", "period"), ["ticker", "period"], "left_semi").drop("period")
+            n_needed = {r.period: r["count"] for r in needed.groupBy("period").count().collect()}
+            bars = wh.table(SILVER, sorted(n_needed)).withColumn("period", wh.period_of())
+            # By days there are as many of them as bars, in files that are hundreds of times smaller than the rows.
+            needed = bounded(needed.select("ticker", "period"), sum(n_needed.values()))
+            bars = bars.join(needed, ["ticker", "period"], "left_semi").drop("period")
             source = run.once(touched_figures(bars, changed, days))
             n = {r.period: r["count"] for r in source.groupBy(wh.period_of()).count().collect()}
-            run.detail = f"bars changed: {changed.count()}, figures computed: {sum(n.values())}"
+            run.detail = f"bars changed: {n_changed}, figures computed: {sum(n.values())}"
             merge_parts(run, DERIVED, source, n, BAR_KEYS, wh.next_stamp(DERIVED))
     return load_result(run)
 

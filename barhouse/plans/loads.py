@@ -25,7 +25,7 @@ from barhouse.operators.dimension import (
 )
 from barhouse.operators.incremental import incremental, typed_source
 from barhouse.operators.keys import check_not_null, check_unique
-from barhouse.operators.merge import latest, merge_upsert
+from barhouse.operators.merge import bounded, latest, merge_upsert
 from barhouse.operators.quality import (
     CHECKS,
     DETAIL,
@@ -212,7 +212,7 @@ def merge_parts(run: Run, name: str, source: DataFrame, n_source: dict[str, int]
     """
     wh = run.wh
     before = wh.parts(name, n_source)
-    merged = merge_upsert(wh.read(name, before), source, keys)
+    merged = merge_upsert(wh.read(name, before), source, keys, sum(n_source.values()))
     # No period can have more rows than it had and gets; corrections of what is there make it fewer.
     most = Counter(n_source) + Counter({p.name: p.rows for p in before})
     written = wh.write_periods(name, merged, run.run_id, stamp, tuple(keys), most)
@@ -499,8 +499,9 @@ def load_gold(wh: Warehouse) -> LoadResult:
         run.last_run = True
         fresh = wh.parts(SILVER, after=mark)
         scope = incremental(wh.read(SILVER, fresh), at(mark))
-        dim = wh.table(DIM)
-        left_out = scope.select("ticker", wh.period_of()).distinct().join(dim.select("ticker"), "ticker", "left_anti")
+        dim, n_dim = wh.table(DIM), wh.row_count(DIM)
+        known = bounded(dim.select("ticker"), n_dim)
+        left_out = scope.select("ticker", wh.period_of()).distinct().join(known, "ticker", "left_anti")
         left_out = left_out.withColumn("run_id", F.lit(run.run_id))
         unmatched = wh.write_part(UNMATCHED, run.run_id, left_out, run.run_id, now_micros())
         tickers = wh.read(UNMATCHED, [unmatched]).select("ticker").distinct()
@@ -510,7 +511,8 @@ def load_gold(wh: Warehouse) -> LoadResult:
             run.detail = f"tickers not in the dimension: {n_missing}"
         if fresh:
             run.high_mark = max(p.stamp for p in fresh)
-        _merge_fact(run, resolve_ticker(scope, dim))
+        # Either side may be broadcast here, so the smaller one counts.
+        _merge_fact(run, resolve_ticker(scope, bounded(dim, min(n_dim, sum(p.rows for p in fresh)))))
     result = load_result(run)
     result.missing, result.n_missing, result.missing_rows = listed(tickers), n_missing, tickers
     return result
@@ -525,11 +527,17 @@ def backfill_unmatched(wh: Warehouse) -> LoadResult:
     with recorded_run(wh, "backfill_unmatched") as run:
         dim, record = wh.table(DIM), wh.parts(UNMATCHED)
         open_ = wh.read(UNMATCHED, record).select("ticker", "period").distinct()
-        late = run.once(open_.join(dim.select("ticker"), "ticker", "left_semi"))
-        periods = [r.period for r in late.select("period").distinct().collect()]
-        if periods:
-            known = dim.join(late.select("ticker").distinct(), "ticker", "left_semi")
-            _merge_fact(run, missing_facts(wh.table(SILVER, periods), known, wh.table(FACT, periods)))
+        late = run.once(open_.join(bounded(dim.select("ticker"), wh.row_count(DIM)), "ticker", "left_semi"))
+        n_late = {r.period: r["count"] for r in late.groupBy("period").count().collect()}
+        if n_late:
+            periods = list(n_late)
+            tickers = run.once(late.select("ticker").distinct())
+            n_tickers = tickers.count()
+            known = dim.join(bounded(tickers, n_tickers), "ticker", "left_semi")
+            n_bars, n_facts = (sum(p.rows for p in wh.parts(name, periods)) for name in (SILVER, FACT))
+            known, facts = bounded(known, min(n_tickers, n_bars)), bounded(wh.table(FACT, periods), n_facts)
+            _merge_fact(run, missing_facts(wh.table(SILVER, periods), known, facts))
+            late = bounded(late, sum(n_late.values()))
             left = open_.join(late, ["ticker", "period"], "left_anti").withColumn("run_id", F.lit(run.run_id))
             one = wh.write_part(UNMATCHED, run.run_id, left, run.run_id, now_micros())
             run.parts += merged_into(record, one)
@@ -553,10 +561,11 @@ def load_dim(wh: Warehouse, responses: DataFrame) -> LoadResult:
         order = ["received_at", *[c for c in DIM_WIDTHS if c != "ticker"]]
         source = run.once(latest(companies, ["ticker"], order).drop("received_at"))
         dim = wh.table(DIM)
-        after = dim_upsert(dim, source, run.once)
+        n_source = source.count()
+        after = dim_upsert(dim, source, run.once, n_dim=wh.row_count(DIM), n_source=n_source)
         part = wh.write_part(DIM, ALL, after, run.run_id, now_micros())
         run.inserted = part.rows - wh.row_count(DIM)
-        run.updated = source.count() - run.inserted
+        run.updated = n_source - run.inserted
         refused = judged.where("not usable").count()
         run.detail = f"responses left out: {refused}" if refused else None
         run.parts.append(part)
